@@ -1,0 +1,8 @@
+"""Streaming.
+
+The tag platform this package re-implements is batch-only: every job runs once
+per business day over whole tables, with no watermarks, state or late data.
+No streaming operator is therefore provided.  The batch jobs are idempotent per
+day (static partition overwrite), which is what a scheduler or a
+``foreachBatch`` sink would call if tags ever had to be refreshed from a stream.
+"""
