@@ -22,10 +22,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.functions.values import TYPE_DATE, TYPE_STRING, rule_key, spark_type, to_tag_type, typed_literal
-from tagweave.sources.catalog import Catalog, TagDef, task_rules
+from tagweave.functions.values import (TASK_ACTIVE, TYPE_DATE, TYPE_STRING, rule_key, spark_type, to_tag_type,
+                                       typed_literal)
+from tagweave.sources.catalog import Catalog, TagDef, check_active, task_rules
 
 CASE_RULE_LIMIT = 200
+# Planning reads catalog rows on the driver; a catalog this big is not one.
+CATALOG_READ_LIMIT = 100_000
 BROADCAST_RULE_LIMIT = 1_000_000
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
@@ -123,46 +126,76 @@ class TagResult:
     values: DataFrame  # (uid string, tag_value <tag type>)
 
 
+def _read_bounded(df: DataFrame, what: str) -> list:
+    rows = df.limit(CATALOG_READ_LIMIT + 1).collect()
+    if len(rows) > CATALOG_READ_LIMIT:
+        raise ValueError(f"catalog {what} has more than {CATALOG_READ_LIMIT} rows to plan from")
+    return rows
+
+
+def _rule_lists(catalog: Catalog, task_ids: list[int]) -> tuple[dict[int, int], dict[int, list]]:
+    """Rule count per task and, for tasks with at most ``CASE_RULE_LIMIT``
+    rules, their (query value, mapped value) pairs in priority order.
+
+    Two filtered single-table reads of the catalog (no Spark join): the
+    rules of these tasks and the names of the sub-tags they point at.
+    """
+    if not task_ids:
+        return {}, {}
+    rules = _read_bounded(catalog.task_tag_rule.filter(F.col("task_id").isin(task_ids))
+                          .select("id", "task_id", "query_value", "sub_tag_id"), "task_tag_rule")
+    sub_ids = sorted({r.sub_tag_id for r in rules if r.sub_tag_id is not None})
+    names = {r.id: r.tag_name for r in _read_bounded(
+        catalog.tag_info.filter(F.col("id").isin(sub_ids)).select("id", "tag_name"), "tag_info")} if sub_ids else {}
+    counts: dict[int, int] = {}
+    lists: dict[int, list] = {}
+    for r in sorted(rules, key=lambda r: (r.task_id, r.id)):
+        if r.sub_tag_id in names:  # a rule whose sub-tag is missing maps nothing
+            counts[r.task_id] = counts.get(r.task_id, 0) + 1
+            lists.setdefault(r.task_id, []).append((r.query_value, names[r.sub_tag_id]))
+    return counts, {t: v for t, v in lists.items() if len(v) <= CASE_RULE_LIMIT}
+
+
+def _task_plan(task_id: int, task_sql: str, tag: TagDef, counts: dict, lists: dict) -> TaskPlan:
+    spark_type(tag.tag_value_type)  # unknown types fail before any work
+    n = counts.get(task_id, 0)
+    return TaskPlan(task_id, task_sql, tag, n, lists.get(task_id, [] if n == 0 else None))
+
+
+def _tag_def(r) -> TagDef:
+    return TagDef(r.id, r.tag_code, r.tag_name, str(r.tag_value_type), r.tag_task_id)
+
+
 def plan_tasks(catalog: Catalog, task_ids: list[int]) -> dict[int, TaskPlan]:
-    """Catalog reads for many tasks in three small jobs (task + tag, rule
-    counts, short rule lists).  Missing tasks or tags raise ``LookupError``."""
+    """Catalog reads for the given tasks: the task, its first tag (lowest
+    id), its rules.  Missing tasks or tags raise ``LookupError``."""
     ids = sorted(set(int(t) for t in task_ids))
-    tasks = catalog.task_info.filter(F.col("id").isin(ids)).select(
-        F.col("id").alias("task_id"), "task_sql")
-    first_tag = (catalog.tag_info.filter(F.col("tag_task_id").isin(ids))
-                 .groupBy("tag_task_id")
-                 .agg(F.min_by(F.struct("id", "tag_code", "tag_name", "tag_value_type"), "id").alias("tag")))
-    rows = (tasks.join(first_tag, tasks["task_id"] == first_tag["tag_task_id"], "left")
-            .select("task_id", "task_sql", "tag").collect())
-    found = {r.task_id: r for r in rows}
+    tasks = {r.id: r.task_sql for r in _read_bounded(
+        catalog.task_info.filter(F.col("id").isin(ids)).select("id", "task_sql"), "task_info")}
+    tags: dict[int, TagDef] = {}
+    for r in sorted(_read_bounded(catalog.tag_info.filter(F.col("tag_task_id").isin(ids))
+                                  .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id"),
+                                  "tag_info"), key=lambda r: r.id):
+        tags.setdefault(r.tag_task_id, _tag_def(r))
     for task_id in ids:
-        if task_id not in found:
+        if task_id not in tasks:
             raise LookupError(f"no task for id = {task_id}")
-        if found[task_id].tag is None:
+        if task_id not in tags:
             raise LookupError(f"no tag for tag_task_id = {task_id}")
-    rules = task_rules_for(catalog, ids)
-    counts = {r.task_id: r.n for r in rules.groupBy("task_id").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [t for t in ids if 0 < counts.get(t, 0) <= CASE_RULE_LIMIT]
-    short_lists: dict[int, list[tuple[str, str]]] = {t: [] for t in small}
-    if small:
-        for r in (rules.filter(F.col("task_id").isin(small))
-                  .select("task_id", "id", "query_value", "sub_tag_value").orderBy("task_id", "id").collect()):
-            short_lists[r.task_id].append((r.query_value, r.sub_tag_value))
-    plans = {}
-    for task_id in ids:
-        row = found[task_id]
-        tag = TagDef(row.tag.id, row.tag.tag_code, row.tag.tag_name, str(row.tag.tag_value_type), task_id)
-        spark_type(tag.tag_value_type)  # unknown types fail before any work
-        n = counts.get(task_id, 0)
-        plans[task_id] = TaskPlan(task_id, row.task_sql, tag, n, short_lists.get(task_id, [] if n == 0 else None))
-    return plans
-
-
-def task_rules_for(catalog: Catalog, task_ids: list[int]) -> DataFrame:
-    sub = catalog.tag_info.select(F.col("id").alias("_sub_id"), F.col("tag_name").alias("sub_tag_value"))
-    return (catalog.task_tag_rule.filter(F.col("task_id").isin(list(task_ids)))
-            .join(sub, F.col("sub_tag_id") == F.col("_sub_id"), "inner")
-            .select("id", "tag_id", "task_id", "query_value", "sub_tag_id", "sub_tag_value"))
+    counts, lists = _rule_lists(catalog, ids)
+    return {t: _task_plan(t, tasks[t], tags[t], counts, lists) for t in ids}
+
+
+def plan_active(catalog: Catalog) -> list[TaskPlan]:
+    """Plans of all active tags, in tag-id order."""
+    tasks = {r.id: r.task_sql for r in _read_bounded(
+        catalog.task_info.filter(F.col("task_status") == TASK_ACTIVE).select("id", "task_sql"), "task_info")}
+    rows = _read_bounded(catalog.tag_info.filter(F.col("tag_task_id").isin(sorted(tasks)))
+                         .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id"),
+                         "tag_info") if tasks else []
+    tags = check_active([_tag_def(r) for r in sorted(rows, key=lambda r: r.id)])
+    counts, lists = _rule_lists(catalog, sorted({t.tag_task_id for t in tags}))
+    return [_task_plan(t.tag_task_id, tasks[t.tag_task_id], t, counts, lists) for t in tags]
 
 
 def build_tag(spark: SparkSession, catalog: Catalog, plan: TaskPlan, dt: str,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagweave.operators import bitmap as bitmap_ops
 from tagweave.operators.merge import merge_tags
-from tagweave.operators.tag import TagResult, build_tag, compute_tag, plan_tasks
+from tagweave.operators.tag import TagResult, TaskPlan, build_tag, compute_tag, plan_active
 from tagweave.sources.catalog import Catalog, TagDef, active_tag_list
 from tagweave.sources.tables import TagStore
 
@@ -24,25 +24,22 @@ def tag_job(spark: SparkSession, catalog: Catalog, task_id: int, dt: str, store:
     return result
 
 
-def active_tag_frames(spark: SparkSession, catalog: Catalog, dt: str,
-                      store: TagStore | None = None) -> tuple[list[TagDef], list[tuple[str, DataFrame]]]:
+def active_tag_frames(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore | None = None,
+                      plans: list[TaskPlan] | None = None
+                      ) -> tuple[list[TagDef], list[tuple[str, DataFrame]]]:
     """Active tags and their day's values: from the tag tables when a store
     is given, otherwise computed in the same plan from the source tables."""
-    tags = active_tag_list(catalog)
-    plans = None if store is not None else plan_tasks(catalog, [t.tag_task_id for t in tags])
-    frames = []
-    for tag in tags:
-        if store is not None:
-            values = store.read_tag_day(tag.tag_code, tag.tag_value_type, dt)
-        else:
-            values = build_tag(spark, catalog, plans[tag.tag_task_id], dt).values
-        frames.append((tag.tag_code, values))
-    return tags, frames
+    if store is not None:
+        tags = [p.tag for p in plans] if plans is not None else active_tag_list(catalog)
+        return tags, [(t.tag_code, store.read_tag_day(t.tag_code, t.tag_value_type, dt)) for t in tags]
+    plans = plans if plans is not None else plan_active(catalog)
+    return [p.tag for p in plans], [(p.tag.tag_code, build_tag(spark, catalog, p, dt).values) for p in plans]
 
 
 def wide_frame(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore | None = None,
-               preaggregate: bool = True) -> tuple[list[TagDef], DataFrame]:
-    tags, frames = active_tag_frames(spark, catalog, dt, store)
+               preaggregate: bool = True, plans: list[TaskPlan] | None = None
+               ) -> tuple[list[TagDef], DataFrame]:
+    tags, frames = active_tag_frames(spark, catalog, dt, store, plans)
     types = {t.tag_code: t.tag_value_type for t in tags}
     return tags, merge_tags(frames, types, preaggregate)
 
@@ -55,13 +52,13 @@ def merge_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore) -
 
 
 def bitmap_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore,
-               wide: DataFrame | None = None) -> dict[str, DataFrame]:
+               wide: DataFrame | None = None, tags: list[TagDef] | None = None) -> dict[str, DataFrame]:
     """Bitmaps of the day's wide table, one table per value type.
 
     Every type's day is rewritten (an empty one when no active tag has that
     type), so a rerun after a catalog change leaves no stale bitmaps.
     """
-    tags = active_tag_list(catalog)
+    tags = tags if tags is not None else active_tag_list(catalog)
     if wide is None:
         wide = store.read_wide(dt)
     for code, frame in bitmap_ops.bitmaps_by_type(wide, tags, dt).items():

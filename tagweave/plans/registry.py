@@ -279,10 +279,10 @@ def bitmap_by_type(spark, sf):
 
 @query
 def bitmap_write_partition(spark, sf):
-    catalog, _, wide = _wide(spark, sf)
+    catalog, tags, wide = _wide(spark, sf)
     store = TagStore(spark, work_dir(spark, "bitmaps"))
-    jobs.bitmap_job(spark, catalog, DT, store, wide=wide)
-    tables = jobs.bitmap_job(spark, catalog, DT, store, wide=wide)  # rerun replaces the day
+    jobs.bitmap_job(spark, catalog, DT, store, wide=wide, tags=tags)
+    tables = jobs.bitmap_job(spark, catalog, DT, store, wide=wide, tags=tags)  # rerun replaces the day
     return bitmap_ops.cardinality(jobs.all_bitmaps(tables), keys=("value_type", "tag_code", "tag_value"))
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,16 +85,29 @@ class Catalog:
     task_tag_rule: DataFrame
 
 
-def _rows(schema: T.StructType, rows: list[dict]) -> list[tuple]:
-    return [tuple(r.get(f.name) for f in schema.fields) for r in rows]
+_ARROW_TYPES = {"bigint": pa.int64(), "string": pa.string(), "timestamp": pa.timestamp("us", tz="UTC")}
+
+
+def _local_frame(spark: SparkSession, schema: T.StructType, rows: list[dict]) -> DataFrame:
+    """Python rows -> DataFrame backed by a local relation (via Arrow).
+
+    A local relation is read on the driver without starting a job, which
+    keeps catalog lookups cheap; ``createDataFrame(list)`` would build an
+    RDD whose every read runs Python tasks.
+    """
+    arrow_schema = pa.schema([pa.field(f.name, _ARROW_TYPES[f.dataType.simpleString()]) for f in schema.fields])
+    table = pa.Table.from_pylist([{f.name: r.get(f.name) for f in schema.fields} for r in rows],
+                                 schema=arrow_schema)
+    return spark.createDataFrame(table.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get),
+                                 schema=schema)
 
 
 def catalog_from_rows(spark: SparkSession, tasks: list[dict], tags: list[dict],
                       rules: list[dict]) -> Catalog:
     return Catalog(
-        spark.createDataFrame(_rows(TASK_INFO_SCHEMA, tasks), TASK_INFO_SCHEMA),
-        spark.createDataFrame(_rows(TAG_INFO_SCHEMA, tags), TAG_INFO_SCHEMA),
-        spark.createDataFrame(_rows(TASK_TAG_RULE_SCHEMA, rules), TASK_TAG_RULE_SCHEMA),
+        _local_frame(spark, TASK_INFO_SCHEMA, tasks),
+        _local_frame(spark, TAG_INFO_SCHEMA, tags),
+        _local_frame(spark, TASK_TAG_RULE_SCHEMA, rules),
     )
 
 
@@ -132,14 +147,21 @@ def active_tags(catalog: Catalog) -> DataFrame:
 
 def active_tag_list(catalog: Catalog) -> list[TagDef]:
     """Active tags as plan inputs, in tag-id order; an empty list raises."""
-    rows = (active_tags(catalog)
+    active = [r.id for r in catalog.task_info.filter(F.col("task_status") == TASK_ACTIVE)
+              .select("id").limit(MAX_ACTIVE_TAGS + 1).collect()]
+    rows = (catalog.tag_info.filter(F.col("tag_task_id").isin(active))
             .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id")
-            .orderBy("id").limit(MAX_ACTIVE_TAGS + 1).collect())
-    if not rows:
+            .limit(MAX_ACTIVE_TAGS + 1).collect()) if active else []
+    return check_active([TagDef(r.id, r.tag_code, r.tag_name, str(r.tag_value_type), r.tag_task_id)
+                         for r in sorted(rows, key=lambda r: r.id)])
+
+
+def check_active(tags: list[TagDef]) -> list[TagDef]:
+    """An empty, oversized or column-colliding active tag list raises."""
+    if not tags:
         raise ValueError("no active tags")
-    if len(rows) > MAX_ACTIVE_TAGS:
+    if len(tags) > MAX_ACTIVE_TAGS:
         raise ValueError(f"more than {MAX_ACTIVE_TAGS} active tags")
-    tags = [TagDef(r.id, r.tag_code, r.tag_name, str(r.tag_value_type), r.tag_task_id) for r in rows]
     columns = [t.column for t in tags]
     if len(set(columns)) != len(columns):
         raise ValueError("two active tags share a lower-cased tag_code")
@@ -152,8 +174,13 @@ def task_rules(catalog: Catalog, task_id: int) -> DataFrame:
     Inner join on ``sub_tag_id = tag_info.id``: a rule whose sub-tag is
     missing does not map anything.
     """
+    return task_rules_for(catalog, [task_id])
+
+
+def task_rules_for(catalog: Catalog, task_ids: list[int]) -> DataFrame:
+    """:func:`task_rules` for several tasks at once."""
     sub = catalog.tag_info.select(F.col("id").alias("_sub_id"), F.col("tag_name").alias("sub_tag_value"))
-    return (catalog.task_tag_rule.filter(F.col("task_id") == F.lit(task_id))
+    return (catalog.task_tag_rule.filter(F.col("task_id").isin([int(t) for t in task_ids]))
             .join(sub, F.col("sub_tag_id") == F.col("_sub_id"), "inner")
             .select("id", "tag_id", "task_id", "query_value", "sub_tag_id", "sub_tag_value"))
 
