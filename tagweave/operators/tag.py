@@ -29,7 +29,7 @@ from tagweave.sources.catalog import Catalog, TagDef, check_active, task_rules
 CASE_RULE_LIMIT = 200
 # Planning reads catalog rows on the driver; a catalog this big is not one.
 CATALOG_READ_LIMIT = 100_000
-BROADCAST_RULE_LIMIT = 1_000_000
+BROADCAST_RULE_LIMIT = 100_000
 
 _DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 

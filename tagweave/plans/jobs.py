@@ -55,6 +55,8 @@ def bitmap_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore,
                wide: DataFrame | None = None, tags: list[TagDef] | None = None) -> dict[str, DataFrame]:
     """Bitmaps of the day's wide table, one table per value type.
 
+    Each type reads only its own tag columns of the stored wide table
+    (column pruning), so the four writes together scan the table once.
     Every type's day is rewritten (an empty one when no active tag has that
     type), so a rerun after a catalog change leaves no stale bitmaps.
     """

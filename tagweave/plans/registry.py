@@ -18,7 +18,7 @@ from tagweave.operators import bitmap as bitmap_ops
 from tagweave.operators import ml
 from tagweave.operators.export import read_sorted, write_sorted
 from tagweave.operators.merge import collect_values, union_long
-from tagweave.operators.tag import build_tag, plan_tasks, run_task_sql
+from tagweave.operators.tag import BROADCAST_RULE_LIMIT, build_tag, plan_tasks, run_task_sql
 from tagweave.functions import bitmap as bm
 from tagweave.functions.values import date_token_col, epoch_millis
 from tagweave.plans import jobs
@@ -77,9 +77,13 @@ def active_tags(spark, sf):
 def rules_join(spark, sf):
     catalog = _setup(spark, sf)
     source = run_task_sql(spark, demo_task_sql(1), DT)
-    per_value = source.groupBy("query_value").agg(F.count(F.lit(1)).alias("n_rows"))  # pre-aggregate
+    # pre-aggregate the raw values; stream them past the broadcast (checked-small)
+    # rule list, then attach the few matched counts back to every rule
+    per_value = source.groupBy("query_value").agg(F.count(F.lit(1)).alias("n_rows"))
     rules = cat.task_rules(catalog, 1)
-    return (rules.join(F.broadcast(per_value), "query_value", "left")
+    matched = (per_value.join(cat.broadcast_if_small(rules, BROADCAST_RULE_LIMIT), "query_value")
+               .select("id", "n_rows"))
+    return (rules.join(matched, "id", "left")
             .select("id", "query_value", "sub_tag_value",
                     F.coalesce(F.col("n_rows"), F.lit(0)).alias("n_rows")))
 
@@ -281,8 +285,9 @@ def bitmap_by_type(spark, sf):
 def bitmap_write_partition(spark, sf):
     catalog, tags, wide = _wide(spark, sf)
     store = TagStore(spark, work_dir(spark, "bitmaps"))
-    jobs.bitmap_job(spark, catalog, DT, store, wide=wide, tags=tags)
-    tables = jobs.bitmap_job(spark, catalog, DT, store, wide=wide, tags=tags)  # rerun replaces the day
+    store.write_wide(wide, DT)  # the merge job's output; bitmaps read it per value type
+    jobs.bitmap_job(spark, catalog, DT, store, tags=tags)
+    tables = jobs.bitmap_job(spark, catalog, DT, store, tags=tags)  # rerun replaces the day
     return bitmap_ops.cardinality(jobs.all_bitmaps(tables), keys=("value_type", "tag_code", "tag_value"))
 
 

@@ -185,6 +185,18 @@ def task_rules_for(catalog: Catalog, task_ids: list[int]) -> DataFrame:
             .select("id", "tag_id", "task_id", "query_value", "sub_tag_id", "sub_tag_value"))
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when it provably has at most ``max_rows`` rows.
+
+    The bound is checked with a ``limit(max_rows + 1)`` count (cheap for the
+    catalog frames this is used on); above it the frame is left to a
+    shuffle join, where AQE can still pick broadcast from runtime sizes.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def bitmap_table_col(value_type_col: Column) -> Column:
     """Value-type code -> bitmap table name; unknown codes fail the job."""
     expr = None
