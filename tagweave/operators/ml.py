@@ -10,6 +10,7 @@ aggregation over the predictions, never a driver-side loop over rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, VectorIndexer
@@ -80,7 +81,15 @@ class TagClassifier:
         return Pipeline(stages=[indexer, assembler, vindexer, tree])
 
     def fit(self, df: DataFrame) -> "TagClassifier":
-        self.model = self.pipeline().fit(df)
+        """Fit the pipeline.  The input is persisted (memory, spilling to
+        disk) for the duration of the fit: the label indexer, the vector
+        indexer and the tree each pass over it, and a seeded random split
+        would otherwise be re-sorted and re-sampled on every pass."""
+        data = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.model = self.pipeline().fit(data)
+        finally:
+            data.unpersist()
         return self
 
     def _fitted(self) -> PipelineModel:

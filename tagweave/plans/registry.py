@@ -40,9 +40,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+_SETUP: dict[int, tuple[str, cat.Catalog]] = {}
+
+
 def _setup(spark: SparkSession, sf: str) -> cat.Catalog:
-    register_tables(spark, sf)
-    return demo_catalog(spark)
+    """Input views of ``sf`` and the demo catalog, made once per session and dir."""
+    known = _SETUP.get(id(spark))
+    if known is None or known[0] != sf or not spark.catalog.tableExists("orders"):
+        register_tables(spark, sf)
+        known = (sf, demo_catalog(spark))
+        _SETUP[id(spark)] = known
+    return known[1]
 
 
 def _tag(spark: SparkSession, sf: str, task_id: int, rules_method: str = "auto"):
@@ -310,8 +318,10 @@ def audience_or(spark, sf):
 @query
 def export_sorted(spark, sf):
     wide = _wide(spark, sf)[2]
-    path = work_dir(spark, "export")
-    write_sorted(wide, path)
+    store = TagStore(spark, work_dir(spark, "export"))
+    store.write_wide(wide, DT)  # the merge job's output is what gets exported
+    path = f"{store.root}/serving"
+    write_sorted(store.read_wide(DT), path)
     return read_sorted(spark, path)
 
 

@@ -54,8 +54,11 @@ BITMAP_SCHEMA = T.StructType([
 ])
 
 
-def _overwrite_partition(df: DataFrame, table_path: str, dt: str) -> None:
-    df.write.mode("overwrite").parquet(f"{table_path}/dt={dt}")
+def _overwrite_partition(df: DataFrame, table_path: str, dt: str, compression: str | None = None) -> None:
+    writer = df.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(f"{table_path}/dt={dt}")
 
 
 def _read_partitioned(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
@@ -104,7 +107,9 @@ class TagStore:
 
     def write_bitmap_day(self, value_type, bitmaps: DataFrame, dt: str) -> None:
         out = bitmaps.select("tag_code", "tag_value", "bucket", "us")
-        _overwrite_partition(out, self.bitmap_path(value_type), date_token(dt))
+        # a sparse value's 4 KB bitmap is almost all zero bytes: zstd stores
+        # it in a few dozen bytes where snappy needs a few hundred
+        _overwrite_partition(out, self.bitmap_path(value_type), date_token(dt), compression="zstd")
 
     def read_bitmap_table(self, value_type) -> DataFrame:
         return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA)
