@@ -125,9 +125,15 @@ def to_tag_type(col: Column, source_type: T.DataType, value_type, what: str = "t
 
 
 def epoch_millis(col) -> Column:
-    """Timestamp -> epoch milliseconds at second precision (sub-seconds dropped)."""
+    """Timestamp -> epoch milliseconds at second precision (sub-seconds dropped).
+
+    A timestamp without time zone is read as UTC wall-clock time, so the
+    result does not depend on the session time zone.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.unix_seconds(c.cast(T.TimestampType())) * F.lit(1000)
+    seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
+                               c.cast(T.TimestampNTZType()))
+    return seconds * F.lit(1000)
 
 
 def camel_name(name: str) -> str:

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +88,7 @@ _ARROW_TYPES = {"bigint": pa.int64(), "string": pa.string(), "timestamp": pa.tim
 
 
 def _local_frame(spark: SparkSession, schema: T.StructType, rows: list[dict]) -> DataFrame:
-    """Python rows -> DataFrame backed by a local relation (via Arrow).
+    """Python rows -> DataFrame backed by a local relation (an Arrow table).
 
     A local relation is read on the driver without starting a job, which
     keeps catalog lookups cheap; ``createDataFrame(list)`` would build an
@@ -98,8 +97,7 @@ def _local_frame(spark: SparkSession, schema: T.StructType, rows: list[dict]) ->
     arrow_schema = pa.schema([pa.field(f.name, _ARROW_TYPES[f.dataType.simpleString()]) for f in schema.fields])
     table = pa.Table.from_pylist([{f.name: r.get(f.name) for f in schema.fields} for r in rows],
                                  schema=arrow_schema)
-    return spark.createDataFrame(table.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get),
-                                 schema=schema)
+    return spark.createDataFrame(table, schema=schema)
 
 
 def catalog_from_rows(spark: SparkSession, tasks: list[dict], tags: list[dict],
