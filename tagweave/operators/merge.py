@@ -78,8 +78,36 @@ def pivot_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = True)
                                    for code, col in zip(tag_codes, columns)])
 
 
+def map_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = True) -> DataFrame:
+    """Same result as :func:`pivot_wide`, for catalogs with many tags.
+
+    A string pivot keeps one collect buffer per tag in every user's
+    aggregation state, so its memory grows with the tag count.  Here each
+    ``(uid, tag)`` cell is joined first, then every user carries one
+    ``tag -> cell`` map that the output columns look up.
+    """
+    columns = [c.lower() for c in tag_codes]
+    if len(set(columns)) != len(columns):
+        raise ValueError("tag codes must stay distinct when lower-cased")
+    cells = collect_values(long.filter(F.col("tag_name").isin(list(tag_codes))), ["uid", "tag_name"],
+                           preaggregate)
+    per_uid = cells.groupBy("uid").agg(
+        F.map_from_entries(F.collect_list(F.struct("tag_name", "tag_value"))).alias("_cells"))
+    return per_uid.select("uid", *[F.coalesce(F.try_element_at("_cells", F.lit(code)), F.lit("")).alias(col)
+                                   for code, col in zip(tag_codes, columns)])
+
+
+# Above this many tags the map form replaces the pivot (see :func:`map_wide`).
+PIVOT_TAG_LIMIT = 64
+
+
 def merge_tags(frames: list[tuple[str, DataFrame]], value_types: dict[str, str] | None = None,
-               preaggregate: bool = True) -> DataFrame:
-    """Tag frames (in tag order) -> wide table."""
+               preaggregate: bool = True, method: str = "auto") -> DataFrame:
+    """Tag frames (in tag order) -> wide table (``method``: auto, pivot or map)."""
     long = union_long(frames, value_types)
-    return pivot_wide(long, [code for code, _ in frames], preaggregate)
+    codes = [code for code, _ in frames]
+    if method == "map" or (method == "auto" and len(codes) > PIVOT_TAG_LIMIT):
+        return map_wide(long, codes, preaggregate)
+    if method not in ("auto", "pivot"):
+        raise ValueError(f"unknown merge method {method!r}")
+    return pivot_wide(long, codes, preaggregate)

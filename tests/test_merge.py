@@ -33,6 +33,16 @@ def test_preaggregated_equals_single_shuffle(spark):
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
 
 
+def test_map_form_equals_pivot(spark):
+    a = _frame(spark, [(str(i % 7), f"v{i % 3}") for i in range(100)] + [("9", None)], "string")
+    b = _frame(spark, [(str(i), str(i * 2)) for i in range(10)], "string")
+    frames = [("A", a), ("B", b)]
+    x = merge_tags(frames, method="pivot")
+    y = merge_tags(frames, method="map")
+    assert x.columns == y.columns == ["uid", "a", "b"]
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
 def test_collect_values_keeps_duplicates(spark):
     long = union_long([("T", _frame(spark, [("1", "b"), ("1", "a"), ("1", "b")], "string"))])
     assert collect_values(long, ["uid"]).first().tag_value == "a,b,b"
