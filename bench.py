@@ -1,8 +1,9 @@
 """Benchmark the headline queries.
 
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
-``local[$BENCH_CPUS]`` (default 8): one warm-up, then the median of
-``$BENCH_REPEATS`` (default 3) timed runs.  A run executes the whole plan into
+``local[$BENCH_CPUS]`` (default 8): a warm-up pass over all queries, then
+``$BENCH_REPEATS`` (default 3) interleaved timed rounds; each query reports
+its median.  A run executes the whole plan into
 Spark's ``noop`` sink, so nothing is collected to the driver.  Prints one
 JSON line.
 """
@@ -51,10 +52,13 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", app_name="tagweave-bench",
                         shuffle_partitions=int(cpus) * 2,
                         extra_conf={"spark.driver.memory": "16g"})
-    results = {}
-    for key in keys:
-        _run(spark, key, sf)  # warm-up
-        results[key] = round(statistics.median(_run(spark, key, sf) for _ in range(repeats)), 3)
+    for key in keys:  # warm-up pass over every query (JIT, file metadata)
+        _run(spark, key, sf)
+    times: dict[str, list[float]] = {key: [] for key in keys}
+    for _ in range(repeats):  # interleaved rounds, so no query owns the cold start
+        for key in keys:
+            times[key].append(_run(spark, key, sf))
+    results = {key: round(statistics.median(ts), 3) for key, ts in times.items()}
     sf_name = os.path.basename(sf.rstrip("/"))
     print(json.dumps({
         "metric": "headline_total_median_sec",

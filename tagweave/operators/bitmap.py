@@ -2,9 +2,8 @@
 
 Unpivot the wide table to ``(uid, tag_code, tag_value)``, drop empty cells,
 then aggregate ``bitmap_construct_agg`` per ``(tag_code, tag_value, bucket)``.
-Each state is a fixed 4 KB and partial aggregation happens map-side, so the
-shuffle carries at most one 4 KB state per key and bucket per map task; a
-value held by a third of all users spreads over ``users / 32768`` groups.
+Each bitmap is a fixed 4 KB covering 32768 uids, so a value held by a third
+of all users spreads over ``users / 32768`` independent groups.
 Multi-valued cells (``'a,b'``) are one value, as in the wide table.
 
 Audience selection (AND / OR of several ``(tag_code, tag_value)`` pairs)
@@ -38,10 +37,21 @@ def explode_wide(wide: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
-    """``(tag_code, tag_value, bucket, us[, dt])`` from ``(uid, tag_code, tag_value)``."""
+    """``(tag_code, tag_value, bucket, us[, dt])`` from ``(uid, tag_code, tag_value)``.
+
+    The compact cells are shuffled on the full key ``(tag_code, tag_value,
+    bucket)`` and each bitmap is built once, after the exchange.  A map-side
+    partial bitmap costs a fixed 4 KB per (task, key): with uids scattered
+    over map tasks (the wide table is hash-partitioned on uid) it would hold
+    a handful of uids each and inflate the shuffle instead of shrinking it.
+    A key never has more than 32768 rows (one per uid of its bucket), so no
+    reducer group can grow with the data.
+    """
     uid = bm.checked_uid(F.col("uid"))
-    keyed = long.select("tag_code", "tag_value", uid.alias("_uid"))
-    out = (keyed.groupBy("tag_code", "tag_value", bm.bucket(F.col("_uid")).alias("bucket"))
+    keyed = (long.select("tag_code", "tag_value", uid.alias("_uid"))
+             .withColumn("bucket", bm.bucket(F.col("_uid")))
+             .repartition("tag_code", "tag_value", "bucket"))
+    out = (keyed.groupBy("tag_code", "tag_value", "bucket")
            .agg(F.bitmap_construct_agg(bm.position(F.col("_uid"))).alias("us")))
     if dt is not None:
         out = out.withColumn("dt", F.lit(date_token(dt)))
