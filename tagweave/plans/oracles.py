@@ -118,7 +118,7 @@ def _sql() -> dict[str, str]:
       FROM {TAG_INFO.replace('AS tag_info(', 'AS tg(')} JOIN {TASK_INFO} ON tg.tag_task_id = task_info.id
       JOIN (SELECT tag_name, count(*) AS n_rows FROM ({LONG}) GROUP BY tag_name) l ON l.tag_name = tg.tag_code
       WHERE task_info.task_status = '1'"""
-    q["rules_join"] = f"""SELECT r.id, r.query_value, t.tag_name AS sub_tag_value,
+    q["rules_join"] = f"""SELECT CAST(r.id AS BIGINT) AS id, r.query_value, t.tag_name AS sub_tag_value,
         CAST(coalesce(s.n_rows, 0) AS BIGINT) AS n_rows
       FROM {TASK_TAG_RULE.replace('AS task_tag_rule(', 'AS r(')}
       JOIN {TAG_INFO.replace('AS tag_info(', 'AS t(')} ON r.sub_tag_id = t.id
