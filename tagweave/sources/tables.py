@@ -117,3 +117,21 @@ class TagStore:
     def read_bitmap_day(self, value_type, dt: str) -> DataFrame:
         return (self.read_bitmap_table(value_type)
                 .filter(F.col("dt") == F.lit(date_token(dt))))
+
+    # SQL access -------------------------------------------------------------
+    def register_views(self, tags, dts=(), value_types=()) -> list[str]:
+        """Temp views named like the tables, for SQL over stored results:
+        ``<tag_code>`` per tag (all days), ``up_tag_merge_<yyyyMMdd>`` per
+        day in ``dts``, ``user_tag_value_<type>`` per value type.  A view
+        lists its files when made; register again after new writes."""
+        names = []
+        for tag in tags:
+            self.read_tag_table(tag.tag_code, tag.tag_value_type).createOrReplaceTempView(tag.column)
+            names.append(tag.column)
+        for dt in dts:
+            self.read_wide(dt).createOrReplaceTempView(wide_table_name(dt))
+            names.append(wide_table_name(dt))
+        for code in value_types:
+            self.read_bitmap_table(code).createOrReplaceTempView(bitmap_table_name(code))
+            names.append(bitmap_table_name(code))
+        return names

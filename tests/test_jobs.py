@@ -51,3 +51,16 @@ def test_deactivated_type_is_cleared_on_rerun(spark, flow):
     jobs.bitmap_job(spark, smaller, DAY, store)
     assert store.read_bitmap_day("2", DAY).count() == 0
     assert store.read_bitmap_day("3", DAY).count() > 0
+
+
+def test_stored_tables_queryable_by_name(spark, flow):
+    catalog, store, _ = flow
+    jobs.bitmap_job(spark, catalog, DAY, store)
+    names = store.register_views(active_tag_list(catalog), dts=[DAY], value_types=["3"])
+    assert "tag_order_count" in names and "up_tag_merge_20000101" in names
+    n = spark.sql(f"select count(*) from tag_order_count where dt = '{DAY}'").first()[0]
+    assert n == store.read_tag_day("TAG_ORDER_COUNT", "1", DAY).count() > 0
+    users = spark.sql("select sum(bitmap_count(us)) from user_tag_value_string "
+                      "where dt = '20000101' and tag_code = 'tag_base_segment' and tag_value = 'Furn'").first()[0]
+    wide = spark.sql("select count(*) from up_tag_merge_20000101 where tag_base_segment = 'Furn'").first()[0]
+    assert users == wide > 0
