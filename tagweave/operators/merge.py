@@ -66,11 +66,18 @@ def _count_values(long: DataFrame, keys: list[str], preaggregate: bool) -> DataF
     return long.select(*group, F.lit(1).cast("long").alias("n"))
 
 
-def pivot_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = True) -> DataFrame:
-    """Long form -> ``uid`` + one lower-cased text column per tag (in given order)."""
+def _columns(tag_codes: list[str]) -> list[str]:
     columns = [c.lower() for c in tag_codes]
     if len(set(columns)) != len(columns):
         raise ValueError("tag codes must stay distinct when lower-cased")
+    if "uid" in columns:
+        raise ValueError("tag code 'uid' is reserved for the user column")
+    return columns
+
+
+def pivot_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = True) -> DataFrame:
+    """Long form -> ``uid`` + one lower-cased text column per tag (in given order)."""
+    columns = _columns(tag_codes)
     counted = _count_values(long, ["uid"], preaggregate)
     entries = F.collect_list(F.struct(F.col("tag_value").alias("v"), "n"))
     pivoted = counted.groupBy("uid").pivot("tag_name", list(tag_codes)).agg(_joined_values(entries))
@@ -86,9 +93,7 @@ def map_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = True) -
     ``(uid, tag)`` cell is joined first, then every user carries one
     ``tag -> cell`` map that the output columns look up.
     """
-    columns = [c.lower() for c in tag_codes]
-    if len(set(columns)) != len(columns):
-        raise ValueError("tag codes must stay distinct when lower-cased")
+    columns = _columns(tag_codes)
     cells = collect_values(long.filter(F.col("tag_name").isin(list(tag_codes))), ["uid", "tag_name"],
                            preaggregate)
     per_uid = cells.groupBy("uid").agg(

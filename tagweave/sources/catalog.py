@@ -163,6 +163,8 @@ def check_active(tags: list[TagDef]) -> list[TagDef]:
     columns = [t.column for t in tags]
     if len(set(columns)) != len(columns):
         raise ValueError("two active tags share a lower-cased tag_code")
+    if "uid" in columns:
+        raise ValueError("tag_code 'uid' is reserved for the user column")
     return tags
 
 

@@ -52,3 +52,9 @@ def test_lowercase_collision_rejected(spark):
     a = _frame(spark, [("1", "x")], "string")
     with pytest.raises(ValueError):
         merge_tags([("Tag_A", a), ("TAG_A", a)])
+
+
+def test_uid_tag_code_rejected(spark):
+    a = _frame(spark, [("1", "x")], "string")
+    with pytest.raises(ValueError, match="reserved"):
+        merge_tags([("UID", a)])

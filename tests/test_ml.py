@@ -57,3 +57,13 @@ def test_model_roundtrip(spark, students, tmp_root):
     a = clf.predict(students).select("uid", "prediction")
     b = again.predict(students).select("uid", "prediction")
     assert a.exceptAll(b).count() == 0
+
+
+def test_null_feature_and_unseen_label_fail(spark, students):
+    clf = TagClassifier("gender", ["hair", "height"], max_bins=5).fit(students)
+    with_null = spark.createDataFrame([(1, 101, None, "F")], "uid long, hair int, height double, gender string")
+    with pytest.raises(Exception):
+        clf.predict(with_null).collect()
+    unseen = spark.createDataFrame([(1, 101, 160.0, "X")], "uid long, hair int, height double, gender string")
+    with pytest.raises(Exception):
+        clf.predict(unseen).collect()
