@@ -30,9 +30,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=("customer", "orders", "lineitem",
-                                                              "events", "nation")) -> None:
-    """Temp views so user-written tag SQL can name the input tables."""
+def register_tables(spark: SparkSession, sf_dir: str, names=INPUT_TABLES) -> None:
+    """Temp views so user-written tag SQL can name the input tables
+    (only file metadata is read here)."""
     for name in names:
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
 
