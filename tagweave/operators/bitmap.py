@@ -37,7 +37,10 @@ def explode_wide(wide: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
-    """``(tag_code, tag_value, bucket, us[, dt])`` from ``(uid, tag_code, tag_value)``.
+    """``(tag_code, tag_value, bucket, us, users[, dt])`` from ``(uid, tag_code, tag_value)``.
+
+    ``users`` is the bitmap's cardinality, stored beside it so audience
+    sizes read an 8-byte column instead of the 4 KB bitmaps.
 
     The compact cells are shuffled on the full key ``(tag_code, tag_value,
     bucket)`` and each bitmap is built once, after the exchange.  A map-side
@@ -52,7 +55,8 @@ def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
              .withColumn("bucket", bm.bucket(F.col("_uid")))
              .repartition("tag_code", "tag_value", "bucket"))
     out = (keyed.groupBy("tag_code", "tag_value", "bucket")
-           .agg(F.bitmap_construct_agg(bm.position(F.col("_uid"))).alias("us")))
+           .agg(F.bitmap_construct_agg(bm.position(F.col("_uid"))).alias("us"))
+           .withColumn("users", F.bitmap_count("us")))
     if dt is not None:
         out = out.withColumn("dt", F.lit(date_token(dt)))
     return out
@@ -73,9 +77,13 @@ def bitmaps_by_type(wide: DataFrame, tags: list[TagDef], dt: str | None = None,
 
 
 def cardinality(bitmaps: DataFrame, keys=("tag_code", "tag_value")) -> DataFrame:
-    """Users per key: the bucket counts summed (buckets are disjoint)."""
-    return (bitmaps.groupBy(*keys)
-            .agg(F.sum(F.bitmap_count("us")).cast("long").alias("users")))
+    """Users per key: the bucket counts summed (buckets are disjoint).
+
+    Uses the stored ``users`` column when the frame has one, so only that
+    column is read; otherwise counts the bits.
+    """
+    per_bucket = F.col("users") if "users" in bitmaps.columns else F.bitmap_count("us")
+    return bitmaps.groupBy(*keys).agg(F.sum(per_bucket).cast("long").alias("users"))
 
 
 def select_audience(bitmaps: DataFrame, conditions: list[tuple[str, str]], how: str = "and") -> DataFrame:

@@ -65,7 +65,8 @@ def bitmap_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore,
         wide = store.read_wide(dt)
     for code, frame in bitmap_ops.bitmaps_by_type(wide, tags, dt).items():
         if frame is None:
-            frame = spark.createDataFrame([], "tag_code string, tag_value string, bucket bigint, us binary")
+            frame = spark.createDataFrame([], "tag_code string, tag_value string, bucket bigint, us binary, "
+                                             "users bigint")
         store.write_bitmap_day(code, frame, dt)
     return {code: store.read_bitmap_day(code, dt) for code in bitmap_ops.BITMAP_TABLE_SUFFIX}
 

@@ -278,6 +278,7 @@ def _bitmaps(spark, sf):
 
 @query
 def bitmap_build(spark, sf):
+    # users recounted from the bitmap itself (the stored column is checked in tests)
     return _bitmaps(spark, sf).select("tag_code", "tag_value", "bucket",
                                       F.bitmap_count("us").alias("users"), "dt")
 

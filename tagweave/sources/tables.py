@@ -50,6 +50,7 @@ BITMAP_SCHEMA = T.StructType([
     T.StructField("tag_value", T.StringType()),
     T.StructField("bucket", T.LongType()),
     T.StructField("us", T.BinaryType()),
+    T.StructField("users", T.LongType()),
     T.StructField("dt", T.StringType()),
 ])
 
@@ -106,7 +107,8 @@ class TagStore:
         return f"{self.root}/{bitmap_table_name(value_type)}"
 
     def write_bitmap_day(self, value_type, bitmaps: DataFrame, dt: str) -> None:
-        out = bitmaps.select("tag_code", "tag_value", "bucket", "us")
+        users = F.col("users") if "users" in bitmaps.columns else F.bitmap_count("us")
+        out = bitmaps.select("tag_code", "tag_value", "bucket", "us", users.cast("long").alias("users"))
         # a sparse value's 4 KB bitmap is almost all zero bytes: zstd stores
         # it in a few dozen bytes where snappy needs a few hundred
         _overwrite_partition(out, self.bitmap_path(value_type), date_token(dt), compression="zstd")

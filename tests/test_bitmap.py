@@ -42,3 +42,11 @@ def test_audiences(spark):
     a = set(range(1, 70000, 5))
     assert both == male & a and either == male | a
     assert select_audience(bitmaps, [("g", "nobody"), ("c", "A")], "and").count() == 0
+
+
+def test_stored_user_count_equals_bitmap_count(spark):
+    from pyspark.sql import functions as F
+    long = _long(spark, [str(u) for u in range(0, 100_000, 3)] + ["3", "6"])
+    b = build_bitmaps(long)
+    assert b.filter(F.col("users") != F.bitmap_count("us")).count() == 0
+    assert cardinality(b).first().users == len(range(0, 100_000, 3))
