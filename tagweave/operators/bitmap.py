@@ -44,10 +44,11 @@ def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
 
     The compact cells are shuffled on the full key ``(tag_code, tag_value,
     bucket)`` and each bitmap is built once, after the exchange.  A map-side
-    partial bitmap costs a fixed 4 KB per (task, key): with uids scattered
-    over map tasks (the wide table is hash-partitioned on uid) it would hold
-    a handful of uids each and inflate the shuffle instead of shrinking it.
-    A key never has more than 32768 rows (one per uid of its bucket), so no
+    partial bitmap costs a sort plus a fixed 4 KB state per (task, key):
+    with uids scattered over map tasks (the wide table is hash-partitioned
+    on uid) each would hold a handful of uids, for about 3x the CPU and 10x
+    the task memory at the same compressed shuffle size (see README).  A key
+    never has more than 32768 rows (one per uid of its bucket), so no
     reducer group can grow with the data.
     """
     uid = bm.checked_uid(F.col("uid"))
