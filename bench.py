@@ -22,8 +22,8 @@ from tagweave.plans import registry  # noqa: E402
 from tagweave.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "wide_pivot",            # flagship: all tags -> wide table (pre-aggregated pivot)
-    "wide_pivot_nopreagg",   # same result, single-shuffle pivot
+    "wide_pivot",            # flagship: all tags -> wide table (single-shuffle pivot)
+    "wide_pivot_preagg",     # same result, with the optional (uid, tag, value) pre-aggregation
     "wide_map",              # same result, map form used for many-tag catalogs
     "tag_rule_case",         # value mapping as CASE
     "tag_rule_join",         # value mapping as broadcast join

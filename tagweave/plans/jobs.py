@@ -37,7 +37,7 @@ def active_tag_frames(spark: SparkSession, catalog: Catalog, dt: str, store: Tag
 
 
 def wide_frame(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore | None = None,
-               preaggregate: bool = True, plans: list[TaskPlan] | None = None,
+               preaggregate: bool = False, plans: list[TaskPlan] | None = None,
                method: str = "auto") -> tuple[list[TagDef], DataFrame]:
     tags, frames = active_tag_frames(spark, catalog, dt, store, plans)
     types = {t.tag_code: t.tag_value_type for t in tags}

@@ -163,6 +163,7 @@ def _sql() -> dict[str, str]:
     q["tag_union_long"] = LONG
     q["wide_pivot"] = WIDE
     q["wide_pivot_nopreagg"] = WIDE
+    q["wide_pivot_preagg"] = WIDE
     q["wide_map"] = WIDE
     q["wide_write"] = WIDE
     # bitmaps

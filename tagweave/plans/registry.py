@@ -59,7 +59,7 @@ def _tag(spark: SparkSession, sf: str, task_id: int, rules_method: str = "auto")
     return build_tag(spark, catalog, plan, DT, rules_method)
 
 
-def _wide(spark: SparkSession, sf: str, preaggregate: bool = True, method: str = "auto"):
+def _wide(spark: SparkSession, sf: str, preaggregate: bool = False, method: str = "auto"):
     catalog = _setup(spark, sf)
     tags, wide = jobs.wide_frame(spark, catalog, DT, preaggregate=preaggregate, method=method)
     return catalog, tags, wide
@@ -240,6 +240,11 @@ def wide_pivot_nopreagg(spark, sf):
     return _wide(spark, sf, preaggregate=False)[2]
 
 
+@query
+def wide_pivot_preagg(spark, sf):
+    return _wide(spark, sf, preaggregate=True)[2]
+
+
 @query
 def wide_map(spark, sf):
     return _wide(spark, sf, method="map")[2]
