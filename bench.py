@@ -55,8 +55,8 @@ def main() -> None:
     for key in keys:  # warm-up pass over every query (JIT, file metadata)
         _run(spark, key, sf)
     times: dict[str, list[float]] = {key: [] for key in keys}
-    for _ in range(repeats):  # interleaved rounds, so no query owns the cold start
-        for key in keys:
+    for r in range(repeats):  # interleaved rounds, rotated so no query owns a fixed slot
+        for key in keys[r % len(keys):] + keys[:r % len(keys)]:
             times[key].append(_run(spark, key, sf))
     results = {key: round(statistics.median(ts), 3) for key, ts in times.items()}
     sf_name = os.path.basename(sf.rstrip("/"))
