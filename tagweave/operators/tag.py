@@ -26,7 +26,7 @@ from tagweave.functions.values import (TASK_ACTIVE, TYPE_DATE, TYPE_STRING, rule
                                        typed_literal)
 from tagweave.sources.catalog import Catalog, TagDef, check_active, task_rules
 
-CASE_RULE_LIMIT = 200
+CASE_RULE_LIMIT = 100
 # Planning reads catalog rows on the driver; a catalog this big is not one.
 CATALOG_READ_LIMIT = 100_000
 BROADCAST_RULE_LIMIT = 100_000

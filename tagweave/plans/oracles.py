@@ -136,9 +136,7 @@ def _sql() -> dict[str, str]:
       GROUP BY m.tag_value_type"""
     q["camel_columns"] = ("SELECT c_custkey AS cCustkey, c_name AS cName, c_nationkey AS cNationkey, "
                           "c_acctbal AS cAcctbal, c_mktsegment AS cMktsegment FROM customer")
-    q["rows_as_json"] = ("SELECT CAST(json_object('c_custkey', c_custkey, 'c_name', c_name, "
-                         "'c_nationkey', c_nationkey, 'c_mktsegment', c_mktsegment) AS VARCHAR) AS json "
-                         "FROM customer")
+    q["rows_as_json"] = "SELECT CAST(to_json(c) AS VARCHAR) AS json FROM customer AS c"
     # scans
     q["scan_table"] = "SELECT * FROM customer"
     q["scan_tag_partition"] = order_count()

@@ -122,8 +122,7 @@ def camel_columns(spark, sf):
 
 @query
 def rows_as_json(spark, sf):
-    customer = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return cat.rows_as_json(customer)
+    return cat.rows_as_json(read_table(spark, sf, "customer"))
 
 
 # --- scans and sources ------------------------------------------------------------
