@@ -1,9 +1,9 @@
 """Run the daily jobs from ``spark-submit``.
 
-    spark-submit -m tagweave.plans.cli tag    <task_id> <yyyy-MM-dd> --catalog-dir DIR | --catalog-jdbc URL
-    spark-submit -m tagweave.plans.cli merge  <yyyy-MM-dd> ...
-    spark-submit -m tagweave.plans.cli bitmap <yyyy-MM-dd> ...
-    spark-submit -m tagweave.plans.cli export <yyyy-MM-dd> --serving-jdbc URL ...
+    spark-submit --py-files tagweave.zip tagweave/plans/cli.py tag    <task_id> <yyyy-MM-dd> --catalog-dir DIR | --catalog-jdbc URL
+    spark-submit --py-files tagweave.zip tagweave/plans/cli.py merge  <yyyy-MM-dd> ...
+    spark-submit --py-files tagweave.zip tagweave/plans/cli.py bitmap <yyyy-MM-dd> ...
+    spark-submit --py-files tagweave.zip tagweave/plans/cli.py export <yyyy-MM-dd> --serving-jdbc URL ...
 
 The catalog comes from a JDBC database (``--catalog-jdbc``, credentials via
 ``--catalog-user`` / ``--catalog-password-file``) or from Parquet folders
