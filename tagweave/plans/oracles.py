@@ -12,12 +12,13 @@ from __future__ import annotations
 from tagweave.plans.profile import BUSINESS_DATE as DT
 
 # --- catalog as VALUES --------------------------------------------------------
-TASK_INFO = """(VALUES (1, '1'), (2, '1'), (3, '1'), (4, '1'), (5, '1'), (6, '1'), (7, '0'))
+TASK_INFO = """(VALUES (1, '1'), (2, '1'), (3, '1'), (4, '1'), (5, '1'), (6, '1'), (7, '0'), (8, '1'), (9, '1'))
   AS task_info(id, task_status)"""
 TAG_INFO = """(VALUES (101, 'TAG_BASE_SEGMENT', 'segment', '3', 1),
   (102, 'TAG_ORDER_COUNT', 'order count', '1', 2), (103, 'TAG_ORDER_AMOUNT', 'order amount', '2', 3),
   (104, 'TAG_LAST_ORDER', 'last order day', '4', 4), (105, 'TAG_PRIORITY', 'order priorities', '3', 5),
   (106, 'TAG_NATION_GROUP', 'nation group', '1', 6), (107, 'TAG_OFF', 'inactive', '3', 7),
+  (108, 'TAG_EVENT_COUNT', 'events', '1', 8), (109, 'TAG_EVENT_TYPES', 'event types', '3', 9),
   (201, 'SEG_FURN', 'Furn', '3', NULL), (202, 'SEG_BUILD', 'Build', '3', NULL),
   (203, 'SEG_MACH', 'Mach', '3', NULL), (204, 'SEG_AUTO', 'Auto', '3', NULL),
   (205, 'SEG_FURN_2', 'Furniture', '3', NULL), (206, 'NAT_10', '10', '1', NULL),
@@ -51,11 +52,17 @@ NATION = """SELECT CAST(c_custkey AS VARCHAR) AS uid,
   CAST(CASE c_nationkey WHEN 0 THEN 10 WHEN 1 THEN 11 WHEN 2 THEN 12 END AS BIGINT) AS tag_value
   FROM customer"""
 
+EVENT_COUNT = """SELECT CAST(user_id AS VARCHAR) AS uid, CAST(count(*) AS BIGINT) AS tag_value
+  FROM events GROUP BY user_id"""
+EVENT_TYPES = "SELECT CAST(user_id AS VARCHAR) AS uid, event_type AS tag_value FROM events"
+
 ACTIVE = [("TAG_BASE_SEGMENT", SEGMENT), ("TAG_ORDER_COUNT", order_count()),
           ("TAG_ORDER_AMOUNT", ORDER_AMOUNT), ("TAG_LAST_ORDER", LAST_ORDER),
-          ("TAG_PRIORITY", PRIORITY), ("TAG_NATION_GROUP", NATION)]
+          ("TAG_PRIORITY", PRIORITY), ("TAG_NATION_GROUP", NATION),
+          ("TAG_EVENT_COUNT", EVENT_COUNT), ("TAG_EVENT_TYPES", EVENT_TYPES)]
 TYPES = {"TAG_BASE_SEGMENT": "3", "TAG_ORDER_COUNT": "1", "TAG_ORDER_AMOUNT": "2",
-         "TAG_LAST_ORDER": "4", "TAG_PRIORITY": "3", "TAG_NATION_GROUP": "1"}
+         "TAG_LAST_ORDER": "4", "TAG_PRIORITY": "3", "TAG_NATION_GROUP": "1",
+         "TAG_EVENT_COUNT": "1", "TAG_EVENT_TYPES": "3"}
 
 LONG = "\nUNION ALL\n".join(
     f"SELECT uid, CAST(tag_value AS VARCHAR) AS tag_value, '{code}' AS tag_name FROM ({sql})"

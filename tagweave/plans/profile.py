@@ -1,8 +1,9 @@
 """The tag catalog used by the registered queries, the bench and the tests.
 
-Seven tag tasks over ``customer`` and ``orders`` covering all four value
-types, rule mapping (string and numeric raw values, a duplicate rule, a rule
-whose sub-tag is missing), a multi-valued tag and an inactive task.
+Nine tag tasks over ``customer``, ``orders`` and ``events`` covering all
+four value types, rule mapping (string and numeric raw values, a duplicate
+rule, a rule whose sub-tag is missing), multi-valued tags (distinct values,
+and every event with duplicates kept) and an inactive task.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ TASKS = [
          task_sql="select c_custkey uid, c_nationkey query_value from customer"),
     dict(id=7, task_name="switched off", task_status="0",
          task_sql="select c_custkey uid, 'x' query_value from customer"),
+    dict(id=8, task_name="event count", task_status="1",
+         task_sql="select user_id uid, count(*) query_value from events group by user_id"),
+    dict(id=9, task_name="event types", task_status="1",
+         task_sql="select user_id uid, event_type query_value from events"),
 ]
 
 TAGS = [
@@ -42,6 +47,10 @@ TAGS = [
     dict(id=105, tag_code="TAG_PRIORITY", tag_name="order priorities", tag_level=1, tag_value_type="3", tag_task_id=5),
     dict(id=106, tag_code="TAG_NATION_GROUP", tag_name="nation group", tag_level=1, tag_value_type="1", tag_task_id=6),
     dict(id=107, tag_code="TAG_OFF", tag_name="inactive", tag_level=1, tag_value_type="3", tag_task_id=7),
+    dict(id=108, tag_code="TAG_EVENT_COUNT", tag_name="events", tag_level=1, tag_value_type="1", tag_task_id=8),
+    # every event's type, duplicates kept (one cell lists all of a user's events)
+    dict(id=109, tag_code="TAG_EVENT_TYPES", tag_name="event types", tag_level=1, tag_value_type="3",
+         tag_task_id=9),
     # sub-tags: their tag_name is the value a rule maps to
     dict(id=201, tag_code="SEG_FURN", tag_name="Furn", tag_level=2, parent_tag_id=101, tag_value_type="3"),
     dict(id=202, tag_code="SEG_BUILD", tag_name="Build", tag_level=2, parent_tag_id=101, tag_value_type="3"),

@@ -14,14 +14,15 @@ def test_cli_daily_flow(spark, tmp_root):
     for name, df in (("task_info", cat.task_info), ("tag_info", cat.tag_info), ("task_tag_rule", cat.task_tag_rule)):
         df.write.parquet(f"{tmp_root}/catalog/{name}")
     common = ["--catalog-dir", f"{tmp_root}/catalog", "--store", f"{tmp_root}/store",
-              "--input", f"customer={SF_SMALL}/customer.parquet", "--input", f"orders={SF_SMALL}/orders.parquet"]
-    for task in (1, 2, 3, 4, 5, 6):
+              "--input", f"customer={SF_SMALL}/customer.parquet", "--input", f"orders={SF_SMALL}/orders.parquet",
+              "--input", f"events={SF_SMALL}/events.parquet"]
+    for task in (1, 2, 3, 4, 5, 6, 8, 9):
         cli.main(["tag", str(task), "2000-01-01", *common], spark=spark)
     cli.main(["merge", "2000-01-01", *common], spark=spark)
     cli.main(["bitmap", "2000-01-01", *common], spark=spark)
     store = TagStore(spark, f"{tmp_root}/store")
     wide = store.read_wide("2000-01-01")
-    assert wide.columns[0] == "uid" and len(wide.columns) == 7 and wide.count() > 0
+    assert wide.columns[0] == "uid" and len(wide.columns) == 9 and wide.count() > 0
     assert store.read_bitmap_day("3", "2000-01-01").count() > 0
     with pytest.raises(SystemExit):
         cli.main(["tag", "2000-01-01", *common], spark=spark)

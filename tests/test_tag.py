@@ -56,7 +56,8 @@ def test_catalog_lookups(spark):
         plan_tasks(cat, [999])
     tags = active_tag_list(cat)
     assert [t.tag_code for t in tags] == ["TAG_BASE_SEGMENT", "TAG_ORDER_COUNT", "TAG_ORDER_AMOUNT",
-                                          "TAG_LAST_ORDER", "TAG_PRIORITY", "TAG_NATION_GROUP"]
+                                          "TAG_LAST_ORDER", "TAG_PRIORITY", "TAG_NATION_GROUP",
+                                          "TAG_EVENT_COUNT", "TAG_EVENT_TYPES"]
     assert [p.tag.tag_code for p in plan_active(cat)] == [t.tag_code for t in tags]
 
 
