@@ -59,6 +59,10 @@ def _tag(spark: SparkSession, sf: str, task_id: int, rules_method: str = "auto")
     return build_tag(spark, catalog, plan, DT, rules_method)
 
 
+def _task_sql(catalog: cat.Catalog, task_id: int) -> str:
+    return cat.lookup_one(catalog.task_info, "id", task_id, what="task").task_sql
+
+
 def _wide(spark: SparkSession, sf: str, preaggregate: bool = False, method: str = "auto"):
     catalog = _setup(spark, sf)
     tags, wide = jobs.wide_frame(spark, catalog, DT, preaggregate=preaggregate, method=method)
@@ -84,7 +88,7 @@ def active_tags(spark, sf):
 @query
 def rules_join(spark, sf):
     catalog = _setup(spark, sf)
-    source = run_task_sql(spark, demo_task_sql(1), DT)
+    source = run_task_sql(spark, _task_sql(catalog, 1), DT)
     # pre-aggregate the raw values; stream them past the broadcast (checked-small)
     # rule list, then attach the few matched counts back to every rule
     per_value = source.groupBy("query_value").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -96,11 +100,6 @@ def rules_join(spark, sf):
                     F.coalesce(F.col("n_rows"), F.lit(0)).alias("n_rows")))
 
 
-def demo_task_sql(task_id: int) -> str:
-    from tagweave.plans.profile import TASKS
-    return next(t["task_sql"] for t in TASKS if t["id"] == task_id)
-
-
 @query
 def tags_by_type(spark, sf):
     catalog, tags, wide = _wide(spark, sf)
@@ -142,14 +141,12 @@ def scan_tag_partition(spark, sf):
 
 @query
 def tag_sql_source(spark, sf):
-    _setup(spark, sf)
-    return run_task_sql(spark, demo_task_sql(5), DT)
+    return run_task_sql(spark, _task_sql(_setup(spark, sf), 5), DT)
 
 
 @query
 def tag_sql_params(spark, sf):
-    _setup(spark, sf)
-    return run_task_sql(spark, demo_task_sql(3), DT)
+    return run_task_sql(spark, _task_sql(_setup(spark, sf), 3), DT)  # uses ${dt}
 
 
 @query
