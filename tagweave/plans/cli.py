@@ -37,6 +37,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--catalog-user")
     p.add_argument("--catalog-password-file")
     p.add_argument("--store")
+    p.add_argument("--catalog-tables", action="store_true",
+                   help="also keep tag tables as catalog tables (metastore), readable by name")
+    p.add_argument("--database")
     p.add_argument("--input", action="append", default=[], metavar="NAME=PATH")
     p.add_argument("--serving-jdbc")
     p.add_argument("--serving-table-options")
@@ -67,7 +70,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         name, _, path = item.partition("=")
         spark.read.parquet(path).createOrReplaceTempView(name)
     catalog = _catalog(spark, ns)
-    store = TagStore(spark, ns.store or f"{storage_root(spark)}/profile")
+    store = TagStore(spark, ns.store or f"{storage_root(spark)}/profile",
+                     catalog_tables=ns.catalog_tables, database=ns.database)
     dt = ns.args[-1]
     if ns.job == "tag":
         jobs.tag_job(spark, catalog, int(ns.args[0]), dt, store)

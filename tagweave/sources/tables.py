@@ -15,6 +15,8 @@ one folder.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,12 +68,31 @@ def _read_partitioned(spark: SparkSession, table_path: str, schema: T.StructType
     return spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
 
 
+_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
+def _ident(name: str) -> str:
+    if not _IDENT.match(name or ""):
+        raise ValueError(f"not a plain identifier: {name!r}")
+    return f"`{name}`"
+
+
 class TagStore:
-    """Folder-per-table store for tag, wide and bitmap tables."""
+    """Folder-per-table store for tag, wide and bitmap tables.
+
+    With ``catalog_tables=True`` every tag table is also a table of the
+    session catalog (``CREATE TABLE IF NOT EXISTS ... USING parquet
+    PARTITIONED BY (dt) LOCATION ...``, in ``database`` if given) whose
+    partitions are recovered after each write, so SQL can read it by name
+    and a metastore-backed cluster keeps it across sessions.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, catalog_tables: bool = False,
+                 database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.catalog_tables = catalog_tables
+        self.database = database
 
     # tag tables -----------------------------------------------------------
     def tag_path(self, tag_code: str) -> str:
@@ -83,6 +104,23 @@ class TagStore:
         out = values.select(F.col("uid").cast("string").alias("uid"),
                             F.col("tag_value").cast(target).alias("tag_value"))
         _overwrite_partition(out, self.tag_path(tag_code), dt)
+        if self.catalog_tables:
+            name = self.create_tag_table(tag_code, value_type)
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self.spark.sql(f"REFRESH TABLE {name}")
+
+    def tag_table_name(self, tag_code: str) -> str:
+        name = _ident(tag_code.lower())
+        return f"{_ident(self.database)}.{name}" if self.database else name
+
+    def create_tag_table(self, tag_code: str, value_type) -> str:
+        """Catalog table over the tag table's folder, typed by value type."""
+        name = self.tag_table_name(tag_code)
+        location = self.tag_path(tag_code).replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (uid STRING, tag_value "
+                       f"{spark_type(value_type).simpleString()}, dt STRING) USING parquet "
+                       f"PARTITIONED BY (dt) LOCATION '{location}'")
+        return name
 
     def read_tag_table(self, tag_code: str, value_type) -> DataFrame:
         return _read_partitioned(self.spark, self.tag_path(tag_code), tag_table_schema(value_type))

@@ -45,3 +45,18 @@ def test_sorted_export(spark, tmp_root):
     for part in back.rdd.glom().collect():
         uids = [r.uid for r in part]
         assert uids == sorted(uids)
+
+
+def test_catalog_tag_tables(spark, tmp_root):
+    store = TagStore(spark, tmp_root, catalog_tables=True)
+    a = spark.createDataFrame([("1", 5), ("2", 6)], "uid string, tag_value bigint")
+    store.write_tag_day("TAG_CAT_X", "1", a, "2021-01-01")
+    store.write_tag_day("TAG_CAT_X", "1", a.limit(1), "2021-01-02")
+    assert spark.sql("select count(*) from tag_cat_x where dt = '2021-01-01'").first()[0] == 2
+    assert spark.sql("select count(*) from tag_cat_x").first()[0] == 3
+    assert spark.table("tag_cat_x").schema["tag_value"].dataType == T.LongType()
+    store.write_tag_day("TAG_CAT_X", "1", a.limit(0), "2021-01-01")  # empty day clears
+    assert spark.sql("select count(*) from tag_cat_x").first()[0] == 1
+    with pytest.raises(ValueError):
+        store.tag_table_name("bad name; drop")
+    spark.sql("DROP TABLE tag_cat_x")
