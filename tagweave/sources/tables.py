@@ -77,6 +77,11 @@ def _ident(name: str) -> str:
     return f"`{name}`"
 
 
+def _literal(text: str) -> str:
+    """Body of a single-quoted SQL string literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class TagStore:
     """Folder-per-table store for tag, wide and bitmap tables.
 
@@ -109,17 +114,19 @@ class TagStore:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
             self.spark.sql(f"REFRESH TABLE {name}")
 
-    def tag_table_name(self, tag_code: str) -> str:
-        name = _ident(tag_code.lower())
+    def _qualified(self, table: str) -> str:
+        name = _ident(table)
         return f"{_ident(self.database)}.{name}" if self.database else name
 
+    def tag_table_name(self, tag_code: str) -> str:
+        return self._qualified(tag_code.lower())
+
     def create_tag_table(self, tag_code: str, value_type) -> str:
         """Catalog table over the tag table's folder, typed by value type."""
         name = self.tag_table_name(tag_code)
-        location = self.tag_path(tag_code).replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (uid STRING, tag_value "
                        f"{spark_type(value_type).simpleString()}, dt STRING) USING parquet "
-                       f"PARTITIONED BY (dt) LOCATION '{location}'")
+                       f"PARTITIONED BY (dt) LOCATION '{_literal(self.tag_path(tag_code))}'")
         return name
 
     def read_tag_table(self, tag_code: str, value_type) -> DataFrame:
@@ -134,8 +141,13 @@ class TagStore:
         return f"{self.root}/{wide_table_name(dt)}"
 
     def write_wide(self, wide: DataFrame, dt: str) -> None:
-        """Drop-and-recreate semantics: the day's wide table is replaced whole."""
+        """Drop-and-recreate semantics: the day's wide table is replaced whole
+        (its columns are that day's active tags, so the schema can change)."""
         wide.write.mode("overwrite").parquet(self.wide_path(dt))
+        if self.catalog_tables:
+            name = self._qualified(wide_table_name(dt))
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # a table with LOCATION keeps its files
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{_literal(self.wide_path(dt))}'")
 
     def read_wide(self, dt: str) -> DataFrame:
         return self.spark.read.parquet(self.wide_path(dt))
@@ -150,6 +162,13 @@ class TagStore:
         # a sparse value's 4 KB bitmap is almost all zero bytes: zstd stores
         # it in a few dozen bytes where snappy needs a few hundred
         _overwrite_partition(out, self.bitmap_path(value_type), date_token(dt), compression="zstd")
+        if self.catalog_tables:
+            name = self._qualified(bitmap_table_name(value_type))
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (tag_code STRING, tag_value STRING, "
+                           f"bucket BIGINT, us BINARY, users BIGINT, dt STRING) USING parquet "
+                           f"PARTITIONED BY (dt) LOCATION '{_literal(self.bitmap_path(value_type))}'")
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self.spark.sql(f"REFRESH TABLE {name}")
 
     def read_bitmap_table(self, value_type) -> DataFrame:
         return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA)

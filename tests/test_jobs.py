@@ -64,3 +64,23 @@ def test_stored_tables_queryable_by_name(spark, flow):
                       "where dt = '20000101' and tag_code = 'tag_base_segment' and tag_value = 'Furn'").first()[0]
     wide = spark.sql("select count(*) from up_tag_merge_20000101 where tag_base_segment = 'Furn'").first()[0]
     assert users == wide > 0
+
+
+def test_catalog_table_mode_for_wide_and_bitmaps(spark, tmp_path_factory):
+    register_tables(spark, SF_SMALL)
+    catalog = demo_catalog(spark)
+    store = TagStore(spark, str(tmp_path_factory.mktemp("cat")), catalog_tables=True)
+    for tag in active_tag_list(catalog):
+        jobs.tag_job(spark, catalog, tag.tag_task_id, DAY, store)
+    wide = jobs.merge_job(spark, catalog, DAY, store)
+    jobs.bitmap_job(spark, catalog, DAY, store)
+    n_users = wide.count()
+    assert spark.sql("select count(*) from up_tag_merge_20000101").first()[0] == n_users
+    furn = spark.sql("select sum(users) from user_tag_value_string where dt = '20000101' "
+                     "and tag_code = 'tag_base_segment' and tag_value = 'Furn'").first()[0]
+    assert furn == wide.filter(F.col("tag_base_segment") == "Furn").count()
+    jobs.merge_job(spark, catalog, DAY, store)  # rerun drops and recreates the day's table
+    assert spark.sql("select count(*) from up_tag_merge_20000101").first()[0] == n_users
+    for t in ["up_tag_merge_20000101", "user_tag_value_long", "user_tag_value_decimal", "user_tag_value_string",
+              "user_tag_value_date"] + [t.column for t in active_tag_list(catalog)]:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
