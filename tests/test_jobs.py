@@ -64,11 +64,15 @@ def test_stored_tables_queryable_by_name(spark, flow):
                       "where dt = '20000101' and tag_code = 'tag_base_segment' and tag_value = 'Furn'").first()[0]
     wide = spark.sql("select count(*) from up_tag_merge_20000101 where tag_base_segment = 'Furn'").first()[0]
     assert users == wide > 0
+    for name in names:
+        spark.catalog.dropTempView(name)
 
 
 def test_catalog_table_mode_for_wide_and_bitmaps(spark, tmp_path_factory):
     register_tables(spark, SF_SMALL)
     catalog = demo_catalog(spark)
+    for view in [t.column for t in active_tag_list(catalog)] + ["up_tag_merge_20000101"]:
+        spark.catalog.dropTempView(view)  # temp views would shadow the catalog tables
     store = TagStore(spark, str(tmp_path_factory.mktemp("cat")), catalog_tables=True)
     for tag in active_tag_list(catalog):
         jobs.tag_job(spark, catalog, tag.tag_task_id, DAY, store)
