@@ -2,7 +2,7 @@
 
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8): a warm-up pass over all queries, then
-``$BENCH_REPEATS`` (default 3) interleaved timed rounds; each query reports
+``$BENCH_REPEATS`` (default 5) interleaved timed rounds; each query reports
 its median.  A run executes the whole plan into
 Spark's ``noop`` sink, so nothing is collected to the driver.  Prints one
 JSON line.
@@ -47,7 +47,7 @@ def _run(spark, key: str, sf: str) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     keys = sys.argv[1:] or HEADLINE
     spark = get_session(f"local[{cpus}]", app_name="tagweave-bench",
                         shuffle_partitions=int(cpus) * 2,
