@@ -12,8 +12,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = get_session("local[4]", app_name="tagweave-tests", shuffle_partitions=8)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))  # catalog tables never land in the repo
+    session = get_session("local[4]", app_name="tagweave-tests", shuffle_partitions=8,
+                          extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 
