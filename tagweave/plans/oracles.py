@@ -54,7 +54,7 @@ NATION = """SELECT CAST(c_custkey AS VARCHAR) AS uid,
 
 EVENT_COUNT = """SELECT CAST(user_id AS VARCHAR) AS uid, CAST(count(*) AS BIGINT) AS tag_value
   FROM events GROUP BY user_id"""
-EVENT_TYPES = "SELECT CAST(user_id AS VARCHAR) AS uid, event_type AS tag_value FROM events"
+EVENT_TYPES = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS uid, event_type AS tag_value FROM events"
 
 ACTIVE = [("TAG_BASE_SEGMENT", SEGMENT), ("TAG_ORDER_COUNT", order_count()),
           ("TAG_ORDER_AMOUNT", ORDER_AMOUNT), ("TAG_LAST_ORDER", LAST_ORDER),
