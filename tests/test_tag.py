@@ -87,3 +87,21 @@ def test_compute_tag_case_equals_join(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     seg = compute_tag(spark, cat, 1, "2000-01-01").values
     assert seg.filter(F.col("tag_value") == "Furniture").count() == 0  # rule 5 never wins
+
+
+def test_many_rules_switch_to_join_form(spark):
+    register_tables(spark, SF_SMALL)
+    rules, subs = [], []
+    for i in range(150):  # more than CASE_RULE_LIMIT: the auto form is the join
+        rules.append(dict(id=i + 1, tag_id=1, task_id=1, query_value=str(i), sub_tag_id=1000 + i))
+        subs.append(dict(id=1000 + i, tag_code=f"N{i}", tag_name=f"n{i % 7}", tag_value_type="3"))
+    cat = catalog_from_rows(spark, [dict(id=1, task_status="1",
+                                         task_sql="select c_custkey uid, c_nationkey query_value from customer")],
+                            [dict(id=1, tag_code="TAG_N", tag_value_type="3", tag_task_id=1)] + subs, rules)
+    plan = plan_tasks(cat, [1])[1]
+    assert plan.rule_count == 150 and plan.rules is None
+    auto = compute_tag(spark, cat, 1, "2000-01-01").values
+    case = compute_tag(spark, cat, 1, "2000-01-01", "case").values
+    assert "BroadcastHashJoin" in auto._jdf.queryExecution().executedPlan().toString()
+    assert auto.exceptAll(case).count() == 0 and case.exceptAll(auto).count() == 0
+    assert auto.filter(F.col("tag_value").isNull()).count() == 0  # nation keys 0..24 all have rules
