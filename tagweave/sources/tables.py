@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,11 +33,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=INPUT_TABLES) -> None:
-    """Temp views so user-written tag SQL can name the input tables
-    (only file metadata is read here)."""
+def register_tables(spark: SparkSession, sf_dir: str, names=INPUT_TABLES) -> list[str]:
+    """Temp views so user-written tag SQL can name the input tables (only
+    file metadata is read here).  Tables missing from ``sf_dir`` are skipped;
+    a tag SQL naming one fails when it is planned."""
+    done = []
     for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+        try:
+            read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            continue
+        done.append(name)
+    return done
 
 
 def tag_table_schema(value_type) -> T.StructType:

@@ -60,3 +60,11 @@ def test_catalog_tag_tables(spark, tmp_root):
     with pytest.raises(ValueError):
         store.tag_table_name("bad name; drop")
     spark.sql("DROP TABLE tag_cat_x")
+
+
+def test_register_tables_skips_missing(spark, tmp_root):
+    from tagweave.sources.tables import register_tables
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_root}/probe_present.parquet")
+    assert register_tables(spark, tmp_root, names=("probe_present", "probe_missing")) == ["probe_present"]
+    assert spark.table("probe_present").columns == ["x"]
+    spark.catalog.dropTempView("probe_present")
