@@ -1,7 +1,10 @@
-"""The batch jobs: tag -> merge -> (export, bitmap), and tag prediction.
+"""The daily batch jobs: tag -> merge -> bitmap.
 
 Each job is one Spark plan per output table; the catalog is read once on the
-driver to decide *which* plan to build, never to move data.
+driver to decide *which* plan to build, never to move data.  The serving
+export and tag prediction are in :mod:`tagweave.operators.export` and
+:mod:`tagweave.operators.ml`; :mod:`tagweave.plans.cli` runs all of them
+from ``spark-submit``.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ def active_tag_frames(spark: SparkSession, catalog: Catalog, dt: str, store: Tag
 def wide_frame(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore | None = None,
                preaggregate: bool = False, plans: list[TaskPlan] | None = None,
                method: str = "auto") -> tuple[list[TagDef], DataFrame]:
+    """The day's wide table as a plan (not written): active tags, their values, merged."""
     tags, frames = active_tag_frames(spark, catalog, dt, store, plans)
     types = {t.tag_code: t.tag_value_type for t in tags}
     return tags, merge_tags(frames, types, preaggregate, method)
