@@ -76,22 +76,29 @@ def map_values_case(source: DataFrame, rules: list[tuple[str, str]], value_type)
                          expr.cast(spark_type(value_type)).alias("tag_value"))
 
 
-def first_rule_per_value(rules: DataFrame) -> DataFrame:
-    """One rule per raw value: the one with the lowest rule id."""
-    return (rules.groupBy("query_value")
+def first_rule_per_value(rules: DataFrame, key=None) -> DataFrame:
+    """One rule per match key (default: the raw text): the lowest rule id wins."""
+    key = F.col("query_value") if key is None else key
+    return (rules.select(key.alias("_rule_key"), "id", "sub_tag_value")
+            .filter(F.col("_rule_key").isNotNull())
+            .groupBy("_rule_key")
             .agg(F.min_by("sub_tag_value", "id").alias("sub_tag_value")))
 
 
 def map_values_join(source: DataFrame, rules: DataFrame, value_type,
                     rule_count: int | None = None) -> DataFrame:
-    """Rule mapping as a left join; same result as :func:`map_values_case`."""
+    """Rule mapping as a left join; same result as :func:`map_values_case`.
+
+    Rules are de-duplicated on the key *after* converting it to the raw
+    value's type, so texts like ``'1'`` and ``'01'`` that match the same
+    number behave as in the CASE chain: the lower rule id wins.
+    """
     qtype = source.schema["query_value"].dataType
     target = spark_type(value_type)
-    dedup = first_rule_per_value(rules)
     key = F.col("query_value")
     if qtype.simpleString() != "string":
         key = key.try_cast(qtype)
-    mapped = dedup.select(key.alias("_rule_key"), F.col("sub_tag_value"))
+    dedup = first_rule_per_value(rules, key)
     if str(value_type) in (TYPE_STRING, TYPE_DATE):
         value = F.col("sub_tag_value")
     else:
@@ -99,7 +106,7 @@ def map_values_join(source: DataFrame, rules: DataFrame, value_type,
         conv = raw.try_cast(target)
         value = F.when(raw.isNotNull() & conv.isNull(),
                        F.raise_error(F.concat(F.lit("rule value is not a number: "), raw))).otherwise(conv)
-    mapped = mapped.filter(F.col("_rule_key").isNotNull()).select("_rule_key", value.alias("_mapped"))
+    mapped = dedup.select("_rule_key", value.alias("_mapped"))
     if rule_count is None:
         rule_count = rules.count()
     if rule_count <= BROADCAST_RULE_LIMIT:

@@ -105,3 +105,11 @@ def test_many_rules_switch_to_join_form(spark):
     assert "BroadcastHashJoin" in auto._jdf.queryExecution().executedPlan().toString()
     assert auto.exceptAll(case).count() == 0 and case.exceptAll(auto).count() == 0
     assert auto.filter(F.col("tag_value").isNull()).count() == 0  # nation keys 0..24 all have rules
+
+
+def test_join_form_dedupes_after_type_conversion(spark):
+    src = spark.createDataFrame([(1, 1), (2, 2)], "uid long, query_value int")
+    rules = [("1", "first"), ("01", "second"), ("2", "two")]
+    case = sorted(map(tuple, map_values_case(src, rules, "3").collect()))
+    join = sorted(map(tuple, map_values_join(src, _rules_df(spark, rules), "3").collect()))
+    assert case == join == [("1", "first"), ("2", "two")]
