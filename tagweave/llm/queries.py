@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import quality, simhash
+from tagweave.llm import bpe, quality, simhash, tokenfile
 from tagweave.llm.common import documents
 
 
@@ -23,12 +23,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "fail_bits")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers  # vocabulary files installed beside the library
+
+    return public_tokenizers.path(name)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(_tokenizer("byte_bpe_multi_50k.tiktoken"))
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfile.write_ids(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), end_id=2)
+    return tokenfile.read_ids(manifest, packed=True).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op7_token_files": op7_token_files,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
@@ -69,7 +88,7 @@ m AS (
     CAST(coalesce(c.n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     len(regexp_extract_all(text, '!')) AS n_marks,
     len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[a-z]')) AS n_lower,
-    len(list_filter(ws, x -> regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) AS n_alpha_words
+    len(list_filter(ws, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) AS n_alpha_words
   FROM w LEFT JOIN c USING (rid) LEFT JOIN n USING (rid)),
 b AS (
   SELECT *, (n_words < 50)::BIGINT AS r0, (100 * n_repeat_words > 50 * n_words)::BIGINT AS r1,
