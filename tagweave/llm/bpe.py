@@ -258,9 +258,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         _decode(shared), "doc_id long, ids array<int>, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of (doc_id, ids, decoded)."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of (doc_id, ids, decoded), and the columns ``more``."""
     return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

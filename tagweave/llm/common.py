@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +17,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def workers_can_import(spark: SparkSession) -> None:
+    """Let Python workers import this package by name where nothing else does (a plain local session)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, never reused folder name below ``spark.checkpoint.dir``; the writer creates the folder."""
     return f"{storage_root(spark)}/tagweave/llm-{name}-{uuid.uuid4().hex[:12]}"

@@ -162,6 +162,12 @@ def apply_policy(rows: DataFrame, p: Policy, out: str = "kept") -> DataFrame:
     return rows.withColumn(out, accepted(p, F.col("fail_bits")))
 
 
+def keep(docs: DataFrame, p: Policy) -> DataFrame:
+    """The rows of ``docs`` that pass the policy, with all their columns."""
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), measure(F.col("text")).alias("__m"))
+    return wrapped.select("__doc", "__m.*").where(accepted(p, fail_bits())).select("__doc.*")
+
+
 def ablation(rows: DataFrame, p: Policy) -> DataFrame:
     """Per rule of the policy: rows that failed it, rows rejected, and rows that dropping it would keep.
 

@@ -6,14 +6,22 @@ derives the contract's columns here.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, quality, simhash, tokenfile
-from tagweave.llm.common import documents
+from tagweave.llm import bpe, decontaminate, pii, quality, simhash, tokenfile
+from tagweave.llm.common import documents, workers_can_import
+
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+FILE_TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers  # vocabulary files installed beside the library
+
+    return public_tokenizers.path(name)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,19 +31,27 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "fail_bits")
 
 
-def _tokenizer(name: str) -> str:
-    import public_tokenizers  # vocabulary files installed beside the library
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(tokenizer_path(BPE_RANKS))
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
 
-    return public_tokenizers.path(name)
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated_pairs(documents(spark, sf_dir), benchmark).drop("text_hash")
 
-def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = bpe.load_ranks(_tokenizer("byte_bpe_multi_50k.tiktoken"))
-    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.spans(documents(spark, sf_dir))
+    counts = [F.size(F.filter("strict", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}")
+              for i, k in enumerate(pii.KINDS)]
+    both = F.array_sort(F.concat("strict", "found"))
+    return rows.select("doc_id", *counts, F.sha2(pii.listed(F.col("strict")).cast("binary"), 256).alias("base_sha256"),
+                       pii.listed(both).alias("spans"))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = tokenfile.write_ids(documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), end_id=2)
+    manifest = tokenfile.write_ids(documents(spark, sf_dir), tokenizer_path(FILE_TOKENIZER), end_id=2)
     return tokenfile.read_ids(manifest, packed=True).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
@@ -47,26 +63,23 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_decontamination": op5_decontamination,
+    "op6_pii": op6_pii,
     "op7_token_files": op7_token_files,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
 
-def _importable_on_workers(run: Callable) -> Callable:
-    """Python workers import this package by name; a cluster installs or ships it, a plain local session needs the path."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
+def _ready(run: Callable) -> Callable:
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-        env = spark.sparkContext.environment
-        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-            env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+        workers_can_import(spark)
         return run(spark, sf_dir)
 
     return call
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _importable_on_workers(f) for k, f in QUERIES.items()}
+    return {k: _ready(f) for k, f in QUERIES.items()}
 
 
 # The measures and rules again in DuckDB SQL; op1 is the one operator whose whole result SQL can state.
