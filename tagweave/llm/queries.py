@@ -8,10 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import bpe, decontaminate, pii, quality, simhash, tokenfile
+from tagweave.llm import (
+    bpe,
+    decontaminate,
+    langid,
+    licenses,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    tokenfile,
+    toxicity,
+)
 from tagweave.llm.common import documents, workers_can_import
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -24,6 +35,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _spans_of(array: str, kind: int) -> Column:
+    return F.size(F.filter(array, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.apply_policy(quality.ledger(documents(spark, sf_dir)), quality.policy("production"))
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
@@ -31,6 +46,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "fail_bits")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(tokenizer_path(BPE_RANKS))
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
@@ -43,8 +69,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.spans(documents(spark, sf_dir))
-    counts = [F.size(F.filter("strict", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}")
-              for i, k in enumerate(pii.KINDS)]
+    counts = [_spans_of("strict", i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
     both = F.array_sort(F.concat("strict", "found"))
     return rows.select("doc_id", *counts, F.sha2(pii.listed(F.col("strict")).cast("binary"), 256).alias("base_sha256"),
                        pii.listed(both).alias("spans"))
@@ -56,16 +81,34 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scan(documents(spark, sf_dir))
+    strict = F.filter("spans", lambda s: s["kind"] < 3)
+    counts = [_spans_of("spans", i).alias(f"n_{secrets.KINDS[i]}") for i in range(3)]
+    return rows.select("doc_id", *counts, F.sha2(secrets.listed(strict).cast("binary"), 256).alias("base_sha256"),
+                       secrets.listed(F.col("spans")).alias("spans"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scores(docs, model)
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_license_scan": op2_license_scan,
+    "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_pii": op6_pii,
     "op7_token_files": op7_token_files,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash_dedup": op10_simhash_dedup,
 }
 
