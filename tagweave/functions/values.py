@@ -6,8 +6,7 @@ so they stay inside whole-stage codegen; nothing here runs Python per row.
 
 from __future__ import annotations
 
-from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
-
+import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +49,16 @@ def bitmap_table_name(value_type) -> str:
     return BITMAP_TABLE_PREFIX + BITMAP_TABLE_SUFFIX[code]
 
 
+_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
+
+
+def check_date(dt: str) -> str:
+    """The business date, checked to be ``yyyy-MM-dd``."""
+    if not _DATE.fullmatch(dt or ""):
+        raise ValueError(f"business date must be yyyy-MM-dd, got {dt!r}")
+    return dt
+
+
 def date_token(dt: str) -> str:
     """``yyyy-MM-dd`` -> ``yyyyMMdd`` as used in table names and bitmap days."""
     return dt.replace("-", "")
@@ -63,40 +72,52 @@ def wide_table_name(dt: str) -> str:
     return WIDE_TABLE_PREFIX + date_token(dt)
 
 
-def typed_literal(text: str, value_type) -> Column:
-    """Rule output value as a literal of the tag's type.
+def rule_value(text: Column, value_type) -> Column:
+    """Rule output text as a value of the tag's type; both mapping forms use it.
 
-    String and date tags take the text as is; numeric tags need numeric text
-    (the reference pastes it unquoted into SQL, so anything else fails there
-    too).  Decimals are rounded half-up to two places and must fit (16,2).
+    String and date tags take the text as is.  Numeric tags need text that
+    casts to the type (decimals round half-up to two places and must fit
+    (16,2)); a row that maps to any other text fails the job.
     """
-    code = _code(value_type)
-    target = spark_type(code)
-    if code in (TYPE_STRING, TYPE_DATE):
-        return F.lit(text).cast(target)
-    if text is None:
-        return F.lit(None).cast(target)
-    try:
-        if code == TYPE_LONG:
-            return F.lit(int(str(text).strip())).cast(target)
-        value = Decimal(str(text).strip()).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
-    except (ValueError, InvalidOperation) as exc:
-        raise ValueError(f"rule value {text!r} is not a number for value type {code}") from exc
-    if len(value.as_tuple().digits) > 16:
-        raise ValueError(f"rule value {text!r} overflows decimal(16,2)")
-    return F.lit(value).cast(target)
-
-
-def rule_key(text: str, source_type: T.DataType) -> Column:
-    """Rule match literal compared against ``query_value`` of ``source_type``.
-
-    The rule side is converted, never the data side, so a numeric
-    ``query_value`` compares numerically and a bad literal simply never
-    matches (instead of failing the job under ANSI casts).
+    target = spark_type(value_type)
+    if isinstance(target, T.StringType):
+        return text.cast(target)
+    raw = F.trim(text)
+    value = raw.try_cast(target)
+    return F.when(raw.isNotNull() & value.isNull(),
+                  F.raise_error(F.concat(F.lit("rule value is not a number: "), raw))).otherwise(value)
+
+
+def match_type(source_type: T.DataType) -> T.DataType:
+    """Type in which a rule's text and ``query_value`` are compared.
+
+    Exact numbers compare in a wide decimal, so ``1.0`` matches the whole
+    number 1 and ``1.004`` never matches 1.00; other numbers compare as
+    doubles, everything else in its own type.
     """
+    if isinstance(source_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return T.DecimalType(38, 18)
+    if isinstance(source_type, T.DecimalType):
+        if source_type.precision - source_type.scale <= 20 and source_type.scale <= 18:
+            return T.DecimalType(38, 18)
+        return T.DoubleType()
+    if isinstance(source_type, (T.FloatType, T.DoubleType)):
+        return T.DoubleType()
+    return source_type
+
+
+def rule_key(text, source_type: T.DataType) -> Column:
+    """Rule match text (a string or a column) in the comparison type; text that does not convert never matches."""
+    col = text if isinstance(text, Column) else F.lit(text)
     if isinstance(source_type, T.StringType):
-        return F.lit(text)
-    return F.lit(text).try_cast(source_type)
+        return col
+    return col.try_cast(match_type(source_type))
+
+
+def value_key(col: Column, source_type: T.DataType) -> Column:
+    """``query_value`` in the comparison type."""
+    target = match_type(source_type)
+    return col if target == source_type else col.cast(target)
 
 
 def to_tag_type(col: Column, source_type: T.DataType, value_type, what: str = "tag_value") -> Column:
@@ -105,6 +126,7 @@ def to_tag_type(col: Column, source_type: T.DataType, value_type, what: str = "t
     Numeric -> numeric and anything -> string are allowed; text into a numeric
     tag is rejected up front.  A numeric value that does not fit the target
     (e.g. decimal(16,2) overflow) fails the job instead of turning into NULL.
+    A timestamp in a date tag (type 4) keeps its day and loses its time.
     """
     target = spark_type(value_type)
     if isinstance(target, T.StringType):
@@ -127,13 +149,13 @@ def to_tag_type(col: Column, source_type: T.DataType, value_type, what: str = "t
 def epoch_millis(col) -> Column:
     """Timestamp -> epoch milliseconds at second precision (sub-seconds dropped).
 
-    A timestamp without time zone is read as UTC wall-clock time, so the
-    result does not depend on the session time zone.
+    A TIMESTAMP is an instant; a TIMESTAMP_NTZ is read as UTC wall-clock time.
+    Neither depends on the session time zone (a plain DATE or text does not occur here).
     """
     c = F.col(col) if isinstance(col, str) else col
-    seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
-                               c.cast(T.TimestampNTZType()))
-    return seconds * F.lit(1000)
+    wall = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c.cast(T.TimestampNTZType()))
+    instant = F.unix_seconds(c.cast(T.TimestampType()))
+    return F.when(F.typeof(c) == "timestamp", instant).otherwise(wall) * F.lit(1000)
 
 
 def camel_name(name: str) -> str:

@@ -10,28 +10,28 @@ Two physical forms of the mapping give the same result:
 * ``case`` -- a ``CASE WHEN`` chain; stays in the scan's codegen stage, no
   join at all.  Used for up to ``CASE_RULE_LIMIT`` rules.
 * ``join`` -- a left join against the de-duplicated rules; broadcast when the
-  rule count is within ``BROADCAST_RULE_LIMIT`` (checked, not guessed), else a
-  shuffle join that AQE may split for skewed values.
+  rules' number and text size are within ``BROADCAST_RULE_LIMIT`` and
+  ``BROADCAST_RULE_BYTES`` (counted in Spark), else a shuffle join that AQE
+  may split for skewed values.
+
+Both compare in :func:`match_type` and convert the winning rule's text with
+:func:`rule_value` on the rows that take it, so they agree on values and on
+errors.  Only the texts of ``case`` tasks are read on the driver.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.functions.values import (TASK_ACTIVE, TYPE_DATE, TYPE_STRING, rule_key, spark_type, to_tag_type,
-                                       typed_literal)
-from tagweave.sources.catalog import Catalog, TagDef, check_active, task_rules
+from tagweave.functions.values import check_date, rule_key, rule_value, spark_type, to_tag_type, value_key
+from tagweave.sources.catalog import Catalog, TagDef, active_tags, check_active, task_rules, task_rules_for
 
 CASE_RULE_LIMIT = 100
-# Planning reads catalog rows on the driver; a catalog this big is not one.
-CATALOG_READ_LIMIT = 100_000
 BROADCAST_RULE_LIMIT = 100_000
-
-_DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
+BROADCAST_RULE_BYTES = 16 << 20
 
 
 def bind_date(sql: str, dt: str) -> str:
@@ -41,18 +41,20 @@ def bind_date(sql: str, dt: str) -> str:
     never inject SQL.  Like the original, any text starting with ``$dt`` is
     rewritten (``$dt_end`` becomes ``<date>_end``).
     """
-    if not _DATE.match(dt or ""):
-        raise ValueError(f"business date must be yyyy-MM-dd, got {dt!r}")
+    check_date(dt)
     return sql.replace("$dt", dt).replace("${dt}", dt)
 
 
 def run_task_sql(spark: SparkSession, sql: str, dt: str) -> DataFrame:
     """The task's SELECT as a DataFrame ``(uid, query_value)``."""
     df = spark.sql(bind_date(sql, dt))
-    missing = {"uid", "query_value"} - set(df.columns)
-    if missing:
-        raise ValueError(f"task SQL must return uid and query_value; missing {sorted(missing)}")
-    return df.select("uid", "query_value")
+    picked = []
+    for name in ("uid", "query_value"):  # names match in any letter case, as SQL names do
+        found = [c for c in df.columns if c.lower() == name]
+        if len(found) != 1:
+            raise ValueError(f"task SQL must return one uid and one query_value; it returns {df.columns}")
+        picked.append(F.col(f"`{found[0]}`").alias(name))
+    return df.select(*picked)
 
 
 def passthrough(source: DataFrame, value_type) -> DataFrame:
@@ -66,11 +68,11 @@ def map_values_case(source: DataFrame, rules: list[tuple[str, str]], value_type)
     if not rules:
         return passthrough(source, value_type)
     qtype = source.schema["query_value"].dataType
-    qv = F.col("query_value")
+    qv = value_key(F.col("query_value"), qtype)
     expr = None
     for query_value, sub_value in rules:
         cond = qv == rule_key(query_value, qtype)
-        out = typed_literal(sub_value, value_type)
+        out = rule_value(F.lit(sub_value).cast("string"), value_type)
         expr = F.when(cond, out) if expr is None else expr.when(cond, out)
     return source.select(F.col("uid").cast("string").alias("uid"),
                          expr.cast(spark_type(value_type)).alias("tag_value"))
@@ -85,35 +87,22 @@ def first_rule_per_value(rules: DataFrame, key=None) -> DataFrame:
             .agg(F.min_by("sub_tag_value", "id").alias("sub_tag_value")))
 
 
-def map_values_join(source: DataFrame, rules: DataFrame, value_type,
-                    rule_count: int | None = None) -> DataFrame:
+def map_values_join(source: DataFrame, rules: DataFrame, value_type, broadcast: bool = False) -> DataFrame:
     """Rule mapping as a left join; same result as :func:`map_values_case`.
 
-    Rules are de-duplicated on the key *after* converting it to the raw
-    value's type, so texts like ``'1'`` and ``'01'`` that match the same
+    Rules are de-duplicated on the key *after* converting it to the
+    comparison type, so texts like ``'1'`` and ``'01'`` that match the same
     number behave as in the CASE chain: the lower rule id wins.
+    ``broadcast`` says that the caller has checked the rules' size.
     """
     qtype = source.schema["query_value"].dataType
     target = spark_type(value_type)
-    key = F.col("query_value")
-    if qtype.simpleString() != "string":
-        key = key.try_cast(qtype)
-    dedup = first_rule_per_value(rules, key)
-    if str(value_type) in (TYPE_STRING, TYPE_DATE):
-        value = F.col("sub_tag_value")
-    else:
-        raw = F.trim(F.col("sub_tag_value"))
-        conv = raw.try_cast(target)
-        value = F.when(raw.isNotNull() & conv.isNull(),
-                       F.raise_error(F.concat(F.lit("rule value is not a number: "), raw))).otherwise(conv)
-    mapped = dedup.select("_rule_key", value.alias("_mapped"))
-    if rule_count is None:
-        rule_count = rules.count()
-    if rule_count <= BROADCAST_RULE_LIMIT:
+    mapped = first_rule_per_value(rules, rule_key(F.col("query_value"), qtype))
+    if broadcast:
         mapped = F.broadcast(mapped)
-    joined = source.join(mapped, source["query_value"] == mapped["_rule_key"], "left")
+    joined = source.join(mapped, value_key(source["query_value"], qtype) == mapped["_rule_key"], "left")
     return joined.select(F.col("uid").cast("string").alias("uid"),
-                         F.col("_mapped").cast(target).alias("tag_value"))
+                         rule_value(F.col("sub_tag_value"), value_type).cast(target).alias("tag_value"))
 
 
 @dataclass(frozen=True)
@@ -124,6 +113,11 @@ class TaskPlan:
     tag: TagDef
     rule_count: int
     rules: list[tuple[str, str]] | None  # priority order; None when too many for a CASE
+    rule_bytes: int = 0
+
+    @property
+    def broadcast_rules(self) -> bool:
+        return self.rule_count <= BROADCAST_RULE_LIMIT and self.rule_bytes <= BROADCAST_RULE_BYTES
 
 
 @dataclass
@@ -133,40 +127,32 @@ class TagResult:
     values: DataFrame  # (uid string, tag_value <tag type>)
 
 
-def _read_bounded(df: DataFrame, what: str) -> list:
-    rows = df.limit(CATALOG_READ_LIMIT + 1).collect()
-    if len(rows) > CATALOG_READ_LIMIT:
-        raise ValueError(f"catalog {what} has more than {CATALOG_READ_LIMIT} rows to plan from")
-    return rows
-
+def _rule_sizes(catalog: Catalog, task_ids: list[int]) -> dict[int, tuple[int, int]]:
+    """Number and text bytes of the rules of each task, counted in Spark: one row a task comes back.
 
-def _rule_lists(catalog: Catalog, task_ids: list[int]) -> tuple[dict[int, int], dict[int, list]]:
-    """Rule count per task and, for tasks with at most ``CASE_RULE_LIMIT``
-    rules, their (query value, mapped value) pairs in priority order.
-
-    Two filtered single-table reads of the catalog (no Spark join): the
-    rules of these tasks and the names of the sub-tags they point at.
+    A rule whose sub-tag is missing maps nothing and does not count.
     """
-    if not task_ids:
-        return {}, {}
-    rules = _read_bounded(catalog.task_tag_rule.filter(F.col("task_id").isin(task_ids))
-                          .select("id", "task_id", "query_value", "sub_tag_id"), "task_tag_rule")
-    sub_ids = sorted({r.sub_tag_id for r in rules if r.sub_tag_id is not None})
-    names = {r.id: r.tag_name for r in _read_bounded(
-        catalog.tag_info.filter(F.col("id").isin(sub_ids)).select("id", "tag_name"), "tag_info")} if sub_ids else {}
-    counts: dict[int, int] = {}
+    rules = task_rules_for(catalog, task_ids)
+    size = F.coalesce(F.octet_length("query_value"), F.lit(0)) + F.coalesce(F.octet_length("sub_tag_value"), F.lit(0))
+    return {r["task_id"]: (r["n"], r["b"]) for r in
+            rules.groupBy("task_id").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).collect()}
+
+
+def _task_plans(catalog: Catalog, tasks: list[tuple[int, str, TagDef]]) -> list[TaskPlan]:
+    for _, _, tag in tasks:
+        spark_type(tag.tag_value_type)  # unknown types fail before any work
+    ids = sorted({t for t, _, _ in tasks})
+    sizes = _rule_sizes(catalog, ids) if ids else {}
+    short = [t for t in ids if 0 < sizes.get(t, (0, 0))[0] <= CASE_RULE_LIMIT]
     lists: dict[int, list] = {}
-    for r in sorted(rules, key=lambda r: (r.task_id, r.id)):
-        if r.sub_tag_id in names:  # a rule whose sub-tag is missing maps nothing
-            counts[r.task_id] = counts.get(r.task_id, 0) + 1
-            lists.setdefault(r.task_id, []).append((r.query_value, names[r.sub_tag_id]))
-    return counts, {t: v for t, v in lists.items() if len(v) <= CASE_RULE_LIMIT}
-
-
-def _task_plan(task_id: int, task_sql: str, tag: TagDef, counts: dict, lists: dict) -> TaskPlan:
-    spark_type(tag.tag_value_type)  # unknown types fail before any work
-    n = counts.get(task_id, 0)
-    return TaskPlan(task_id, task_sql, tag, n, lists.get(task_id, [] if n == 0 else None))
+    if short:  # at most CASE_RULE_LIMIT rows a task
+        for r in sorted(task_rules_for(catalog, short).collect(), key=lambda r: (r.task_id, r.id)):
+            lists.setdefault(r.task_id, []).append((r.query_value, r.sub_tag_value))
+    plans = []
+    for task_id, sql, tag in tasks:
+        n, size = sizes.get(task_id, (0, 0))
+        plans.append(TaskPlan(task_id, sql, tag, n, lists.get(task_id, [] if n == 0 else None), size))
+    return plans
 
 
 def _tag_def(r) -> TagDef:
@@ -177,32 +163,27 @@ def plan_tasks(catalog: Catalog, task_ids: list[int]) -> dict[int, TaskPlan]:
     """Catalog reads for the given tasks: the task, its first tag (lowest
     id), its rules.  Missing tasks or tags raise ``LookupError``."""
     ids = sorted(set(int(t) for t in task_ids))
-    tasks = {r.id: r.task_sql for r in _read_bounded(
-        catalog.task_info.filter(F.col("id").isin(ids)).select("id", "task_sql"), "task_info")}
+    tasks = {r.id: r.task_sql for r in catalog.task_info.filter(F.col("id").isin(ids)).select("id", "task_sql").collect()}
     tags: dict[int, TagDef] = {}
-    for r in sorted(_read_bounded(catalog.tag_info.filter(F.col("tag_task_id").isin(ids))
-                                  .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id"),
-                                  "tag_info"), key=lambda r: r.id):
+    for r in sorted(catalog.tag_info.filter(F.col("tag_task_id").isin(ids))
+                    .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id").collect(), key=lambda r: r.id):
         tags.setdefault(r.tag_task_id, _tag_def(r))
     for task_id in ids:
         if task_id not in tasks:
             raise LookupError(f"no task for id = {task_id}")
         if task_id not in tags:
             raise LookupError(f"no tag for tag_task_id = {task_id}")
-    counts, lists = _rule_lists(catalog, ids)
-    return {t: _task_plan(t, tasks[t], tags[t], counts, lists) for t in ids}
+    return {p.task_id: p for p in _task_plans(catalog, [(t, tasks[t], tags[t]) for t in ids])}
 
 
 def plan_active(catalog: Catalog) -> list[TaskPlan]:
-    """Plans of all active tags, in tag-id order."""
-    tasks = {r.id: r.task_sql for r in _read_bounded(
-        catalog.task_info.filter(F.col("task_status") == TASK_ACTIVE).select("id", "task_sql"), "task_info")}
-    rows = _read_bounded(catalog.tag_info.filter(F.col("tag_task_id").isin(sorted(tasks)))
-                         .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id"),
-                         "tag_info") if tasks else []
-    tags = check_active([_tag_def(r) for r in sorted(rows, key=lambda r: r.id)])
-    counts, lists = _rule_lists(catalog, sorted({t.tag_task_id for t in tags}))
-    return [_task_plan(t.tag_task_id, tasks[t.tag_task_id], t, counts, lists) for t in tags]
+    """Plans of all active tags, in tag-id order (the tags of :func:`active_tag_list`)."""
+    sql = catalog.task_info.select(F.col("id").alias("_sql_task"), "task_sql")
+    rows = (active_tags(catalog).join(sql, F.col("tag_task_id") == F.col("_sql_task"))
+            .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id", "task_sql").collect())
+    rows = sorted(rows, key=lambda r: r.id)
+    check_active([_tag_def(r) for r in rows])
+    return _task_plans(catalog, [(r.tag_task_id, r.task_sql, _tag_def(r)) for r in rows])
 
 
 def build_tag(spark: SparkSession, catalog: Catalog, plan: TaskPlan, dt: str,
@@ -210,18 +191,16 @@ def build_tag(spark: SparkSession, catalog: Catalog, plan: TaskPlan, dt: str,
     """The tag's value plan from an already-read :class:`TaskPlan`."""
     source = run_task_sql(spark, plan.task_sql, dt)
     value_type = plan.tag.tag_value_type
+    if rules_method not in ("auto", "case", "join"):
+        raise ValueError(f"unknown rules_method {rules_method!r}")
     if plan.rule_count == 0:
         values = passthrough(source, value_type)
-    elif rules_method == "case" or (rules_method == "auto" and plan.rules is not None):
-        rules = plan.rules
-        if rules is None:
-            rules = [(r.query_value, r.sub_tag_value) for r in
-                     task_rules(catalog, plan.task_id).orderBy("id").select("query_value", "sub_tag_value").collect()]
-        values = map_values_case(source, rules, value_type)
-    elif rules_method in ("join", "auto"):
-        values = map_values_join(source, task_rules(catalog, plan.task_id), value_type, plan.rule_count)
+    elif rules_method != "join" and plan.rules is not None:
+        values = map_values_case(source, plan.rules, value_type)
+    elif rules_method == "case":
+        raise ValueError(f"the CASE form takes at most {CASE_RULE_LIMIT} rules, task {plan.task_id} has {plan.rule_count}")
     else:
-        raise ValueError(f"unknown rules_method {rules_method!r}")
+        values = map_values_join(source, task_rules(catalog, plan.task_id), value_type, plan.broadcast_rules)
     return TagResult(plan.tag, plan.task_id, values)
 
 

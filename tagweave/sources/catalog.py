@@ -59,10 +59,6 @@ TASK_TAG_RULE_SCHEMA = T.StructType([
     T.StructField("sub_tag_id", T.LongType()),
 ])
 
-# More active tags than this cannot be a wide table anyone serves; it also
-# bounds what planning collects from the catalog.
-MAX_ACTIVE_TAGS = 5000
-
 
 @dataclass(frozen=True)
 class TagDef:
@@ -144,22 +140,19 @@ def active_tags(catalog: Catalog) -> DataFrame:
 
 
 def active_tag_list(catalog: Catalog) -> list[TagDef]:
-    """Active tags as plan inputs, in tag-id order; an empty list raises."""
-    active = [r.id for r in catalog.task_info.filter(F.col("task_status") == TASK_ACTIVE)
-              .select("id").limit(MAX_ACTIVE_TAGS + 1).collect()]
-    rows = (catalog.tag_info.filter(F.col("tag_task_id").isin(active))
-            .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id")
-            .limit(MAX_ACTIVE_TAGS + 1).collect()) if active else []
+    """Active tags as plan inputs, in tag-id order; an empty list raises.
+
+    One row per active tag comes to the driver: each is a column of the plan.
+    """
+    rows = active_tags(catalog).select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id").collect()
     return check_active([TagDef(r.id, r.tag_code, r.tag_name, str(r.tag_value_type), r.tag_task_id)
                          for r in sorted(rows, key=lambda r: r.id)])
 
 
 def check_active(tags: list[TagDef]) -> list[TagDef]:
-    """An empty, oversized or column-colliding active tag list raises."""
+    """An empty or column-colliding active tag list raises."""
     if not tags:
         raise ValueError("no active tags")
-    if len(tags) > MAX_ACTIVE_TAGS:
-        raise ValueError(f"more than {MAX_ACTIVE_TAGS} active tags")
     columns = [t.column for t in tags]
     if len(set(columns)) != len(columns):
         raise ValueError("two active tags share a lower-cased tag_code")
@@ -185,18 +178,6 @@ def task_rules_for(catalog: Catalog, task_ids: list[int]) -> DataFrame:
             .select("id", "tag_id", "task_id", "query_value", "sub_tag_id", "sub_tag_value"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it provably has at most ``max_rows`` rows.
-
-    The bound is checked with a ``limit(max_rows + 1)`` count (cheap for the
-    catalog frames this is used on); above it the frame is left to a
-    shuffle join, where AQE can still pick broadcast from runtime sizes.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def bitmap_table_col(value_type_col: Column) -> Column:
     """Value-type code -> bitmap table name; unknown codes fail the job."""
     expr = None
@@ -220,5 +201,5 @@ def camel_columns(df: DataFrame) -> DataFrame:
 
 
 def rows_as_json(df: DataFrame, column: str = "json") -> DataFrame:
-    """Each row as one JSON object keyed by column name."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(column))
+    """Each row as one JSON object keyed by column name; a NULL column is ``null``."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias(column))

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.functions.values import (bitmap_table_name, camel_name, date_token, epoch_millis, rule_key,
-                                       spark_type, to_tag_type, typed_literal, wide_table_name)
+from tagweave.functions.values import (bitmap_table_name, camel_name, check_date, date_token, epoch_millis, rule_key, rule_value,
+                                       spark_type, to_tag_type, value_key, wide_table_name)
 from tagweave.operators.tag import bind_date
 
 
@@ -40,15 +40,17 @@ def test_camel_name():
     assert camel_name("id") == "id"
 
 
-def test_typed_literal_decimal_rounding_and_overflow(spark):
-    row = spark.range(1).select(typed_literal("1.237", "2").alias("d"), typed_literal("1.235", "2").alias("e"),
-                                typed_literal("35", "1").alias("n"), typed_literal("M", "3").alias("s")).first()
+def test_rule_value_rounds_and_rejects(spark):
+    df = spark.createDataFrame([("1.237", "1.235", "35", "M", None)], "a string, b string, n string, s string, z string")
+    row = df.select(rule_value(F.col("a"), "2").alias("d"), rule_value(F.col("b"), "2").alias("e"),
+                    rule_value(F.col("n"), "1").alias("n"), rule_value(F.col("s"), "3").alias("s"),
+                    rule_value(F.col("z"), "1").alias("z")).first()
     assert row.d == Decimal("1.24") and row.e == Decimal("1.24")
-    assert row.n == 35 and row.s == "M"
-    with pytest.raises(ValueError):
-        typed_literal("12345678901234567.00", "2")
-    with pytest.raises(ValueError):
-        typed_literal("abc", "1")
+    assert row.n == 35 and row.s == "M" and row.z is None
+    for text, code in (("12345678901234567.00", "2"), ("abc", "1"), ("1_000", "1"), ("1.5", "1")):
+        bad = spark.createDataFrame([(text,)], "v string").select(rule_value(F.col("v"), code))
+        with pytest.raises(Exception, match="not a number"):
+            bad.collect()
 
 
 def test_to_tag_type_rules(spark):
@@ -75,3 +77,31 @@ def test_rule_key_converts_rule_side(spark):
 def test_epoch_millis_second_precision(spark):
     df = spark.sql("select timestamp_ntz'1970-01-01 00:00:01.750' as t")
     assert df.select(epoch_millis("t")).first()[0] == 1000
+
+
+def test_rules_compare_in_a_wide_type(spark):
+    whole = spark.createDataFrame([(1,), (2,)], "q bigint")
+    assert whole.filter(value_key(F.col("q"), T.LongType()) == rule_key("1.0", T.LongType())).count() == 1
+    assert whole.filter(value_key(F.col("q"), T.LongType()) == rule_key("1.7", T.LongType())).count() == 0
+    money = T.DecimalType(10, 2)
+    cents = spark.createDataFrame([(Decimal("1.00"),)], T.StructType([T.StructField("q", money)]))
+    assert cents.filter(value_key(F.col("q"), money) == rule_key("1.004", money)).count() == 0
+    assert cents.filter(value_key(F.col("q"), money) == rule_key("1", money)).count() == 1
+
+
+def test_epoch_millis_of_an_instant_ignores_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        row = spark.sql("select timestamp'1970-01-01 00:00:00Z' as t, timestamp_ntz'1970-01-01 00:00:01' as n").select(
+            epoch_millis("t").alias("t"), epoch_millis("n").alias("n")).first()
+        assert row.t == 0 and row.n == 1000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_check_date():
+    assert check_date("2000-01-01") == "2000-01-01"
+    for bad in ("20000101", "2000-01-01\n", "2000-1-1", "", None):
+        with pytest.raises(ValueError):
+            check_date(bad)
