@@ -9,14 +9,14 @@ temporary folder, and it is then registered as the checkpoint dir too.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Session settings for local runs and tests.  Cluster jobs keep whatever the
-# submitter configured; none of these change results.
+# Defaults of a session that this package starts itself.  A running session,
+# and anything the submitter configured, stays as it is.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -31,11 +31,15 @@ LOCAL_CONF = {
 def get_session(master: str | None = None, app_name: str = "tagweave",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict[str, str] | None = None) -> SparkSession:
+    active = SparkSession.getActiveSession()
     builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    for key, value in LOCAL_CONF.items():
-        builder = builder.config(key, value)
+    if active is None:
+        submitted = SparkConf()  # what spark-submit and spark-defaults.conf say stays
+        if master:
+            builder = builder.master(master)
+        for key, value in LOCAL_CONF.items():
+            if not submitted.contains(key):
+                builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra_conf or {}).items():
@@ -66,8 +70,5 @@ def storage_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the storage root."""
-    path = f"{storage_root(spark)}/tagweave/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh, never reused sub-folder name of the storage root; the writer creates the folder."""
+    return f"{storage_root(spark)}/tagweave/{name}-{uuid.uuid4().hex[:12]}"

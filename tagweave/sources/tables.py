@@ -6,23 +6,26 @@ Tables are Parquet folders under one root (see :mod:`tagweave.session`).
 * wide tables ``<root>/up_tag_merge_<yyyyMMdd>/`` -- one table per day
 * bitmap tables ``<root>/user_tag_value_<type>/dt=<yyyyMMdd>/``
 
-A day is replaced by writing straight into its ``dt=`` folder with
-``mode("overwrite")``: that is a *static* partition overwrite, so other days
-stay and an empty result still clears the day it targets.  Reads pass the
-schema (so ``dt`` stays a string) and filter on ``dt``, which Spark prunes to
-one folder.
+A day is replaced in two steps: the result is written to a new hidden folder
+beside the table's days, and only when that job has succeeded does it take the
+place of the ``dt=`` folder (two renames in the file system).  A failed rerun
+leaves the old day as it was; other days are never touched and an empty result
+still clears the day it targets.  Reads of one day list that day's folder only
+and pass the schema, so ``dt`` stays a string.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.functions.values import bitmap_table_name, date_token, spark_type, wide_table_name
+from tagweave.functions.bitmap import users_in
+from tagweave.functions.values import bitmap_table_name, check_date, date_token, spark_type, wide_table_name
 
 INPUT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                 "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -67,15 +70,43 @@ BITMAP_SCHEMA = T.StructType([
 ])
 
 
-def _overwrite_partition(df: DataFrame, table_path: str, dt: str, compression: str | None = None) -> None:
-    writer = df.write.mode("overwrite")
+def replace_folder(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write ``df`` as Parquet and put it in the place of folder ``path`` once it is complete."""
+    spark = df.sparkSession
+    parent, _, name = path.rpartition("/")
+    token = uuid.uuid4().hex[:12]
+    # Names with a leading underscore are invisible to table reads.
+    staged, old = f"{parent}/_new-{name}-{token}", f"{parent}/_old-{name}-{token}"
+    writer = df.write
     if compression:
         writer = writer.option("compression", compression)
-    writer.parquet(f"{table_path}/dt={dt}")
-
-
-def _read_partitioned(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer.parquet(staged)
+    except Exception:
+        fs.delete(to_path(staged), True)
+        raise
+    had_old = fs.exists(to_path(path))
+    if had_old and not fs.rename(to_path(path), to_path(old)):
+        raise OSError(f"could not move the old {path}")
+    if not fs.rename(to_path(staged), to_path(path)):
+        if had_old:
+            fs.rename(to_path(old), to_path(path))
+        raise OSError(f"could not publish {path}")
+    if had_old:
+        fs.delete(to_path(old), True)
+
+
+def _read_partitioned(spark: SparkSession, table_path: str, schema: T.StructType, day: str | None = None) -> DataFrame:
+    """All days of a table, or one, whose folder alone is listed; a missing day or table is empty."""
+    path = table_path if day is None else f"{table_path}/dt={day}"
+    try:
+        return spark.read.schema(schema).option("basePath", table_path).parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], schema)
 
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -113,51 +144,59 @@ class TagStore:
     def tag_path(self, tag_code: str) -> str:
         return f"{self.root}/{tag_code.lower()}"
 
-    def write_tag_day(self, tag_code: str, value_type, values: DataFrame, dt: str) -> None:
-        """Replace one day of a tag table with ``values(uid, tag_value)``."""
-        target = spark_type(value_type)
+    def write_tag_day(self, tag_code: str, value_type, values: DataFrame, dt: str, comment: str | None = None) -> None:
+        """Replace one day of a tag table with ``values(uid, tag_value)``; ``comment`` is the tag's name."""
+        target, dt = spark_type(value_type), check_date(dt)
         out = values.select(F.col("uid").cast("string").alias("uid"),
                             F.col("tag_value").cast(target).alias("tag_value"))
-        _overwrite_partition(out, self.tag_path(tag_code), dt)
+        replace_folder(out, f"{self.tag_path(tag_code)}/dt={dt}")
         if self.catalog_tables:
-            name = self.create_tag_table(tag_code, value_type)
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-            self.spark.sql(f"REFRESH TABLE {name}")
+            self._add_day(self.create_tag_table(tag_code, value_type, comment), dt)
+
+    def _add_day(self, name: str, day: str) -> None:
+        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (dt = '{day}')")
+        self.spark.sql(f"REFRESH TABLE {name}")
 
     def _qualified(self, table: str) -> str:
-        name = _ident(table)
-        return f"{_ident(self.database)}.{name}" if self.database else name
+        # Always with its database: a temp view of the same name must not stand in for the table.
+        return f"{_ident(self.database or self.spark.catalog.currentDatabase())}.{_ident(table)}"
 
     def tag_table_name(self, tag_code: str) -> str:
         return self._qualified(tag_code.lower())
 
-    def create_tag_table(self, tag_code: str, value_type) -> str:
-        """Catalog table over the tag table's folder, typed by value type."""
+    def create_tag_table(self, tag_code: str, value_type, comment: str | None = None) -> str:
+        """Catalog table over the tag table's folder, typed by value type, commented with the tag's name."""
         name = self.tag_table_name(tag_code)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (uid STRING, tag_value "
-                       f"{spark_type(value_type).simpleString()}, dt STRING) USING parquet "
-                       f"PARTITIONED BY (dt) LOCATION '{_literal(self.tag_path(tag_code))}'")
+        about = f" COMMENT '{_literal(comment)}'" if comment else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (uid STRING COMMENT 'user id', tag_value "
+                       f"{spark_type(value_type).simpleString()} COMMENT 'tag value', dt STRING COMMENT 'business day') "
+                       f"USING parquet PARTITIONED BY (dt){about} LOCATION '{_literal(self.tag_path(tag_code))}'")
         return name
 
     def read_tag_table(self, tag_code: str, value_type) -> DataFrame:
         return _read_partitioned(self.spark, self.tag_path(tag_code), tag_table_schema(value_type))
 
     def read_tag_day(self, tag_code: str, value_type, dt: str) -> DataFrame:
-        return (self.read_tag_table(tag_code, value_type)
-                .filter(F.col("dt") == F.lit(dt)).select("uid", "tag_value"))
+        return _read_partitioned(self.spark, self.tag_path(tag_code), tag_table_schema(value_type),
+                                 check_date(dt)).select("uid", "tag_value")
 
     # wide tables ----------------------------------------------------------
     def wide_path(self, dt: str) -> str:
-        return f"{self.root}/{wide_table_name(dt)}"
+        return f"{self.root}/{wide_table_name(check_date(dt))}"
 
-    def write_wide(self, wide: DataFrame, dt: str) -> None:
+    def write_wide(self, wide: DataFrame, dt: str, comments: dict[str, str] | None = None) -> None:
         """Drop-and-recreate semantics: the day's wide table is replaced whole
-        (its columns are that day's active tags, so the schema can change)."""
-        wide.write.mode("overwrite").parquet(self.wide_path(dt))
+        (its columns are that day's active tags, so the schema can change).
+        ``comments`` are the tag names by column."""
+        replace_folder(wide, self.wide_path(dt))
         if self.catalog_tables:
             name = self._qualified(wide_table_name(dt))
+            columns = ", ".join(
+                f"`{f.name}` {f.dataType.simpleString()} COMMENT '{_literal((comments or {}).get(f.name, f.name))}'"
+                for f in wide.schema.fields)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # a table with LOCATION keeps its files
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{_literal(self.wide_path(dt))}'")
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet COMMENT 'merged tags of {dt}' "
+                           f"LOCATION '{_literal(self.wide_path(dt))}'")
 
     def read_wide(self, dt: str) -> DataFrame:
         return self.spark.read.parquet(self.wide_path(dt))
@@ -167,25 +206,22 @@ class TagStore:
         return f"{self.root}/{bitmap_table_name(value_type)}"
 
     def write_bitmap_day(self, value_type, bitmaps: DataFrame, dt: str) -> None:
-        users = F.col("users") if "users" in bitmaps.columns else F.bitmap_count("us")
+        users = F.col("users") if "users" in bitmaps.columns else users_in("us")
         out = bitmaps.select("tag_code", "tag_value", "bucket", "us", users.cast("long").alias("users"))
-        # a sparse value's 4 KB bitmap is almost all zero bytes: zstd stores
-        # it in a few dozen bytes where snappy needs a few hundred
-        _overwrite_partition(out, self.bitmap_path(value_type), date_token(dt), compression="zstd")
+        day = date_token(check_date(dt))
+        replace_folder(out, f"{self.bitmap_path(value_type)}/dt={day}", compression="zstd")
         if self.catalog_tables:
             name = self._qualified(bitmap_table_name(value_type))
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (tag_code STRING, tag_value STRING, "
                            f"bucket BIGINT, us BINARY, users BIGINT, dt STRING) USING parquet "
                            f"PARTITIONED BY (dt) LOCATION '{_literal(self.bitmap_path(value_type))}'")
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-            self.spark.sql(f"REFRESH TABLE {name}")
+            self._add_day(name, day)
 
     def read_bitmap_table(self, value_type) -> DataFrame:
         return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA)
 
     def read_bitmap_day(self, value_type, dt: str) -> DataFrame:
-        return (self.read_bitmap_table(value_type)
-                .filter(F.col("dt") == F.lit(date_token(dt))))
+        return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA, date_token(check_date(dt)))
 
     # SQL access -------------------------------------------------------------
     def register_views(self, tags, dts=(), value_types=()) -> list[str]:

@@ -1,21 +1,56 @@
 """Delimited text tables (Hive text layout: tab separated, ``\\N`` for NULL).
 
 Compression is chosen per write (gzip, deflate, bzip2, snappy, ...); reads
-pick the codec from the file extension.  Values containing a tab are quoted
-on write, so unlike plain Hive text they survive a round trip.
+pick the codec from the file extension.  A backslash, tab, line feed or
+carriage return inside a value is written as ``\\\\``, ``\\t``, ``\\n`` or
+``\\r``, so every text (blanks at its ends, line breaks, a literal ``\\N``)
+survives a round trip, and a line is always one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TEXT_OPTIONS = {"sep": "\t", "nullValue": "\\N", "quote": '"', "escape": "\\", "header": "false"}
+NULL = "\\N"
+_ESCAPES = [("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")]
+
+
+def _escaped(col: Column) -> Column:
+    out = F.replace(col, F.lit("\\"), F.lit("\\\\"))
+    for raw, mark in _ESCAPES:
+        out = F.replace(out, F.lit(raw), F.lit(mark))
+    return out
+
+
+def _unescaped(col: Column) -> Column:
+    def part(piece: Column) -> Column:
+        for raw, mark in _ESCAPES:
+            piece = F.replace(piece, F.lit(mark), F.lit(raw))
+        return piece
+
+    # Between escaped backslashes every backslash starts a mark.
+    return F.array_join(F.transform(F.split(col, r"\\\\", -1), part), "\\")
 
 
 def write_tsv(df: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**_TEXT_OPTIONS).option("compression", compression).csv(path)
+    cells = [F.coalesce(_escaped(F.col(f"`{c}`").cast("string")), F.lit(NULL)) for c in df.columns]
+    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode(mode).option("compression", compression).text(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**_TEXT_OPTIONS).option("mode", "FAILFAST").csv(path)
+    """Rows typed by ``schema``; a line with another number of cells, or a cell that does not convert, fails the job."""
+    cells = F.split("value", "\t", -1)
+    n = len(schema.fields)
+    checked = F.when(F.size(cells) != n, F.raise_error(F.concat(F.lit(f"a line does not have {n} cells: "), "value"))
+                     ).otherwise(cells)
+    columns = []
+    for i, f in enumerate(schema.fields):
+        cell = F.col("cells")[i]
+        text = F.when(cell == NULL, None).otherwise(_unescaped(cell))
+        value = text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)
+        bad = text.isNotNull() & value.isNull()
+        columns.append(F.when(bad, F.raise_error(F.concat(F.lit(f"not a {f.dataType.simpleString()}: "), text)))
+                       .otherwise(value).alias(f.name))
+    return spark.read.text(path).select(checked.alias("cells")).select(*columns)

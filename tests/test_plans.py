@@ -57,7 +57,9 @@ def test_day_read_is_partition_pruned(spark, tmp_root):
     df = spark.createDataFrame([("1", 2)], "uid string, tag_value bigint")
     store.write_tag_day("TAG_X", "1", df, "2021-01-01")
     store.write_tag_day("TAG_X", "1", df, "2021-01-02")
-    plan = _plan(store.read_tag_day("TAG_X", "1", "2021-01-02"))
+    files = store.read_tag_day("TAG_X", "1", "2021-01-02").inputFiles()
+    assert files and all("dt=2021-01-02/" in f for f in files)  # the other day is not even listed
+    plan = _plan(store.read_tag_table("TAG_X", "1").where("dt = '2021-01-02'"))
     assert "PartitionFilters: [isnotnull(dt" in plan and "(dt#" in plan
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tagweave.session import storage_root, work_dir
+from tagweave.session import get_session, storage_root, work_dir
 
 
 class _Conf:
@@ -50,3 +50,16 @@ def test_local_session_gets_its_own_folder():
     root = storage_root(s)
     assert root.startswith("/") and s.sparkContext.dir == root
     assert storage_root(s) == root  # stable once set
+
+
+def test_a_running_session_keeps_its_settings(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        again = get_session()
+        assert again.conf.get("spark.sql.session.timeZone") == "Asia/Shanghai"
+        assert again.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -25,7 +25,7 @@ def test_partition_filter_is_pruned(spark, tmp_root):
     store = TagStore(spark, tmp_root)
     df = spark.createDataFrame([("1", "a")], "uid string, tag_value string")
     store.write_tag_day("TAG_S", "3", df, "2021-01-01")
-    plan = store.read_tag_day("TAG_S", "3", "2021-01-01")._jdf.queryExecution().executedPlan().toString()
+    plan = store.read_tag_table("TAG_S", "3").where("dt = '2021-01-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
