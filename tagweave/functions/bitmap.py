@@ -6,6 +6,11 @@ the bit inside it.  For uid >= 1: ``uid = (bucket - 1) * 32768 + pos + 1``;
 uid 0 is bucket 0, bit 0.  Grouping by (key, bucket) keeps every aggregation
 state at 4 KB, so a value held by a third of all users still spreads over
 ``users / 32768`` independent groups.
+
+A stored ``us`` has one of two forms, told apart by its length: the 4096-byte
+bitmap, or, for at most ``SPARSE_LIMIT`` set bits, the sorted positions as
+two-byte big-endian numbers.  A value held by one user takes two bytes instead
+of 4 KB; every function here reads both forms.
 """
 
 from __future__ import annotations
@@ -46,36 +51,73 @@ def checked_uid(col) -> Column:
                   ).otherwise(as_long)
 
 
-# Bitmaps unpacked together per chunk: 512 x 32768 bits = 16 MB of scratch.
-_DECODE_CHUNK = 512
+SPARSE_LIMIT = 1024
+
+
+def stored(bitmap: Column, positions: Column) -> Column:
+    """The stored form of one group from its bitmap and the sorted array of its positions."""
+    digits = F.transform(positions, lambda p: F.lpad(F.hex(p), 4, "0"))
+    return F.when(F.size(positions) <= SPARSE_LIMIT, F.unhex(F.array_join(digits, ""))).otherwise(bitmap)
+
+
+def users_in(us) -> Column:
+    """Set bits of a stored bitmap."""
+    c = F.col(us) if isinstance(us, str) else us
+    size = F.octet_length(c)
+    return F.when(size == BYTES_PER_BITMAP, F.bitmap_count(c)).otherwise((size / 2).cast("long"))
+
+
+def dense(bitmaps: DataFrame, keys: list[str], bitmap_col: str = "us") -> DataFrame:
+    """``keys + [us]`` with every ``us`` as a 4096-byte bitmap; ``keys`` identify a row."""
+    full = F.octet_length(bitmap_col) == BYTES_PER_BITMAP
+    numbers = F.sequence(F.lit(0), (F.octet_length(bitmap_col) / 2).cast("int") - 1)
+    at = F.transform(numbers, lambda i: F.conv(F.hex(F.substring(bitmap_col, i * 2 + 1, F.lit(2))), 16, 10).cast("long"))
+    spread = (bitmaps.filter(~full & (F.octet_length(bitmap_col) > 0)).select(*keys, F.explode(at).alias("_at"))
+              .groupBy(*keys).agg(F.bitmap_construct_agg("_at").alias(bitmap_col)))
+    return bitmaps.filter(full).select(*keys, bitmap_col).unionByName(spread)
+
+
+# Uids of one output batch of decode; one bitmap adds at most 32768 more.
+_DECODE_ROWS = 1 << 18
 
 
 def decode(bitmaps: DataFrame, keys: list[str], bucket_col: str = "bucket",
            bitmap_col: str = "us", uid_col: str = "uid") -> DataFrame:
     """One row per uid set in each bitmap: ``keys + [uid]``.
 
-    Runs as ``mapInPandas``: each Arrow batch of bitmaps is unpacked with
-    numpy, so the work is spread over the bitmap rows' partitions and no
-    bitmap ever leaves its task.  The task function only needs numpy and
-    pandas on the executors (it is shipped by value).
+    Runs as ``mapInPandas``: bitmaps are unpacked one by one with numpy and
+    handed on every ``_DECODE_ROWS`` uids, so a task holds its input batch and
+    a bounded output.  The task function only needs numpy and pandas on the
+    executors (it is shipped by value).
     """
     key_fields = [bitmaps.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + [T.StructField(uid_col, T.LongType(), False)])
-    chunk_rows, nbytes, nbits = _DECODE_CHUNK, BYTES_PER_BITMAP, BITS_PER_BUCKET
+    limit, nbytes, nbits = _DECODE_ROWS, BYTES_PER_BITMAP, BITS_PER_BUCKET
 
     def expand(batches):
         import numpy as np
 
+        def frame(pdf, rows, uids):
+            out = pdf[keys].iloc[np.concatenate(rows)].reset_index(drop=True)
+            out[uid_col] = np.concatenate(uids)
+            return out
+
         for pdf in batches:
-            for start in range(0, len(pdf), chunk_rows):
-                chunk = pdf.iloc[start:start + chunk_rows]
-                raw = np.frombuffer(b"".join(bytes(b) for b in chunk[bitmap_col]), dtype=np.uint8)
-                bits = np.unpackbits(raw.reshape(len(chunk), nbytes), axis=1, bitorder="little")
-                rows, pos = np.nonzero(bits)
-                b = chunk[bucket_col].to_numpy()[rows].astype(np.int64)
+            rows, uids, n = [], [], 0
+            for i, (b, raw) in enumerate(zip(pdf[bucket_col], pdf[bitmap_col])):
+                raw = bytes(raw)
+                if len(raw) == nbytes:
+                    pos = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little"))
+                else:
+                    pos = np.frombuffer(raw, ">u2")
                 pos = pos.astype(np.int64)
-                out = chunk[keys].iloc[rows].reset_index(drop=True)
-                out[uid_col] = np.where(b == 0, pos, (b - 1) * nbits + pos + 1)
-                yield out
+                rows.append(np.full(len(pos), i))
+                uids.append(pos if b == 0 else (b - 1) * nbits + pos + 1)
+                n += len(pos)
+                if n >= limit:
+                    yield frame(pdf, rows, uids)
+                    rows, uids, n = [], [], 0
+            if n:
+                yield frame(pdf, rows, uids)
 
     return bitmaps.select(*keys, bucket_col, bitmap_col).mapInPandas(expand, out_schema)

@@ -1,9 +1,10 @@
 """Inverted index: wide table -> uid bitmaps per (tag_code, tag_value).
 
 Unpivot the wide table to ``(uid, tag_code, tag_value)``, drop empty cells,
-then aggregate ``bitmap_construct_agg`` per ``(tag_code, tag_value, bucket)``.
-Each bitmap is a fixed 4 KB covering 32768 uids, so a value held by a third
-of all users spreads over ``users / 32768`` independent groups.
+then aggregate per ``(tag_code, tag_value, bucket)``.  A bucket covers 32768
+uids, so a value held by a third of all users spreads over ``users / 32768``
+independent groups; a group of few users is stored as its positions, a large
+one as a 4 KB bitmap (see :mod:`tagweave.functions.bitmap`).
 Multi-valued cells (``'a,b'``) are one value, as in the wide table.
 
 Audience selection (AND / OR of several ``(tag_code, tag_value)`` pairs)
@@ -13,7 +14,7 @@ turns a result back into uid rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions import bitmap as bm
@@ -56,8 +57,10 @@ def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
              .withColumn("bucket", bm.bucket(F.col("_uid")))
              .repartition("tag_code", "tag_value", "bucket"))
     out = (keyed.groupBy("tag_code", "tag_value", "bucket")
-           .agg(F.bitmap_construct_agg(bm.position(F.col("_uid"))).alias("us"))
-           .withColumn("users", F.bitmap_count("us")))
+           .agg(F.bitmap_construct_agg(bm.position(F.col("_uid"))).alias("_bitmap"),
+                F.sort_array(F.collect_set(bm.position(F.col("_uid")))).alias("_positions"))
+           .select("tag_code", "tag_value", "bucket", bm.stored(F.col("_bitmap"), F.col("_positions")).alias("us"),
+                   F.size("_positions").cast("long").alias("users")))
     if dt is not None:
         out = out.withColumn("dt", F.lit(date_token(dt)))
     return out
@@ -77,21 +80,31 @@ def bitmaps_by_type(wide: DataFrame, tags: list[TagDef], dt: str | None = None,
     return out
 
 
+def _one_day(df: DataFrame, value: Column) -> Column:
+    """``value`` of a group, which must come from one day: bitmaps of several days would count a user twice."""
+    if "dt" not in df.columns:
+        return value
+    return F.when(F.min("dt") != F.max("dt"), F.raise_error(F.lit("bitmaps of more than one day"))).otherwise(value)
+
+
 def cardinality(bitmaps: DataFrame, keys=("tag_code", "tag_value")) -> DataFrame:
     """Users per key: the bucket counts summed (buckets are disjoint).
 
+    The bitmaps must be of one day; a key that two days hold fails the job.
+
     Uses the stored ``users`` column when the frame has one, so only that
     column is read; otherwise counts the bits.
     """
-    per_bucket = F.col("users") if "users" in bitmaps.columns else F.bitmap_count("us")
-    return bitmaps.groupBy(*keys).agg(F.sum(per_bucket).cast("long").alias("users"))
+    per_bucket = F.col("users") if "users" in bitmaps.columns else bm.users_in("us")
+    return bitmaps.groupBy(*keys).agg(_one_day(bitmaps, F.sum(per_bucket).cast("long")).alias("users"))
 
 
 def select_audience(bitmaps: DataFrame, conditions: list[tuple[str, str]], how: str = "and") -> DataFrame:
     """``(bucket, us)`` of users matching all (``and``) or any (``or``) condition.
 
     Conditions are ``(tag_code, tag_value)`` pairs.  Per bucket, AND needs all
-    of them present (a missing one means an empty intersection there).
+    of them present (a missing one means an empty intersection there).  The
+    bitmaps must be of one day, in which (code, value, bucket) is unique.
     """
     if not conditions:
         raise ValueError("an audience needs at least one condition")
@@ -99,15 +112,15 @@ def select_audience(bitmaps: DataFrame, conditions: list[tuple[str, str]], how:
     for code, value in dict.fromkeys(conditions):
         cond = (F.col("tag_code") == F.lit(code.lower())) & (F.col("tag_value") == F.lit(value))
         wanted = cond if wanted is None else (wanted | cond)
-    picked = bitmaps.filter(wanted)
+    days = ["dt"] if "dt" in bitmaps.columns else []
+    picked = bm.dense(bitmaps.filter(wanted), ["tag_code", "tag_value", "bucket", *days])
     n = len(dict.fromkeys(conditions))
     if how == "and":
         per_bucket = (picked.groupBy("bucket")
-                      .agg(F.bitmap_and_agg("us").alias("us"),
-                           F.count_distinct("tag_code", "tag_value").alias("_hits"))
-                      .filter(F.col("_hits") == n).drop("_hits"))
+                      .agg(_one_day(picked, F.bitmap_and_agg("us")).alias("us"), F.count(F.lit(1)).alias("_hits"))
+                      .filter(F.col("_hits") >= n).drop("_hits"))
     elif how == "or":
-        per_bucket = picked.groupBy("bucket").agg(F.bitmap_or_agg("us").alias("us"))
+        per_bucket = picked.groupBy("bucket").agg(_one_day(picked, F.bitmap_or_agg("us")).alias("us"))
     else:
         raise ValueError(f"how must be 'and' or 'or', not {how!r}")
     return per_bucket.filter(F.bitmap_count("us") > 0)

@@ -5,8 +5,10 @@
    ``9.50``), so mixed value types never widen each other.
 2. **Pivot**: ``groupBy(uid).pivot(tag_name, <explicit tag list>)``; each
    cell is the sorted values joined with ``,`` (duplicates kept, NULLs
-   dropped) and ``''`` when the user has none.  One shuffle on ``uid``; the
-   per-user lists are combined map-side first (partial ``collect_list``).
+   dropped) and ``''`` when the user has none.  The long rows are shuffled
+   once, on ``uid``, and everything after happens behind that one exchange:
+   with about one row per user and tag a map-side combine has nothing to
+   combine and would only sort.  Rows with a NULL uid form one user row.
 
 Optional **pre-aggregation** (``preaggregate=True``) first counts
 ``(uid, tag_name, tag_value)`` on all three keys and collects distinct values
@@ -83,6 +85,7 @@ def pivot_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = False
     """Long form -> ``uid`` + one lower-cased text column per tag (in given order)."""
     columns = _columns(tag_codes)
     rows, cell = _prepared(long, ["uid"], preaggregate)
+    rows = rows.repartition("uid")
     pivoted = rows.groupBy("uid").pivot("tag_name", list(tag_codes)).agg(cell)
     return pivoted.select("uid", *[F.coalesce(F.col(f"`{code}`"), F.lit("")).alias(col)
                                    for code, col in zip(tag_codes, columns)])
@@ -97,8 +100,10 @@ def map_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = False)
     ``tag -> cell`` map that the output columns look up.
     """
     columns = _columns(tag_codes)
-    cells = collect_values(long.filter(F.col("tag_name").isin(list(tag_codes))), ["uid", "tag_name"],
-                           preaggregate)
+    wanted = long.filter(F.col("tag_name").isin(list(tag_codes)))
+    rows, cell = _prepared(wanted, ["uid", "tag_name"], preaggregate)
+    # Distributed by uid, both groupings find their rows in place.
+    cells = rows.repartition("uid").groupBy("uid", "tag_name").agg(F.coalesce(cell, F.lit("")).alias("tag_value"))
     per_uid = cells.groupBy("uid").agg(
         F.map_from_entries(F.collect_list(F.struct("tag_name", "tag_value"))).alias("_cells"))
     return per_uid.select("uid", *[F.coalesce(F.try_element_at("_cells", F.lit(code)), F.lit("")).alias(col)
