@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from tagweave.sources.jdbc import EXPORT_BATCH_SIZE, EXPORT_ISOLATION, EXPORT_PARTITIONS, export_jdbc
 
 
+EXPORT_TEXT_TYPE = "VARCHAR(32672)"
+
+
 def serving_frame(wide: DataFrame) -> DataFrame:
     uid = F.col("uid").cast("string").try_cast("bigint")
     checked = F.when(uid.isNull(), F.raise_error(F.concat(F.lit("uid is not an integer: "),
@@ -42,11 +45,16 @@ def read_sorted(spark: SparkSession, path: str) -> DataFrame:
 
 def export_wide_jdbc(wide: DataFrame, url: str, table: str, table_options: str | None = None,
                      properties: dict[str, str] | None = None, batch_size: int = EXPORT_BATCH_SIZE,
-                     isolation: str = EXPORT_ISOLATION, num_partitions: int = EXPORT_PARTITIONS) -> None:
-    """Replace ``table`` with the wide table: ``uid BIGINT`` + one text column per tag."""
+                     isolation: str = EXPORT_ISOLATION, num_partitions: int = EXPORT_PARTITIONS,
+                     text_type: str = EXPORT_TEXT_TYPE) -> None:
+    """Replace ``table`` with the wide table: ``uid BIGINT`` + one ``text_type`` column per tag.
+
+    The default is the longest VARCHAR of common databases; a serving store
+    with an unbounded text type should name it.
+    """
     frame = serving_frame(wide)
     tag_cols = [c for c in frame.columns if c != "uid"]
-    column_types = ", ".join(["uid BIGINT"] + [f"{c} VARCHAR(32672)" for c in tag_cols])
+    column_types = ", ".join(["uid BIGINT"] + [f"{c} {text_type}" for c in tag_cols])
     export_jdbc(frame, url, table, column_types=column_types, table_options=table_options,
                 properties=properties, batch_size=batch_size, isolation=isolation,
                 num_partitions=num_partitions)

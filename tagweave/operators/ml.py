@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Column names of predictions.
 LABEL_INDEX = "label_index"
 FEATURES_ASSEMBLED = "features_assemble"
 FEATURES_INDEXED = "features_index"
@@ -41,9 +42,23 @@ def encode_categories(df: DataFrame, mapping: dict[str, dict[str, int]]) -> Data
     return out
 
 
-def split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
-    """Random split with a fixed seed (reproducible train / test sets)."""
-    return df.randomSplit(list(weights), seed=seed)
+PART = "part"
+
+
+def split(df: DataFrame, key: str, train: float = 0.7, seed: int = 42) -> DataFrame:
+    """All rows of ``df`` with ``part``: ``train`` or ``test``.
+
+    The part follows from a hash of the key and the seed, so a row keeps it
+    whatever the file layout, and no sort or second pass is needed.  A NULL
+    key hashes as the empty text.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    return df.withColumn(PART, F.when(share < train, F.lit("train")).otherwise(F.lit("test")))
+
+
+def part(df: DataFrame, name: str) -> DataFrame:
+    return df.filter(F.col(PART) == name)
 
 
 class TagClassifier:
@@ -81,15 +96,17 @@ class TagClassifier:
         return Pipeline(stages=[indexer, assembler, vindexer, tree])
 
     def fit(self, df: DataFrame) -> "TagClassifier":
-        """Fit the pipeline.  The input is persisted (memory, spilling to
-        disk) for the duration of the fit: the label indexer, the vector
-        indexer and the tree each pass over it, and a seeded random split
-        would otherwise be re-sorted and re-sampled on every pass."""
-        data = df.persist(StorageLevel.MEMORY_AND_DISK)
+        """Fit the pipeline.  Unless the caller has cached it already, the
+        input is persisted (executor memory, spilling to executor disk) for
+        the duration of the fit: the label indexer, the vector indexer and
+        the tree each pass over it.  A lost part is recomputed."""
+        mine = not (df.storageLevel.useMemory or df.storageLevel.useDisk)
+        data = df.persist(StorageLevel.MEMORY_AND_DISK) if mine else df
         try:
             self.model = self.pipeline().fit(data)
         finally:
-            data.unpersist()
+            if mine:
+                data.unpersist()
         return self
 
     def _fitted(self) -> PipelineModel:

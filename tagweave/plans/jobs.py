@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagweave.functions.values import check_date
 from tagweave.operators import bitmap as bitmap_ops
 from tagweave.operators.merge import merge_tags
 from tagweave.operators.tag import TagResult, TaskPlan, build_tag, compute_tag, plan_active
@@ -22,8 +23,9 @@ from tagweave.sources.tables import TagStore
 def tag_job(spark: SparkSession, catalog: Catalog, task_id: int, dt: str, store: TagStore,
             rules_method: str = "auto") -> TagResult:
     """Compute one tag and replace its day in the tag table."""
+    check_date(dt)
     result = compute_tag(spark, catalog, task_id, dt, rules_method)
-    store.write_tag_day(result.tag.tag_code, result.tag.tag_value_type, result.values, dt)
+    store.write_tag_day(result.tag.tag_code, result.tag.tag_value_type, result.values, dt, result.tag.tag_name)
     return result
 
 
@@ -50,8 +52,9 @@ def wide_frame(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore |
 
 def merge_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore) -> DataFrame:
     """Wide table of the day from the tag tables; the day's table is replaced."""
-    _, wide = wide_frame(spark, catalog, dt, store)
-    store.write_wide(wide, dt)
+    check_date(dt)
+    tags, wide = wide_frame(spark, catalog, dt, store)
+    store.write_wide(wide, dt, {t.column: t.tag_name for t in tags})
     return store.read_wide(dt)
 
 
@@ -64,6 +67,7 @@ def bitmap_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore,
     Every type's day is rewritten (an empty one when no active tag has that
     type), so a rerun after a catalog change leaves no stale bitmaps.
     """
+    check_date(dt)
     tags = tags if tags is not None else active_tag_list(catalog)
     if wide is None:
         wide = store.read_wide(dt)

@@ -2,8 +2,8 @@
 
 Written from the semantics, not generated from the Spark plans: tags are
 plain GROUP BY / CASE queries, the wide table is ``string_agg ... FILTER``,
-bitmaps are ``count(DISTINCT uid)`` per bucket, ML results follow from the
-separable label.  The catalog of :mod:`tagweave.plans.profile` appears as
+bitmaps are ``count(DISTINCT uid)`` per bucket, ML results are the majority
+votes of a one-level tree.  The catalog of :mod:`tagweave.plans.profile` appears as
 ``VALUES`` lists.
 """
 
@@ -107,14 +107,27 @@ ML_FRAME = """SELECT o_orderkey, o_totalprice, month(o_orderdate) AS order_month
     WHEN '4-NOT SPECIFIED' THEN 14 WHEN '5-LOW' THEN 15 END AS priority_code,
   CASE o_orderstatus WHEN 'F' THEN 21 WHEN 'O' THEN 22 WHEN 'P' THEN 23 END AS status_code
   FROM orders"""
-LABELLED = f"""SELECT *, CASE WHEN status_code = 21 THEN 'closed' ELSE 'open' END AS order_state
+LABELLED = f"""SELECT *, CASE WHEN (status_code = 21) <> (substr(md5('noise:' || o_orderkey), 1, 1) IN ('0', '1'))
+    THEN 'closed' ELSE 'open' END AS order_state,
+  CASE WHEN CAST('0x' || substr(md5('42:' || o_orderkey), 1, 8) AS BIGINT) / 4294967296.0 < 0.7
+    THEN 'train' ELSE 'test' END AS part
   FROM ({ML_FRAME})"""
-INDEXED = f"""WITH f AS ({LABELLED}),
-  c AS (SELECT order_state, count(*) AS n FROM f GROUP BY order_state),
+
+
+def indexed(rows: str) -> str:
+    return f"""WITH f AS ({LABELLED}),
+  c AS (SELECT order_state, count(*) AS n FROM f {rows} GROUP BY order_state),
   r AS (SELECT order_state, CAST(row_number() OVER (ORDER BY n DESC, order_state) - 1 AS DOUBLE) AS label_index FROM c)
   SELECT f.*, r.label_index FROM f JOIN r USING (order_state)"""
-# the label is a function of status_code alone, so a fitted tree reproduces it
-PREDICTED = f"SELECT *, label_index AS prediction FROM ({INDEXED})"
+
+
+# a one-level tree splits on the status and predicts the training majority of each side
+PREDICTED = f"""WITH x AS ({indexed("WHERE part = 'train'")}),
+  v AS (SELECT status_code = 21 AS side, order_state, label_index, count(*) AS n FROM x WHERE part = 'train' GROUP BY ALL),
+  best AS (SELECT side, arg_max(label_index, n) AS prediction, arg_max(order_state, n) AS prediction_origin
+    FROM v GROUP BY side)
+  SELECT x.*, best.prediction, best.prediction_origin FROM x JOIN best ON (x.status_code = 21) = best.side
+  WHERE x.part = 'test'"""
 
 
 def _sql() -> dict[str, str]:
@@ -147,6 +160,7 @@ def _sql() -> dict[str, str]:
     # scans
     q["scan_table"] = "SELECT * FROM customer"
     q["scan_tag_partition"] = order_count()
+    q["tag_table_catalog"] = f"SELECT *, '{DT}' AS dt FROM ({order_count()})"
     q["tag_sql_source"] = (f"SELECT DISTINCT o_custkey AS uid, o_orderpriority AS query_value FROM orders "
                            f"WHERE o_orderdate < TIMESTAMP '{DT}'")
     q["tag_sql_params"] = (f"SELECT o_custkey AS uid, CAST(sum(CAST(o_totalprice AS DECIMAL(16,2))) AS DECIMAL(26,2)) "
@@ -167,7 +181,6 @@ def _sql() -> dict[str, str]:
     # merge
     q["tag_union_long"] = LONG
     q["wide_pivot"] = WIDE
-    q["wide_pivot_nopreagg"] = WIDE
     q["wide_pivot_preagg"] = WIDE
     q["wide_map"] = WIDE
     q["wide_write"] = WIDE
@@ -189,7 +202,7 @@ def _sql() -> dict[str, str]:
     # ML
     q["encode_categories"] = ("SELECT o_orderkey, priority_code, status_code FROM "
                               f"({ML_FRAME})")
-    q["string_index"] = f"SELECT o_orderkey, order_state, label_index FROM ({INDEXED})"
+    q["string_index"] = f"SELECT o_orderkey, order_state, label_index FROM ({indexed('')})"
     q["assemble_features"] = (f"SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS f_price, "
                               f"CAST(order_month AS DOUBLE) AS f_month, CAST(priority_code AS DOUBLE) AS f_priority, "
                               f"CAST(status_code AS DOUBLE) AS f_status FROM ({ML_FRAME})")
@@ -199,7 +212,13 @@ def _sql() -> dict[str, str]:
                          f"CAST(dense_rank() OVER (ORDER BY status_code) - 1 AS DOUBLE) AS f_status "
                          f"FROM ({ML_FRAME})")
     q["dt_train_predict"] = f"SELECT o_orderkey, prediction FROM ({PREDICTED})"
-    q["label_back"] = f"SELECT o_orderkey, order_state AS prediction_origin FROM ({PREDICTED})"
+    q["label_back"] = f"SELECT o_orderkey, prediction_origin FROM ({PREDICTED})"
+    q["ml_split"] = f"SELECT o_orderkey, order_state, part FROM ({LABELLED})"
+    q["feature_importance"] = """SELECT * FROM (VALUES ('o_totalprice', 0.0::DOUBLE), ('order_month', 0.0::DOUBLE),
+      ('priority_code', 0.0::DOUBLE), ('status_code', 1.0::DOUBLE)) AS t(feature, importance)"""
+    q["ml_hyper_parameters"] = f"""WITH f AS ({LABELLED})
+      SELECT o_orderkey, (SELECT order_state FROM f WHERE part = 'train' GROUP BY 1 ORDER BY count(*) DESC LIMIT 1)
+        AS prediction_origin FROM f WHERE part = 'test'"""
     q["eval_accuracy"] = (f"SELECT avg(CASE WHEN prediction = label_index THEN 1.0 ELSE 0.0 END)::DOUBLE "
                           f"AS accuracy FROM ({PREDICTED})")
     q["eval_confusion"] = (f"SELECT label_index, prediction, CAST(count(*) AS BIGINT) AS n FROM ({PREDICTED}) "
@@ -213,7 +232,7 @@ def _sql() -> dict[str, str]:
         (coalesce(h.tp, 0) / t.actual)::DOUBLE AS recall
       FROM t LEFT JOIN g USING (label) LEFT JOIN h USING (label)"""
     q["model_roundtrip"] = f"SELECT o_orderkey, prediction FROM ({PREDICTED})"
-    q["ml_end_to_end"] = f"SELECT o_orderkey, order_state AS prediction_origin FROM ({PREDICTED})"
+    q["ml_end_to_end"] = f"SELECT o_orderkey, order_state, prediction_origin FROM ({PREDICTED})"
     return q
 
 

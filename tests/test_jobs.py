@@ -60,7 +60,7 @@ def test_stored_tables_queryable_by_name(spark, flow):
     assert "tag_order_count" in names and "up_tag_merge_20000101" in names
     n = spark.sql(f"select count(*) from tag_order_count where dt = '{DAY}'").first()[0]
     assert n == store.read_tag_day("TAG_ORDER_COUNT", "1", DAY).count() > 0
-    users = spark.sql("select sum(bitmap_count(us)) from user_tag_value_string "
+    users = spark.sql("select sum(users) from user_tag_value_string "
                       "where dt = '20000101' and tag_code = 'tag_base_segment' and tag_value = 'Furn'").first()[0]
     wide = spark.sql("select count(*) from up_tag_merge_20000101 where tag_base_segment = 'Furn'").first()[0]
     assert users == wide > 0
