@@ -10,7 +10,8 @@ Encoding (``encode``):
 2. the word lists are shuffled by bucket, so equal words of all chunks meet in
    one task and each distinct word is encoded once;
 3. the ids go back to their chunks in a second shuffle and are laid out by
-   position.
+   position.  The sequences, the largest part, stay where they are: their table
+   is bucketed by chunk, so the join reads it without another shuffle.
 
 A word occurs at most once per chunk in the shuffle however frequent it is, so a
 word that makes up a third of all text is no hot key.  Memory per task is one
@@ -34,13 +35,13 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import small_batches, written
+from tagweave.llm.common import shared_path, small_batches
 from tagweave.llm.pretoken import split_texts
 
-CHUNK_CHARS = 16 << 20   # characters of a chunk
+CHUNK_CHARS = 8 << 20   # characters of a chunk
 PART_CHARS = 1 << 20     # characters that are split at once
 OUT_IDS = 1 << 20        # ids of one output batch
 # Fixed value: the split pattern of byte-level BPE vocabularies.
@@ -85,45 +86,40 @@ def _narrow(a: np.ndarray) -> np.ndarray:
     return a.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
 
 
-_CHUNK_SCHEMA = "chunk long, bucket int, payload binary, doc_ids array<long>, counts array<long>"
+_CHUNK_SCHEMA = "chunk long, payload binary, doc_ids array<long>, counts array<long>, words array<binary>"
 
 
 def _chunks(id_type: pa.DataType, buckets: int):
-    schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary()),
-                        ("doc_ids", pa.list_(id_type)), ("counts", pa.list_(pa.int64()))])
+    schema = pa.schema([("chunk", pa.int64()), ("payload", pa.binary()), ("doc_ids", pa.list_(id_type)),
+                        ("counts", pa.list_(pa.int64())), ("words", pa.list_(pa.binary()))])
 
     def rows(chunk: int, parts: list, number: dict) -> Iterator[pa.RecordBatch]:
-        ids = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
+        ids = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int32)
         # Frequent words get small indices: their byte planes compress well.
         order = np.argsort(-np.bincount(ids, minlength=len(number)), kind="stable")
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         words = list(number)
         by_bucket: dict[int, list[int]] = {}
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         for i in order.tolist():
             by_bucket.setdefault(_bucket(raw[i], buckets), []).append(i)
-        out = [(chunk, -1, _pack(_narrow(rank[ids])), pa.concat_arrays([p[0] for p in parts]).to_pylist(),
-                np.concatenate([p[2] for p in parts]).tolist())]
-        for b, members in sorted(by_bucket.items()):
+        packed = [None] * buckets
+        for b, members in by_bucket.items():
             text = b"".join(raw[i] for i in members)
-            out.append((chunk, b, _pack(_narrow(np.diff(rank[members], prepend=0)),
-                                        _narrow(np.array([len(raw[i]) for i in members])),
-                                        np.frombuffer(text, dtype=np.uint8)), None, None))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            packed[b] = _pack(_narrow(np.diff(rank[members], prepend=0)),
+                              _narrow(np.array([len(raw[i]) for i in members])), np.frombuffer(text, dtype=np.uint8))
+        row = (chunk, _pack(_narrow(rank[ids])), pa.concat_arrays([p[0] for p in parts]).to_pylist(),
+               np.concatenate([p[2] for p in parts]).tolist(), packed)
+        yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip(row, schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
         parts, number, chars, ordinal = [], {}, 0, 0
-
-        def sizes(batch):
-            return [len(t or "") for t in batch.column(1).to_pylist()]
-
-        for batch in small_batches(batches, sizes, PART_CHARS):
+        for batch in small_batches(batches, "text", PART_CHARS):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             tokens, counts = split_texts(texts)
-            ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64, len(tokens))
+            ids = np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int32, len(tokens))
             parts.append((batch.column(0), ids, counts))
             chars += sum(map(len, texts))
             if chars >= CHUNK_CHARS:
@@ -195,32 +191,47 @@ def _reassemble(id_type: pa.DataType):
             i = j
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: list = []  # rows come sorted: a chunk's words first, its sequence (bucket -1 -> last) closes it
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["last"]:
-                    yield from texts_of(words, row["doc_ids"], row["counts"], row["payload"])
-                    words = []
-                else:
-                    words.append(_unpack(row["payload"]))
+            for i in range(batch.num_rows):  # one chunk at a time
+                row = batch.slice(i, 1).to_pylist()[0]
+                words = [_unpack(p) for p in row["words"] or []]
+                yield from texts_of(words, row["doc_ids"], row["counts"], row["payload"])
 
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], buckets: int | None = None) -> DataFrame:
-    """(doc_id, ids array<int>) for every row of ``docs`` (doc_id, text)."""
+def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` as a table in the shared folder, bucketed by chunk; its catalog entry goes, the files stay."""
+    spark = rows.sparkSession
+    path = shared_path(spark, "bpe-chunks")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    (rows.write.format("parquet").option("compression", "none").option("path", path)  # payloads are packed already
+     .bucketBy(buckets, "chunk").saveAsTable(name))
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
+def _laid_out(docs: DataFrame, ranks: dict[bytes, int], buckets: int | None) -> DataFrame:
+    """One row a chunk: the packed ids of its words beside its sequence of word positions."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # bounded by the vocabulary
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    table = written(rows.mapInArrow(_chunks(pa.int64(), buckets), _CHUNK_SCHEMA), "bpe-chunks")
-    words = table.where("bucket >= 0").select("chunk", "bucket", "payload").repartition(buckets, "bucket")
+    table = _bucketed(rows.mapInArrow(_chunks(pa.int64(), buckets), _CHUNK_SCHEMA), buckets)
+    words = table.select("chunk", F.posexplode("words").alias("bucket", "payload")).where("payload is not null")
+    words = words.repartition(buckets, "bucket")
     found = words.select("chunk", "payload").mapInArrow(_encode_words(shared), "chunk long, payload binary")
-    back = found.select("chunk", "payload", F.lit(None).cast("array<long>").alias("doc_ids"),
-                        F.lit(None).cast("array<long>").alias("counts"), F.lit(False).alias("last"))
-    sequences = table.where("bucket = -1").select("chunk", "payload", "doc_ids", "counts", F.lit(True).alias("last"))
-    together = back.unionByName(sequences).repartition("chunk").sortWithinPartitions("chunk", "last")
-    return together.mapInArrow(_reassemble(pa.int64()), "doc_id long, ids array<int>")
+    # A chunk's packed ids: as many rows as buckets, bounded by the chunk.
+    back = found.groupBy("chunk").agg(F.collect_list("payload").alias("words"))
+    sequences = table.select("chunk", "payload", "doc_ids", "counts")
+    together = sequences.join(back.hint("merge"), "chunk", "left")
+    return together.select("words", "payload", "doc_ids", "counts")
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], buckets: int | None = None) -> DataFrame:
+    """(doc_id, ids array<int>) for every row of ``docs`` (doc_id, text)."""
+    return _laid_out(docs, ranks, buckets).mapInArrow(_reassemble(pa.int64()), "doc_id long, ids array<int>")
 
 
 def _decode(table):
@@ -243,8 +254,8 @@ def _decode(table):
     return run
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``encoded`` (doc_id, ids) with ``decoded``, the bytes of the ids by the token-byte table."""
+def _token_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token-byte table as one byte string with the start and size of each id."""
     top = max(ranks.values(), default=-1) + 1
     size, begin = np.zeros(top, np.int64), np.zeros(top, np.int64)
     parts, at = [], 0
@@ -252,12 +263,27 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         size[i], begin[i] = len(token), at
         parts.append(token)
         at += len(token)
-    blob = np.frombuffer(b"".join(parts), dtype=np.uint8)
-    shared = encoded.sparkSession.sparkContext.broadcast((blob, begin, size))
+    return np.frombuffer(b"".join(parts), dtype=np.uint8), begin, size
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``encoded`` (doc_id, ids) with ``decoded``, the bytes of the ids by the token-byte table."""
+    shared = encoded.sparkSession.sparkContext.broadcast(_token_bytes(ranks))
     return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(
         _decode(shared), "doc_id long, ids array<int>, decoded binary")
 
 
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], buckets: int | None = None) -> DataFrame:
+    """:func:`decode` of :func:`encode`, both in one pass of the same Python workers."""
+    shared = docs.sparkSession.sparkContext.broadcast(_token_bytes(ranks))
+    lay_out, to_bytes = _reassemble(pa.int64()), _decode(shared)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return to_bytes(lay_out(batches))
+
+    return _laid_out(docs, ranks, buckets).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
 def digests(decoded: DataFrame, *more: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of (doc_id, ids, decoded), and the columns ``more``."""
     return decoded.select(

@@ -7,18 +7,26 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.session import storage_root
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # The upper-case letters that "lower-case A-Z" replaces, and their replacements.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
 def workers_can_import(spark: SparkSession) -> None:
-    """Let Python workers import this package by name where nothing else does (a plain local session)."""
+    """Let Python workers import this package by name where nothing else does (a plain local session).
+
+    Also lowers the rows of an Arrow batch from Spark's default: texts are wide
+    rows, and a batch is held by the JVM and the worker at once.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "1000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -59,10 +67,10 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], size_of, limit: int) -> Iterator[pa.RecordBatch]:
-    """Split Arrow batches so that the summed ``size_of(batch)`` of each part stays near ``limit``."""
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that a part's ``column`` (text) holds about ``limit`` characters, or one row."""
     for batch in batches:
-        sizes = size_of(batch)
+        sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if i > start and total + n > limit:
@@ -71,3 +79,5 @@ def small_batches(batches: Iterator[pa.RecordBatch], size_of, limit: int) -> Ite
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
+        del batch
+        pa.default_memory_pool().release_unused()  # reused workers would keep the peak of every stage

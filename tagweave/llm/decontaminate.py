@@ -191,10 +191,7 @@ def _tile(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = index.value
 
-        def sizes(batch):
-            return [len(t or "") for t in batch.column("text").to_pylist()]
-
-        for batch in small_batches(batches, sizes, PART_CHARS):
+        for batch in small_batches(batches, "text", PART_CHARS):
             doc_ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             rows = []
             for t, owner, tiles in seeds.matches(batch.column("text").to_pylist()):

@@ -249,10 +249,7 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model | None = shared.value
 
-        def sizes(batch):
-            return [len(t or "") for t in batch.column("text").to_pylist()]
-
-        for batch in small_batches(batches, sizes, PART_CHARS):
+        for batch in small_batches(batches, "text", PART_CHARS):
             pred, score, shares = [], [], []
             texts = batch.column("text").to_pylist()
             for words, marginal in (label_words(model, texts) if model else [([], None)] * len(texts)):

@@ -250,10 +250,7 @@ def _scan(shared):
     schema = pa.schema(_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sizes(batch):
-            return [len(t or "") for t in batch.column("text").to_pylist()]
-
-        for batch in small_batches(batches, sizes, PART_CHARS):
+        for batch in small_batches(batches, "text", PART_CHARS):
             rows = [scan_text(shared.value, t) for t in batch.column("text").to_pylist()]
             columns = [batch.column("doc_id"), *(pa.array(c, t) for c, (_, t) in zip(zip(*rows), _SCHEMA[1:]))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -135,10 +135,7 @@ _MENTION_SQL = "array<struct<kind:int,start:int,end:int,instance:string,patterns
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def sizes(batch):
-        return [len(t or "") for t in batch.column("text").to_pylist()]
-
-    for batch in small_batches(batches, sizes, PART_CHARS):
+    for batch in small_batches(batches, "text", PART_CHARS):
         mentions = []
         for text in batch.column("text").to_pylist():
             text = text or ""

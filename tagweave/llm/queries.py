@@ -59,7 +59,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(tokenizer_path(BPE_RANKS))
-    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks))
+    return bpe.digests(bpe.round_trip(documents(spark, sf_dir), ranks))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

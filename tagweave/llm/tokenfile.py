@@ -227,10 +227,7 @@ def _write(folder: str, tokenizer_path: str, end_id: int | None):
         part, encoder, writer, stream = TaskContext.get().partitionId(), None, None, None
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}.pfor"
 
-        def sizes(batch):
-            return [len(t or "") for t in batch.column("text").to_pylist()]
-
-        for batch in small_batches(batches, sizes, PART_CHARS):
+        for batch in small_batches(batches, "text", PART_CHARS):
             if writer is None:
                 encoder = WordEncoder(tokenizer_path)
                 files, where = _open(path)

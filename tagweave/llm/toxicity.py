@@ -168,10 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sizes(batch):
-            return [len(t or "") for t in batch.column("text").to_pylist()]
-
-        for batch in small_batches(batches, sizes, PART_CHARS):
+        for batch in small_batches(batches, "text", PART_CHARS):
             scores = [model.value.score(words_of(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
