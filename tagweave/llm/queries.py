@@ -159,4 +159,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 +
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op1_quality_rules": _OP1}
+
+
+def _op8() -> str:
+    """Parts by the stated patterns, offsets by summed lengths, weak parts by an interval self-join."""
+    keep = {
+        "assign": "length(regexp_extract(hit, '{rx}', 2)) >= 6", "weak_secret": "length(regexp_extract(hit, '{rx}', 2)) >= 4",
+        "name": "length(regexp_extract(hit, '{rx}', 2)) >= 3",
+        "random": "regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[0-9]')",
+    }
+    found, roles, needs = [], [], []
+    for i, p in enumerate(secrets.PARTS):
+        rx = p.pattern.replace("'", "''")
+        found.append(f"""SELECT rid, {i} AS kind, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap
+  FROM (SELECT rid, regexp_extract_all(text, '{rx}') AS hits, regexp_split_to_array(text, '{rx}') AS gaps FROM d)""")
+        roles.append(f"WHEN kind = {i} THEN ({keep.get(p.kind, 'true').format(rx=rx)})")
+        if not p.strict:
+            needs.append(f"kind = {i} AND {p.needs}")
+    names = ", ".join(f"'{k}'" for k in secrets.KINDS)
+    role = "[" + ", ".join(str(p.role) for p in secrets.PARTS) + "]"
+    strict = sum(p.strict for p in secrets.PARTS)
+    scope, union = secrets.SCOPE, " UNION ALL ".join(found)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({union}),
+e AS (SELECT rid, kind, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY i) AS e FROM f),
+p AS (SELECT rid, kind, CAST(e - length(hit) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, {role}[kind + 1] AS role
+  FROM e WHERE CASE {' '.join(roles)} END),
+n AS (SELECT a.rid, a.kind, a.s, a.e, bit_or(CASE WHEN b.s < a.e AND b.e > a.s THEN 0 ELSE b.role END) AS near,
+    bool_or(b.kind < {strict} AND b.s < a.e AND b.e > a.s) AS inside
+  FROM p a JOIN p b ON a.rid = b.rid AND b.s <= a.e + {scope} AND b.e >= a.s - {scope}
+  WHERE a.kind >= {strict} GROUP BY ALL),
+x AS (SELECT rid, kind, s, e FROM p WHERE kind < {strict}
+  UNION ALL SELECT rid, kind, s, e FROM n WHERE NOT inside AND ({' OR '.join(f'({c})' for c in needs)})),
+t AS (SELECT rid, kind, s, e, [{names}][kind + 1] || ':' || s || ':' || e AS span FROM x),
+g AS (SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+    count(*) FILTER (WHERE kind = 2) AS n_hex, string_agg(span, ',' ORDER BY s, kind, e) FILTER (WHERE kind < {strict}) AS base,
+    string_agg(span, ',' ORDER BY s, kind, e) AS spans FROM t GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": _OP1, "op8_secret_scan": _op8()}

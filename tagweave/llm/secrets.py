@@ -58,13 +58,13 @@ PARTS = [
     Part("access", IDENTIFIER, True, r"AKIA[A-Z0-9]{16,}"),
     Part("hex", SECRET, True, r"[0-9a-f]{24,}"),
     Part("weak_secret", SECRET, False, _WEAK, f"length({_group2(_WEAK)}) >= 4",
-         f"near & {IDENTIFIER | ENDPOINT} != 0"),
+         f"(near & {IDENTIFIER | ENDPOINT}) <> 0"),
     Part("random", SECRET, False, r"[A-Za-z0-9+/]{32,}={0,2}",
-         "hit rlike '[A-Z]' and hit rlike '[a-z]' and hit rlike '[0-9]'", f"near & {IDENTIFIER | ENDPOINT} != 0"),
-    Part("name", IDENTIFIER, False, _NAME, f"length({_group2(_NAME)}) >= 3", f"near & {SECRET} != 0"),
+         "hit rlike '[A-Z]' and hit rlike '[a-z]' and hit rlike '[0-9]'", f"(near & {IDENTIFIER | ENDPOINT}) <> 0"),
+    Part("name", IDENTIFIER, False, _NAME, f"length({_group2(_NAME)}) >= 3", f"(near & {SECRET}) <> 0"),
     Part("url", ENDPOINT, False, r"""[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+""", "true",
-         f"near & {IDENTIFIER | SECRET} = {IDENTIFIER | SECRET}"),
-    Part("host", ENDPOINT, False, _HOST, "true", f"near & {IDENTIFIER | SECRET} = {IDENTIFIER | SECRET}"),
+         f"(near & {IDENTIFIER | SECRET}) = {IDENTIFIER | SECRET}"),
+    Part("host", ENDPOINT, False, _HOST, "true", f"(near & {IDENTIFIER | SECRET}) = {IDENTIFIER | SECRET}"),
 ]
 KINDS = [p.kind for p in PARTS]
 # A text without any of these has no part.
