@@ -50,7 +50,7 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and the digests of ids and decoded bytes."""
     ranks = bpe.load_ranks(tokenizer_path(BPE_RANKS))
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks), ranks), "ids")
+    return bpe.digests(bpe.round_trip(docs, ranks), "ids")
 
 
 STAGES = [
