@@ -40,16 +40,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
-_SETUP: dict[int, tuple[str, cat.Catalog]] = {}
+_SETUP: dict[str, tuple[str, cat.Catalog]] = {}  # by application id
 
 
 def _setup(spark: SparkSession, sf: str) -> cat.Catalog:
     """Input views of ``sf`` and the demo catalog, made once per session and dir."""
-    known = _SETUP.get(id(spark))
+    app = spark.sparkContext.applicationId
+    known = _SETUP.get(app)
     if known is None or known[0] != sf or not spark.catalog.tableExists("orders"):
         register_tables(spark, sf)
         known = (sf, demo_catalog(spark))
-        _SETUP[id(spark)] = known
+        _SETUP[app] = known
     return known[1]
 
 
