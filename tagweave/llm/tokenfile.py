@@ -25,6 +25,7 @@ an empty manifest and no files.
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 from collections.abc import Iterator
@@ -43,7 +44,7 @@ PERCENTILE = 95
 MAGIC = b"PFORIDS1"
 HEAD = np.dtype([("low", "<u4"), ("exceptions", "<u2"), ("width", "u1"), ("count", "<u2")])
 PART_CHARS = 1 << 20
-KNOWN_WORDS = 300_000   # entries of a task's word cache; it is emptied when full
+KNOWN_WORDS = 600_000   # entries of each of the two generations of a worker's word cache (about 120 MB each)
 
 
 # --- blocks ----------------------------------------------------------------------------------
@@ -174,6 +175,7 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.newline = self._one("\n")
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -200,10 +202,12 @@ class WordEncoder:
         tokens, counts = split_texts(texts)
         number: dict[str, int] = {}
         seq = np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64, len(tokens))
-        if len(self.known) + len(number) > KNOWN_WORDS:
-            self.known.clear()
-        self._learn([w for w in number if w not in self.known])
+        new = [w for w in number if w not in self.known]
+        self.known.update((w, self.old[w]) for w in new if w in self.old)
+        self._learn([w for w in new if w not in self.known])
         raw = [self.known[w] for w in number]
+        if len(self.known) > KNOWN_WORDS:
+            self.old, self.known = self.known, {}
         if end_id is not None:  # the end id is laid out as one more word after each text
             raw.append(np.array([end_id], dtype="<u4").tobytes())
             seq = np.insert(seq, np.cumsum(counts), len(raw) - 1)
@@ -217,6 +221,12 @@ class WordEncoder:
         return ids, np.diff(np.r_[0, ends])
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One per worker process, so that its cache outlives a task."""
+    return WordEncoder(path)
+
+
 # --- Spark jobs ------------------------------------------------------------------------------
 
 _MANIFEST = "part int, path string, n_docs long, n_ids long, n_bytes long"
@@ -229,7 +239,7 @@ def _write(folder: str, tokenizer_path: str, end_id: int | None):
 
         for batch in small_batches(batches, "text", PART_CHARS):
             if writer is None:
-                encoder = WordEncoder(tokenizer_path)
+                encoder = _encoder(tokenizer_path)
                 files, where = _open(path)
                 files.create_dir(where.rsplit("/", 1)[0], recursive=True)
                 stream = files.open_output_stream(where)
@@ -296,5 +306,6 @@ def read_ids(manifest: DataFrame, packed: bool = False) -> DataFrame:
     ``ids`` is array<long>, or little-endian unsigned 32-bit integers when ``packed``.
     """
     kind = "binary" if packed else "array<long>"
-    tasks = manifest.select("path", "start", "n_bytes").repartition("path")
+    files = max(1, manifest.select("part").count())  # a task for each file
+    tasks = manifest.select("path", "start", "n_bytes").repartition(files)
     return tasks.mapInArrow(_read(packed), f"doc_id long, start long, n_tokens long, ids {kind}")
