@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.functions.values import check_date, rule_key, rule_value, spark_type, to_tag_type, value_key
-from tagweave.sources.catalog import Catalog, TagDef, active_tags, check_active, task_rules, task_rules_for
+from tagweave.sources.catalog import Catalog, TagDef, active_tags_with_sql, check_active, task_rules, task_rules_for
 
 CASE_RULE_LIMIT = 100
 BROADCAST_RULE_LIMIT = 100_000
@@ -138,16 +138,48 @@ def _rule_sizes(catalog: Catalog, task_ids: list[int]) -> dict[int, tuple[int, i
             rules.groupBy("task_id").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).collect()}
 
 
+def _few_rules(catalog: Catalog, task_ids: list[int]) -> list | None:
+    """All rules of the tasks, if there are at most ``CASE_RULE_LIMIT`` a task on average; else None.
+
+    Two filtered reads of at most that many rows, no join: the usual small
+    catalog is planned without a Spark job.
+    """
+    most = CASE_RULE_LIMIT * len(task_ids)
+    rules = (catalog.task_tag_rule.filter(F.col("task_id").isin(task_ids))
+             .select("id", "task_id", "query_value", "sub_tag_id").limit(most + 1).collect())
+    if len(rules) > most:
+        return None
+    wanted = sorted({r.sub_tag_id for r in rules if r.sub_tag_id is not None})
+    names = {r.id: r.tag_name for r in catalog.tag_info.filter(F.col("id").isin(wanted)).select("id", "tag_name").collect()}
+    return [(r.task_id, r.id, r.query_value, names[r.sub_tag_id]) for r in rules if r.sub_tag_id in names]
+
+
+def _rules_of(catalog: Catalog, task_ids: list[int]) -> tuple[dict[int, tuple[int, int]], dict[int, list]]:
+    """Sizes of the tasks' rules, and the (query value, mapped text) pairs of tasks short enough for a CASE."""
+    if not task_ids:
+        return {}, {}
+    rows = _few_rules(catalog, task_ids)
+    if rows is None:
+        sizes = _rule_sizes(catalog, task_ids)
+        short = [t for t, (n, _) in sizes.items() if n <= CASE_RULE_LIMIT]
+        rows = [(r.task_id, r.id, r.query_value, r.sub_tag_value)
+                for r in task_rules_for(catalog, short).collect()] if short else []
+    else:
+        sizes = {}
+        for task_id, _, query_value, mapped in rows:
+            n, size = sizes.get(task_id, (0, 0))
+            sizes[task_id] = n + 1, size + len((query_value or "").encode()) + len((mapped or "").encode())
+    lists: dict[int, list] = {}
+    for task_id, _, query_value, mapped in sorted(rows, key=lambda r: r[:2]):
+        if sizes[task_id][0] <= CASE_RULE_LIMIT:
+            lists.setdefault(task_id, []).append((query_value, mapped))
+    return sizes, lists
+
+
 def _task_plans(catalog: Catalog, tasks: list[tuple[int, str, TagDef]]) -> list[TaskPlan]:
     for _, _, tag in tasks:
         spark_type(tag.tag_value_type)  # unknown types fail before any work
-    ids = sorted({t for t, _, _ in tasks})
-    sizes = _rule_sizes(catalog, ids) if ids else {}
-    short = [t for t in ids if 0 < sizes.get(t, (0, 0))[0] <= CASE_RULE_LIMIT]
-    lists: dict[int, list] = {}
-    if short:  # at most CASE_RULE_LIMIT rows a task
-        for r in sorted(task_rules_for(catalog, short).collect(), key=lambda r: (r.task_id, r.id)):
-            lists.setdefault(r.task_id, []).append((r.query_value, r.sub_tag_value))
+    sizes, lists = _rules_of(catalog, sorted({t for t, _, _ in tasks}))
     plans = []
     for task_id, sql, tag in tasks:
         n, size = sizes.get(task_id, (0, 0))
@@ -178,8 +210,7 @@ def plan_tasks(catalog: Catalog, task_ids: list[int]) -> dict[int, TaskPlan]:
 
 def plan_active(catalog: Catalog) -> list[TaskPlan]:
     """Plans of all active tags, in tag-id order (the tags of :func:`active_tag_list`)."""
-    sql = catalog.task_info.select(F.col("id").alias("_sql_task"), "task_sql")
-    rows = (active_tags(catalog).join(sql, F.col("tag_task_id") == F.col("_sql_task"))
+    rows = (active_tags_with_sql(catalog)
             .select("id", "tag_code", "tag_name", "tag_value_type", "tag_task_id", "task_sql").collect())
     rows = sorted(rows, key=lambda r: r.id)
     check_active([_tag_def(r) for r in rows])

@@ -134,7 +134,13 @@ def lookup_one(df: DataFrame, key_col: str, key_value, order_col: str | None = N
 
 def active_tags(catalog: Catalog) -> DataFrame:
     """Tags whose task is active: ``tag_info JOIN task_info ON tag_task_id = id``."""
-    tasks = catalog.task_info.filter(F.col("task_status") == TASK_ACTIVE).select(F.col("id").alias("_task_id"))
+    return active_tags_with_sql(catalog).drop("task_sql")
+
+
+def active_tags_with_sql(catalog: Catalog) -> DataFrame:
+    """:func:`active_tags` with the ``task_sql`` of each tag's task."""
+    tasks = catalog.task_info.filter(F.col("task_status") == TASK_ACTIVE).select(
+        F.col("id").alias("_task_id"), "task_sql")
     return (catalog.tag_info.join(tasks, F.col("tag_task_id") == F.col("_task_id"), "inner")
             .drop("_task_id"))
 
