@@ -7,7 +7,7 @@ logistic model in numpy under the class-prior-corrected risk
 
 where a negative inner part is stepped back instead of down (so the flexible
 model cannot drive the estimate below zero).  Features are the distinct words
-and word beginnings of a text; one becomes a feature if confirmed toxic texts hold it more often
+of a text; a word becomes a feature if confirmed toxic texts hold it more often
 than all training text does, counted over every training document.
 
 Bounds of the fit, all parameters: ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
@@ -43,16 +43,13 @@ HELD_OUT = 2
 THRESHOLD = 0.3
 ROUNDS = 400
 L2 = 1e-3
-PREFIX = 5            # letters of a word beginning
 PART_CHARS = 1 << 20
 _WORD = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str | None) -> set[str]:
-    """The distinct words of a text, and the beginnings of its longer words (marked with a star)."""
-    words = set(_WORD.findall((text or "").lower()))
-    words.update([w[:PREFIX] + "*" for w in words if len(w) > PREFIX])
-    return words
+    """The distinct words of a text, lower-cased."""
+    return set(_WORD.findall((text or "").lower()))
 
 
 @dataclass(frozen=True)
