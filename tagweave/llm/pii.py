@@ -3,13 +3,15 @@
 ``scan`` reads every text once.  It finds the strict spans (email, ip, card,
 phone) and, as candidates, all other tokens with a digit or an at sign; each
 strict span and candidate carries its lexical patterns, the words around it.
-The strict spans are the seeds of a bootstrap over the pattern-instance graph:
+The strict spans are the first seeds of a bootstrap over the pattern-instance graph:
 
 * a pattern's confidence for a kind is the summed score of its instances over
   their number (smoothed), if at least ``MIN_SEEDS`` different seeds support it;
 * a candidate instance's score for a kind is the noisy-or of its patterns;
-* both are grouped sums in Spark, repeated ``ROUNDS`` times, so patterns that a
-  round discovers support further instances in the next.
+* an instance whose best score reaches ``INSTANCE_SCORE`` is accepted: a seed of
+  that kind in the next round;
+* all are grouped sums over the whole graph in Spark, repeated ``ROUNDS`` times,
+  so patterns that a round discovers support further instances in the next.
 
 Occurrences of an accepted instance next to a confident pattern become spans.
 All aggregates combine map-side and all joins are on (pattern) or (instance)
@@ -159,28 +161,26 @@ def bootstrap(scanned: DataFrame) -> DataFrame:
     mentions = scanned.select("doc_id", "text_hash", F.explode("mentions").alias("m")).select(
         "doc_id", "text_hash", "m.*")
     edges = written(mentions.select("kind", "instance", F.explode("patterns").alias("pattern")).distinct(), "pii-graph")
-    seeds = edges.where("kind >= 0").select("pattern", "kind", "instance")
-    # The number of instances of a pattern, and its seed support by kind, never change.
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    support = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    base = cut(support.join(sizes, "pattern").select("pattern", "kind", "seeds", "n"))
-    open_edges = edges.where("kind = -1").select("pattern", "instance").join(
-        base.select("pattern").distinct(), "pattern", "left_semi")
-    open_edges = cut(open_edges)
-    scores = None
+    strict = edges.where("kind >= 0").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
+    # The number of instances of a pattern never changes; with fewer than MIN_SEEDS no round can find that many seeds.
+    sizes = written(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SEEDS), "pii-sizes")
+    strict = cut(strict.join(sizes, "pattern").select("pattern", "kind", "seeds", "n"))
+    open_edges = written(edges.where("kind = -1").select("pattern", "instance").join(sizes, "pattern"), "pii-open")
+    support = strict.withColumn("gained", F.col("seeds").cast("double"))
     for _ in range(ROUNDS):
-        if scores is None:
-            patterns = base.withColumn("gained", F.lit(0.0))
-        else:
-            gained = open_edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("gained"))
-            patterns = base.join(gained, ["pattern", "kind"], "left").withColumn("gained", F.coalesce("gained", F.lit(0.0)))
-        patterns = patterns.select("pattern", "kind",
-                                   ((F.col("seeds") + F.col("gained")) / (F.col("n") + F.lit(SMOOTH))).alias("conf"))
+        patterns = cut(support.where(F.col("seeds") >= MIN_SEEDS).select(
+            "pattern", "kind", (F.col("gained") / (F.col("n") + F.lit(SMOOTH))).alias("conf")))
         noisy_or = 1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999)))))
         scores = cut(open_edges.join(patterns, "pattern").groupBy("instance", "kind").agg(noisy_or.alias("score")))
-    best = scores.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("low"))).alias("b")).select(
-        "instance", F.col("b.score").alias("score"), (-F.col("b.low")).alias("kind")).where(
-        F.col("score") >= INSTANCE_SCORE)
+        best = scores.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("low"))).alias("b")).select(
+            "instance", F.col("b.score").alias("score"), (-F.col("b.low")).alias("kind")).where(
+            F.col("score") >= INSTANCE_SCORE)
+        # Support of the next round: strict seeds, accepted instances, and the scores of all.
+        seen = scores.join(best.select("instance", "kind", F.lit(1).alias("accepted")), ["instance", "kind"], "left")
+        gained = open_edges.join(seen, "instance").groupBy("pattern", "kind").agg(
+            F.count("accepted").alias("seeds"), F.first("n").alias("n"), F.sum("score").alias("gained"))
+        support = strict.withColumn("gained", F.col("seeds").cast("double")).unionByName(gained).groupBy("pattern", "kind").agg(
+            F.sum("seeds").alias("seeds"), F.first("n").alias("n"), F.sum("gained").alias("gained"))
     sure = patterns.where(F.col("conf") >= PATTERN_SCORE)
     found = mentions.where("kind = -1").drop("kind").withColumn("pattern", F.explode("patterns"))
     found = found.join(best, "instance").join(sure, ["pattern", "kind"], "left_semi")

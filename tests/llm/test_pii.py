@@ -57,6 +57,21 @@ def test_confident_patterns_discover(spark):
     assert masked[101] == "room number 4242 is free now"
 
 
+def test_discovered_patterns_discover(spark):
+    """Handles found after 'write to' also stand after 'my handle is', which no strict seed supports."""
+    rows = [(i, f"please write to user{i}@mail.example.com today ok") for i in range(300)]
+    rows += [(1000 + i, f"please write to agent{i} today ok") for i in range(30)]
+    rows += [(2000 + i, f"well my handle is agent{i} by now") for i in range(30)]
+    rows += [(3000, "well my handle is zebra77 by now"), (3001, "room number 4242 is free now")]
+    rows += [(4000 + i, f"chapter {i + 500} ends here") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["found"]] for r in pii.spans(docs).collect() if r["found"]}
+    assert found == {i: [0] for i in [*range(1000, 1030), *range(2000, 2030), 3000]}
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert masked[3000] == "well my handle is [EMAIL] by now"
+    assert masked[3001] == "room number 4242 is free now"
+
+
 def test_edges(spark, edge_docs, empty_docs):
     assert pii.spans(empty_docs).count() == 0 and pii.redact(empty_docs).count() == 0
     masked = pii.redact(edge_docs)
