@@ -1,10 +1,14 @@
 """The split follows the key, not the file layout; fit leaves the caller's cache alone; train and predict jobs."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tagweave.operators import ml
-from tagweave.plans import cli
+from tagweave.plans import cli, registry
+
+from conftest import SF_CHECK
 
 
 def _rows(spark, n=400):
@@ -34,6 +38,12 @@ def test_fit_keeps_the_callers_cache(spark):
     assert "a" == max(clf.feature_importances(), key=lambda x: x[1])[0] and "If" in clf.tree_text()
 
 
+def test_tree_text_has_the_reference_depth(spark):
+    text = registry.QUERIES["tree_text"](spark, SF_CHECK).first()["tree"]
+    assert "depth=5," in text
+    assert len(set(re.findall(r"feature (\d+)", text))) > 1
+
+
 def test_train_and_predict_jobs(spark, tmp_root, capsys):
     _rows(spark).write.parquet(f"{tmp_root}/data")
     common = ["--data", f"{tmp_root}/data", "--label", "label", "--features", "a,b"]
