@@ -111,8 +111,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words = [sorted(words_of(t.as_py())) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("role"), batch.column("text_hash"),
-                                          pa.array(words, pa.list_(pa.string()))], ["role", "text_hash", "words"])
+        yield pa.RecordBatch.from_arrays([batch.column("role"), batch.column("doc_id"), batch.column("text_hash"),
+                                          pa.array(words, pa.list_(pa.string()))], ["role", "doc_id", "text_hash", "words"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
@@ -131,12 +131,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     order = F.xxhash64("doc_id")
     some_toxic = known.where("toxic = 1").orderBy(order, "doc_id").limit(max_positive).select(
         "doc_id", F.lit("P").alias("role"))
-    some = rows.select("doc_id").where("doc_id is not null").orderBy(order, "doc_id").limit(max_unlabelled).select(
+    some = rows.select("doc_id").where("doc_id is not null").distinct().orderBy(order, "doc_id").limit(max_unlabelled).select(
         "doc_id", F.lit("U").alias("role"))
     # At most max_positive + max_unlabelled ids: a bounded broadcast.
     ids = F.broadcast(written(some_toxic.unionByName(some), "tox-ids"))
-    sample = rows.join(ids, "doc_id").select("role", F.xxhash64("text").alias("text_hash"), "text")
-    sample = written(sample.mapInArrow(_distinct_words, "role string, text_hash long, words array<string>"), "tox-sample")
+    # Repeated rows are one document of the sample.
+    sample = rows.join(ids, "doc_id").select("role", "doc_id", F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(
+        ["role", "doc_id", "text_hash"])
+    sample = written(sample.mapInArrow(
+        _distinct_words, "role string, doc_id long, text_hash long, words array<string>"), "tox-sample")
+    # An id may have several texts; the bound is on (id, text).
+    unlabelled = sample.where("role = 'U'")
+    within = unlabelled.select("doc_id", "text_hash").orderBy(order, "doc_id", "text_hash").limit(max_unlabelled)
+    unlabelled = unlabelled.join(F.broadcast(within), ["doc_id", "text_hash"])
     # Copies of one toxic text are one piece of evidence.
     toxic = sample.where("role = 'P'").dropDuplicates(["text_hash"])
     n_toxic = toxic.count()
@@ -154,11 +161,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     features = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, i int")
 
     # Only feature numbers of the bounded sample come to the driver.
-    used = sample.where("role = 'U'").unionByName(toxic).select("role", F.monotonically_increasing_id().alias("r"), "words")
+    used = unlabelled.unionByName(toxic).select("role", "text_hash", F.monotonically_increasing_id().alias("r"), "words")
     used = written(used, "tox-used")
     hit = used.select("r", F.explode("words").alias("word")).join(F.broadcast(features), "word").groupBy("r").agg(
-        F.collect_list("i").alias("hits"))
-    table = used.select("r", "role").join(hit, "r", "left").collect()
+        F.array_sort(F.collect_list("i")).alias("hits"))
+    # Sorted, so that a fit adds its numbers in one order.
+    table = sorted(used.select("r", "role", "text_hash").join(hit, "r", "left").collect(),
+                   key=lambda r: (r["role"], r["text_hash"]))
     w, b = train([(r["role"] == "P", r["hits"] or []) for r in table], len(words), prior)
     return Model(dict(zip(words, w.tolist())), b)
 

@@ -35,6 +35,22 @@ def test_held_out_labels_teach_nothing(spark):
     assert a.bias == b.bias and a.weights == b.weights
 
 
+def test_sample_bound_counts_documents(spark, monkeypatch):
+    """Repeated rows and many texts of one id neither fill the sample nor exceed its bound."""
+    docs = [(i, f"plain text number {i}") for i in range(60)] + [(i, f"vile slur {i}") for i in range(100, 130)]
+    docs = [r for r in docs for _ in range(20)] + [(7, f"other text {i}") for i in range(50)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i in [*range(30), *range(100, 130)]], "doc_id long, toxic int")
+    seen, train = [], tox.train
+    monkeypatch.setattr(tox, "train", lambda rows, *a: seen.append(rows) or train(rows, *a))
+    tox.fit(docs, labels, max_positive=10, max_unlabelled=40)
+    tox.fit(docs, labels, max_unlabelled=10_000)
+    one, two = seen
+    assert sum(p for p, _ in one) <= 10 and sum(not p for p, _ in one) == 40
+    n_ids = docs.where(tox.fold_of(F.col("doc_id")) != tox.HELD_OUT).distinct().count()
+    assert sum(not p for p, _ in two) == n_ids
+
+
 def test_edges(spark, edge_docs, empty_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in tox.scores(edge_docs, tox.fit(edge_docs, none)).collect()} == {0.0}
