@@ -8,7 +8,8 @@ logistic model in numpy under the class-prior-corrected risk
 where a negative inner part is stepped back instead of down (so the flexible
 model cannot drive the estimate below zero).  Features are the distinct words
 of a text; a word becomes a feature if confirmed toxic texts hold it more often
-than all training text does, counted over every training document.
+than all training text does, counted over every training document and every
+distinct confirmed toxic training text.
 
 Bounds of the fit, all parameters: ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
 sampled training documents (smallest id hashes) and ``MAX_FEATURES`` words.
@@ -115,6 +116,15 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                           pa.array(words, pa.list_(pa.string()))], ["role", "doc_id", "text_hash", "words"])
 
 
+def _with_words(rows: DataFrame, name: str) -> DataFrame:
+    return written(rows.mapInArrow(_distinct_words, "role string, doc_id long, text_hash long, words array<string>"), name)
+
+
+def _counted(rows: DataFrame, name: str) -> DataFrame:
+    """word and, as ``name``, the number of ``rows`` whose text holds it."""
+    return rows.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias(name))
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
         max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES) -> Model:
     """A model from all rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) outside the held-out fold."""
@@ -129,30 +139,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     prior = min(prior, 0.99)
 
     order = F.xxhash64("doc_id")
-    some_toxic = known.where("toxic = 1").orderBy(order, "doc_id").limit(max_positive).select(
-        "doc_id", F.lit("P").alias("role"))
-    some = rows.select("doc_id").where("doc_id is not null").distinct().orderBy(order, "doc_id").limit(max_unlabelled).select(
-        "doc_id", F.lit("U").alias("role"))
-    # At most max_positive + max_unlabelled ids: a bounded broadcast.
-    ids = F.broadcast(written(some_toxic.unionByName(some), "tox-ids"))
-    # Repeated rows are one document of the sample.
-    sample = rows.join(ids, "doc_id").select("role", "doc_id", F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(
-        ["role", "doc_id", "text_hash"])
-    sample = written(sample.mapInArrow(
-        _distinct_words, "role string, doc_id long, text_hash long, words array<string>"), "tox-sample")
-    # An id may have several texts; the bound is on (id, text).
-    unlabelled = sample.where("role = 'U'")
-    within = unlabelled.select("doc_id", "text_hash").orderBy(order, "doc_id", "text_hash").limit(max_unlabelled)
-    unlabelled = unlabelled.join(F.broadcast(within), ["doc_id", "text_hash"])
-    # Copies of one toxic text are one piece of evidence.
-    toxic = sample.where("role = 'P'").dropDuplicates(["text_hash"])
+    # Copies of one toxic text are one piece of evidence; every distinct text counts.
+    toxic_ids = written(known.where("toxic = 1").select("doc_id"), "tox-known")
+    toxic = written(rows.join(toxic_ids, "doc_id", "left_semi").groupBy(F.xxhash64("text").alias("text_hash")).agg(
+        F.min(order).alias("place"), F.first("text").alias("text")), "tox-texts")
     n_toxic = toxic.count()
     n_rows = rows.count()
     if not n_toxic:
         return Model({}, float("-inf"))
-    in_toxic = toxic.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("p")).where(
-        F.col("p") >= MIN_TOXIC_TEXTS)
-    in_all = rows.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("u"))
+    in_toxic = _counted(toxic, "p").where(F.col("p") >= MIN_TOXIC_TEXTS)
+    in_all = _counted(rows, "u")
     share = (F.col("p") + F.col("u")) / (n_toxic + n_rows)
     z = (F.col("p") / n_toxic - F.col("u") / n_rows) / F.sqrt(share * (1 - share) * (1.0 / n_toxic + 1.0 / n_rows))
     chosen = in_toxic.join(in_all, "word").select("word", z.alias("z")).where(F.col("z") >= MIN_Z).orderBy(
@@ -160,8 +156,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     words = [r["word"] for r in chosen.collect()]
     features = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, i int")
 
+    # The rows of the fit: bounded broadcasts of ids and hashes.  Repeated rows are one document.
+    ids = F.broadcast(written(rows.select("doc_id").where("doc_id is not null").distinct().orderBy(
+        order, "doc_id").limit(max_unlabelled), "tox-ids"))
+    near = rows.join(ids, "doc_id").select(F.lit("U").alias("role"), "doc_id", F.xxhash64("text").alias("text_hash"),
+                                           "text").dropDuplicates(["doc_id", "text_hash"])
+    near = _with_words(near, "tox-sample")
+    # An id may have several texts; the bound is on (id, text).
+    within = near.select("doc_id", "text_hash").orderBy(order, "doc_id", "text_hash").limit(max_unlabelled)
+    unlabelled = near.join(F.broadcast(within), ["doc_id", "text_hash"])
+    some_toxic = toxic.select("text_hash", "place").orderBy("place", "text_hash").limit(max_positive).select("text_hash")
+    positive = _with_words(toxic.join(F.broadcast(some_toxic), "text_hash").select(
+        F.lit("P").alias("role"), F.lit(None).cast("long").alias("doc_id"), "text_hash", "text"), "tox-positive")
+
     # Only feature numbers of the bounded sample come to the driver.
-    used = unlabelled.unionByName(toxic).select("role", "text_hash", F.monotonically_increasing_id().alias("r"), "words")
+    used = unlabelled.unionByName(positive).select("role", "text_hash", F.monotonically_increasing_id().alias("r"), "words")
     used = written(used, "tox-used")
     hit = used.select("r", F.explode("words").alias("word")).join(F.broadcast(features), "word").groupBy("r").agg(
         F.array_sort(F.collect_list("i")).alias("hits"))

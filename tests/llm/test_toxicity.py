@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -51,6 +53,20 @@ def test_sample_bound_counts_documents(spark, monkeypatch):
     assert sum(not p for p, _ in two) == n_ids
 
 
+def test_toxic_counts_cover_all_texts(spark):
+    """A word of few confirmed toxic texts is a feature however small the sample; copies of a text count once."""
+    train = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != tox.HELD_OUT]
+    toxic, clean = train[:400], train[400:2400]
+    docs = [(i, f"vile slur number{i}" + (" rareword" if n >= 380 else "")) for n, i in enumerate(toxic)]
+    docs += [(i, f"plain words number{i}") for i in clean]
+    docs += [(i, "vile copied") for i in train[2400:2420]]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in [*toxic, *train[2400:2420]]] + [(i, 0) for i in clean[:400]],
+                                   "doc_id long, toxic int")
+    model = tox.fit(docs, labels, max_positive=40)
+    assert set(model.weights) == {"vile", "slur", "rareword"}
+
+
 def test_edges(spark, edge_docs, empty_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in tox.scores(edge_docs, tox.fit(edge_docs, none)).collect()} == {0.0}
