@@ -11,11 +11,11 @@ a white-space run stands alone; a lone apostrophe takes its contraction ending.
 
 from __future__ import annotations
 
-import functools
 import sys
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 # Code points with the Unicode property White_Space.
@@ -24,23 +24,34 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 
 
-@functools.cache
-def _classes() -> np.ndarray:
-    table = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
-    kind = {"L": LETTER, "N": NUMBER}
-    for cp in range(sys.maxunicode + 1):
-        table[cp] = kind.get(unicodedata.category(chr(cp))[0], OTHER)
-    table[WHITE_SPACE] = SPACE
-    return table
+_PAGE = 256
+_KINDS = {"L": LETTER, "N": NUMBER}
+_table = np.zeros(sys.maxunicode + 1, dtype=np.uint8)
+_seen_pages: set[int] = set()
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def _classes(cp: np.ndarray) -> np.ndarray:
+    """The class of each code point; the table is filled page by page as pages occur."""
+    for page in np.flatnonzero(np.bincount(cp >> 8)).tolist():
+        if page not in _seen_pages:
+            span = range(page * _PAGE, (page + 1) * _PAGE)
+            _table[page * _PAGE:(page + 1) * _PAGE] = [_KINDS.get(unicodedata.category(chr(c))[0], OTHER) for c in span]
+            _table[[c for c in WHITE_SPACE if c in span]] = SPACE
+            _seen_pages.add(page)
+    return _table[cp]
 
 
 def split_points(text: str, text_starts: np.ndarray) -> np.ndarray:
     """Start offsets of all pre-tokens of ``text``, a concatenation of texts that begin at ``text_starts``."""
-    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    cp = code_points(text)
     n = len(cp)
     if not n:
         return np.zeros(0, dtype=np.int64)
-    cls = _classes()[cp]
+    cls = _classes(cp)
     first = np.zeros(n + 1, dtype=bool)
     first[text_starts] = True
     new = np.empty(n, dtype=bool)
@@ -75,14 +86,41 @@ def split_points(text: str, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+def _laid(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    return "".join(texts), lengths, np.cumsum(lengths) - lengths
+
+
+def _per_text(starts: np.ndarray, lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    counts = np.diff(np.r_[np.searchsorted(starts, begins), len(starts)])
+    counts[lengths == 0] = 0
+    return counts
+
+
 def split_texts(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """All pre-tokens of ``texts`` in order, and the number of pre-tokens of each text."""
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
-    begins = np.cumsum(lengths) - lengths
-    text = "".join(texts)
+    text, lengths, begins = _laid(texts)
     starts = split_points(text, begins[lengths > 0])
     ends = np.r_[starts[1:], len(text)].tolist()
     tokens = [text[a:b] for a, b in zip(starts.tolist(), ends)]
-    counts = np.diff(np.r_[np.searchsorted(starts, begins), len(starts)])
-    counts[lengths == 0] = 0
-    return tokens, counts
+    return tokens, _per_text(starts, lengths, begins)
+
+
+def numbered(text: str, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct pieces (UTF-8) of ``text`` cut at ``starts``, and the number of the piece at each place."""
+    raw = text.encode("utf-8", "surrogatepass")
+    at = np.r_[starts, len(text)].astype(np.int64)
+    if len(raw) > len(text):
+        cp = code_points(text)
+        width = 1 + (cp >= 0x80).astype(np.int8) + (cp >= 0x800) + (cp >= 0x10000)
+        at = np.r_[0, np.cumsum(width, dtype=np.int64)][at]
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(raw)])
+    coded = pieces.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+
+
+def split_numbered(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct pre-tokens of ``texts``, the number of the pre-token at each place, pre-tokens of each text."""
+    text, lengths, begins = _laid(texts)
+    starts = split_points(text, begins[lengths > 0])
+    return (*numbered(text, starts), _per_text(starts, lengths, begins))

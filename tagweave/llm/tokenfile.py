@@ -11,8 +11,9 @@ holds ``PERCENTILE`` of them; the outliers keep their low bits in place and
 their whole difference in the exception list.  The footer's block starts let a
 reader seek to any id.
 
-``write_ids`` sorts documents by id over range partitions, one file a
-partition; every task attempt writes its own file name and only the manifest
+``write_ids`` sorts documents by id over range partitions, their number taken
+from the bytes of the texts; a partition closes a file at ``FILE_IDS`` ids, which
+bounds the index that a writer or reader holds.  Every task attempt writes its own file name and only the manifest
 rows of successful attempts (a Parquet table) name files, so a lost executor or
 a second attempt leaves at most an unnamed file.  Starts are running sums over
 the manifest, one row a file.
@@ -37,14 +38,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import shared_path, small_batches, written
-from tagweave.llm.pretoken import split_texts
+from tagweave.llm.pretoken import split_numbered
 
 BLOCK = 4096
 PERCENTILE = 95
 MAGIC = b"PFORIDS1"
 HEAD = np.dtype([("low", "<u4"), ("exceptions", "<u2"), ("width", "u1"), ("count", "<u2")])
 PART_CHARS = 1 << 20
-KNOWN_WORDS = 600_000   # entries of each of the two generations of a worker's word cache (about 120 MB each)
+KNOWN_WORDS = 600_000    # a worker's word cache starts anew beyond this number (about 100 MB)
+RANGE_BYTES = 256 << 20  # text of one range partition, where there is more than the shuffle partitions hold
+FILE_IDS = 1 << 26       # a file is closed after the document that reaches this number of ids
 
 
 # --- blocks ----------------------------------------------------------------------------------
@@ -174,51 +177,61 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.newline = self._one("\n")
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words have numbers; the ids of word i are flat[begin[i]:begin[i] + size[i]]."""
+        self.known: dict[bytes, int] = {}
+        self.flat = np.zeros(1 << 16, dtype=np.uint32)
+        self.begin, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+        self.used = 0
 
     def _one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, k = len(self.known), len(words)
+        while n + k > len(self.begin):
+            self.begin, self.size = (np.r_[x, np.zeros_like(x)] for x in (self.begin, self.size))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.begin[n:n + k] = self.used + np.cumsum(sizes) - sizes
+        self.size[n:n + k] = sizes
+        self.known.update(zip(words, range(n, n + k)))
+        self.used += len(ids)
+
+    def _learn(self, words: list[bytes]) -> None:
         # A line break between words keeps them apart, so many are encoded in one call.
-        plain = [w for w in words if not w.isspace() and "\n" not in w] if len(self.newline) == 1 else []
+        text = {w: w.decode("utf-8", "surrogatepass") for w in words}
+        plain = [w for w in words if b"\n" not in w and not text[w].isspace()] if len(self.newline) == 1 else []
         for i in range(0, len(plain), 5000):
             some = plain[i:i + 5000]
-            ids = np.array(self._one("\n".join(some)), dtype="<u4")
+            ids = np.array(self._one("\n".join([text[w] for w in some])), dtype=np.uint32)
             cuts = np.flatnonzero(ids == self.newline[0])
-            if len(cuts) != len(some) - 1:
-                continue
-            for w, part in zip(some, np.split(ids, cuts)):
-                self.known[w] = part.tobytes()
-            for w in some[1:]:
-                self.known[w] = self.known[w][4:]
+            if len(cuts) == len(some) - 1:
+                self._add(some, np.delete(ids, cuts), np.diff(np.r_[-1, cuts, len(ids)]) - 1)
         for w in words:
             if w not in self.known:
-                self.known[w] = np.array(self._one(w), dtype="<u4").tobytes()
+                ids = np.array(self._one(text[w]), dtype=np.uint32)
+                self._add([w], ids, np.array([len(ids)]))
 
-    def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts (each closed by ``end_id``) and the number of ids of each."""
-        tokens, counts = split_texts(texts)
-        number: dict[str, int] = {}
-        seq = np.fromiter((number.setdefault(t, len(number)) for t in tokens), np.int64, len(tokens))
-        new = [w for w in number if w not in self.known]
-        self.known.update((w, self.old[w]) for w in new if w in self.old)
-        self._learn([w for w in new if w not in self.known])
-        raw = [self.known[w] for w in number]
+        words, seq, counts = split_numbered(texts)
         if len(self.known) > KNOWN_WORDS:
-            self.old, self.known = self.known, {}
-        if end_id is not None:  # the end id is laid out as one more word after each text
-            raw.append(np.array([end_id], dtype="<u4").tobytes())
-            seq = np.insert(seq, np.cumsum(counts), len(raw) - 1)
-            counts = counts + 1
-        size = np.array([len(x) // 4 for x in raw], dtype=np.int64)
-        flat, begin = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(size) - size
+            self._forget()
+        self._learn([w for w in words if w not in self.known])
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        begin, size = self.begin[at], self.size[at]
         lengths = size[seq]
         total = np.r_[0, np.cumsum(lengths)]
-        ids = flat[np.repeat(begin[seq] - total[:-1], lengths) + np.arange(int(total[-1]))]
+        ids = self.flat[np.repeat(begin[seq] - total[:-1], lengths) + np.arange(int(total[-1]))]
         ends = total[np.cumsum(counts)]
-        return ids, np.diff(np.r_[0, ends])
+        counts = np.diff(np.r_[0, ends])
+        if end_id is None:
+            return ids, counts
+        return np.insert(ids, ends, end_id), counts + 1
 
 
 @functools.lru_cache(maxsize=1)
@@ -229,46 +242,57 @@ def _encoder(path: str) -> WordEncoder:
 
 # --- Spark jobs ------------------------------------------------------------------------------
 
-_MANIFEST = "part int, path string, n_docs long, n_ids long, n_bytes long"
+_MANIFEST = "part int, file int, path string, n_docs long, n_ids long, n_bytes long"
+_MANIFEST_ARROW = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()),
+                             ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
 
 
-def _write(folder: str, tokenizer_path: str, end_id: int | None):
+def _write(folder: str, tokenizer_path: str, end_id: int | None, file_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder, writer, stream = TaskContext.get().partitionId(), None, None, None
-        path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}.pfor"
+        part, attempt, file = TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
+        writer = stream = None
+
+        def closed() -> pa.RecordBatch:
+            writer.finish()
+            stream.close()
+            row = {"part": part, "file": file, "path": path, "n_docs": len(writer.doc_ids), "n_ids": writer.n,
+                   "n_bytes": writer.at}
+            return pa.RecordBatch.from_pylist([row], schema=_MANIFEST_ARROW)
 
         for batch in small_batches(batches, "text", PART_CHARS):
             if writer is None:
-                encoder = _encoder(tokenizer_path)
+                path = f"{folder}/part-{part:06d}-{attempt}-{file:04d}.pfor"
                 files, where = _open(path)
                 files.create_dir(where.rsplit("/", 1)[0], recursive=True)
                 stream = files.open_output_stream(where)
                 writer = FileWriter(stream)
-            ids, counts = encoder.encode([t or "" for t in batch.column("text").to_pylist()], end_id)
+            ids, counts = _encoder(tokenizer_path).encode([t or "" for t in batch.column("text").to_pylist()], end_id)
             writer.add(batch.column("doc_id").to_pylist(), counts, ids)
+            if writer.n >= file_ids:
+                yield closed()
+                writer, file = None, file + 1
         if writer is not None:
-            writer.finish()
-            stream.close()
-            yield pa.RecordBatch.from_pylist([{"part": part, "path": path, "n_docs": len(writer.doc_ids),
-                                               "n_ids": writer.n, "n_bytes": writer.at}],
-                                             schema=pa.schema([("part", pa.int32()), ("path", pa.string()),
-                                                               ("n_docs", pa.int64()), ("n_ids", pa.int64()),
-                                                               ("n_bytes", pa.int64())]))
+            yield closed()
 
     return run
 
 
-def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = None, folder: str | None = None) -> DataFrame:
+def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = None, folder: str | None = None,
+              range_bytes: int = RANGE_BYTES, file_ids: int = FILE_IDS) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files in ascending id order; returns the manifest, one row a file.
 
-    ``start`` is the number of ids in all files before.
+    ``start`` is the number of ids in all files before.  The ranges follow from the
+    bytes of the texts, so that a task's share does not grow with the table.
     """
-    folder = folder or shared_path(docs.sparkSession, "token-files")
+    spark = docs.sparkSession
+    folder = folder or shared_path(spark, "token-files")
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    ordered = rows.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
-    manifest = written(ordered.select("doc_id", "text").mapInArrow(_write(folder, tokenizer_path, end_id), _MANIFEST),
-                       "token-manifest")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // range_bytes))
+    ordered = rows.repartitionByRange(ranges, "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
+    manifest = written(ordered.select("doc_id", "text").mapInArrow(
+        _write(folder, tokenizer_path, end_id, file_ids), _MANIFEST), "token-manifest")
+    before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
@@ -306,6 +330,6 @@ def read_ids(manifest: DataFrame, packed: bool = False) -> DataFrame:
     ``ids`` is array<long>, or little-endian unsigned 32-bit integers when ``packed``.
     """
     kind = "binary" if packed else "array<long>"
-    files = max(1, manifest.select("part").count())  # a task for each file
+    files = max(1, manifest.select("path").count())  # a task for each file
     tasks = manifest.select("path", "start", "n_bytes").repartition(files)
     return tasks.mapInArrow(_read(packed), f"doc_id long, start long, n_tokens long, ids {kind}")
