@@ -46,6 +46,7 @@ MAGIC = b"PFORIDS1"
 HEAD = np.dtype([("low", "<u4"), ("exceptions", "<u2"), ("width", "u1"), ("count", "<u2")])
 PART_CHARS = 1 << 20
 KNOWN_WORDS = 600_000    # a worker's word cache starts anew beyond this number (about 100 MB)
+WORDS_A_CALL = 100       # long inputs cost the tokenizer more for each word
 RANGE_BYTES = 256 << 20  # text of one range partition, where there is more than the shuffle partitions hold
 FILE_IDS = 1 << 26       # a file is closed after the document that reaches this number of ids
 
@@ -187,7 +188,7 @@ class WordEncoder:
         self.used = 0
 
     def _one(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
 
     def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, k = len(self.known), len(words)
@@ -205,8 +206,8 @@ class WordEncoder:
         # A line break between words keeps them apart, so many are encoded in one call.
         text = {w: w.decode("utf-8", "surrogatepass") for w in words}
         plain = [w for w in words if b"\n" not in w and not text[w].isspace()] if len(self.newline) == 1 else []
-        for i in range(0, len(plain), 5000):
-            some = plain[i:i + 5000]
+        for i in range(0, len(plain), WORDS_A_CALL):
+            some = plain[i:i + WORDS_A_CALL]
             ids = np.array(self._one("\n".join([text[w] for w in some])), dtype=np.uint32)
             cuts = np.flatnonzero(ids == self.newline[0])
             if len(cuts) == len(some) - 1:
