@@ -18,6 +18,7 @@ from tagweave.llm import (
     licenses,
     pii,
     quality,
+    runs,
     secrets,
     simhash,
     tokenfile,
@@ -99,6 +100,19 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.with_planted_repeats(documents(spark, sf_dir)))
+    top = runs.longest(F.col("runs"))
+    lines = F.concat_ws("", F.transform("runs", lambda x: F.concat_ws(
+        "", F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))))
+    return found.select("doc_id", "n_words", "runs", "collapsed", top.alias("top")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+        F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
@@ -110,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 
