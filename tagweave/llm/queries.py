@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tagweave.llm import (
     bpe,
+    chat,
     decontaminate,
     langid,
     licenses,
@@ -28,6 +29,7 @@ from tagweave.llm.common import documents, workers_can_import
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 FILE_TOKENIZER = "byte_bpe_50k.json"
+CHAT_RESERVED = 50257  # first id beyond the vocabulary of FILE_TOKENIZER
 
 
 def tokenizer_path(name: str) -> str:
@@ -113,6 +115,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words")
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = "</s>[INST] ok [/INST]"
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    form = chat.Format(tokenizer_path(FILE_TOKENIZER), CHAT_RESERVED)
+    return chat.digests(chat.format_conversations(turns.unionByName(extra), form), form)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
@@ -125,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash_dedup": op10_simhash_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_chat_format": op13_chat_format,
 }
 
 
