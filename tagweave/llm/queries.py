@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.llm import (
+    alignment,
     bpe,
     chat,
     decontaminate,
@@ -29,6 +30,7 @@ from tagweave.llm.common import documents, workers_can_import
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 FILE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 CHAT_RESERVED = 50257  # first id beyond the vocabulary of FILE_TOKENIZER
 
 
@@ -102,6 +104,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = alignment.align(documents(spark, sf_dir), tokenizer_path(FILE_TOKENIZER), tokenizer_path(PIECE_MODEL))
+    return alignment.scores(chunks, alignment.pair_counts(chunks))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.periodic_runs(runs.with_planted_repeats(documents(spark, sf_dir)))
     top = runs.longest(F.col("runs"))
@@ -135,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_simhash_dedup": op10_simhash_dedup,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_chat_format": op13_chat_format,
 }
