@@ -7,10 +7,15 @@ uid 0 is bucket 0, bit 0.  Grouping by (key, bucket) keeps every aggregation
 state at 4 KB, so a value held by a third of all users still spreads over
 ``users / 32768`` independent groups.
 
-A stored ``us`` has one of two forms, told apart by its length: the 4096-byte
-bitmap, or, for at most ``SPARSE_LIMIT`` set bits, the sorted positions as
-two-byte big-endian numbers.  A value held by one user takes two bytes instead
-of 4 KB; every function here reads both forms.
+A stored ``us`` has the smallest of three forms, told apart by its length:
+
+* 4096 bytes: the bitmap;
+* an even number below: the sorted positions as two-byte big-endian numbers, for
+  at most ``SPARSE_LIMIT`` set bits (a value held by one user takes two bytes);
+* an odd number: one zero byte, then the first and last position of each run of
+  consecutive positions, two bytes each (a full bucket takes five bytes).
+
+Every function here reads all forms.
 """
 
 from __future__ import annotations
@@ -52,31 +57,126 @@ def checked_uid(col) -> Column:
 
 
 SPARSE_LIMIT = 1024
+POSITIONS, RUNS, BITMAP = "positions", "runs", "bitmap"
+
+
+def form(users: Column, runs: Column) -> Column:
+    """The form of a group with so many set bits in so many runs."""
+    small = F.when(users <= SPARSE_LIMIT, users * 2).otherwise(BYTES_PER_BITMAP)
+    return F.when(runs * 4 + 1 < small, RUNS).when(users <= SPARSE_LIMIT, POSITIONS).otherwise(BITMAP)
+
+
+def two_bytes(position_col: Column) -> Column:
+    """A position as four hexadecimal digits."""
+    return F.lpad(F.hex(position_col), 4, "0")
+
+
+def stored(digits: Column, which: Column, bitmap: Column) -> Column:
+    """The stored form of a group: ``digits`` holds its positions, or the ends of its runs, sorted (:func:`two_bytes`)."""
+    packed = F.unhex(F.concat(F.when(which == RUNS, "00").otherwise(""), F.array_join(digits, "")))
+    return F.when(which == BITMAP, bitmap).otherwise(packed)
+
+
+def _number(us: Column, at: Column) -> Column:
+    """The two-byte number of a stored ``us`` that starts at a byte (1-based)."""
+    return F.conv(F.hex(F.substring(us, at, F.lit(2))), 16, 10).cast("int")
 
 
-def stored(bitmap: Column, positions: Column) -> Column:
-    """The stored form of one group from its bitmap and the sorted array of its positions."""
-    digits = F.transform(positions, lambda p: F.lpad(F.hex(p), 4, "0"))
-    return F.when(F.size(positions) <= SPARSE_LIMIT, F.unhex(F.array_join(digits, ""))).otherwise(bitmap)
+def _each(n: Column, value) -> Column:
+    """Array of ``value(i)`` for i from 0 to n - 1."""
+    return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), value)
+
+
+def _run_ends(us: Column) -> Column:
+    """array<struct<first, last>> of a run form."""
+    return _each((F.octet_length(us) / 4).cast("int"),
+                 lambda i: F.struct(_number(us, i * 4 + 2).alias("first"), _number(us, i * 4 + 4).alias("last")))
 
 
 def users_in(us) -> Column:
     """Set bits of a stored bitmap."""
     c = F.col(us) if isinstance(us, str) else us
     size = F.octet_length(c)
-    return F.when(size == BYTES_PER_BITMAP, F.bitmap_count(c)).otherwise((size / 2).cast("long"))
+    in_runs = F.aggregate(_run_ends(c), F.lit(0).cast("long"), lambda n, r: n + (r["last"] - r["first"] + 1))
+    return (F.when(size == BYTES_PER_BITMAP, F.bitmap_count(c)).when(size % 2 == 0, (size / 2).cast("long"))
+            .otherwise(in_runs))
 
 
 def dense(bitmaps: DataFrame, keys: list[str], bitmap_col: str = "us") -> DataFrame:
     """``keys + [us]`` with every ``us`` as a 4096-byte bitmap; ``keys`` identify a row."""
-    full = F.octet_length(bitmap_col) == BYTES_PER_BITMAP
-    numbers = F.sequence(F.lit(0), (F.octet_length(bitmap_col) / 2).cast("int") - 1)
-    at = F.transform(numbers, lambda i: F.conv(F.hex(F.substring(bitmap_col, i * 2 + 1, F.lit(2))), 16, 10).cast("long"))
-    spread = (bitmaps.filter(~full & (F.octet_length(bitmap_col) > 0)).select(*keys, F.explode(at).alias("_at"))
+    us = F.col(bitmap_col)
+    size = F.octet_length(us)
+    full = size == BYTES_PER_BITMAP
+    in_runs = F.flatten(F.transform(_run_ends(us), lambda r: F.sequence(r["first"], r["last"])))
+    at = F.when(size % 2 == 0, _each((size / 2).cast("int"), lambda i: _number(us, i * 2 + 1))).otherwise(in_runs)
+    spread = (bitmaps.filter(~full & (size > 0)).select(*keys, F.explode(at.cast("array<long>")).alias("_at"))
               .groupBy(*keys).agg(F.bitmap_construct_agg("_at").alias(bitmap_col)))
     return bitmaps.filter(full).select(*keys, bitmap_col).unionByName(spread)
 
 
+def _or_states(key_columns: list[str], bitmap_col: str):
+    """Task function over rows sorted by key: the union of each key's states, in its smallest form, and its users."""
+    nbytes, nbits, sparse = BYTES_PER_BITMAP, BITS_PER_BUCKET, SPARSE_LIMIT
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def add(bits, raw):
+            if len(raw) == nbytes:
+                bits |= np.frombuffer(raw, np.uint8)
+            elif len(raw) % 2 == 0:
+                at = np.frombuffer(raw, ">u2")
+                np.bitwise_or.at(bits, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+            else:
+                step = np.zeros(nbits + 1, np.int32)
+                ends = np.frombuffer(raw, ">u2", offset=1).reshape(-1, 2).astype(np.int64)
+                np.add.at(step, ends[:, 0], 1)
+                np.add.at(step, ends[:, 1] + 1, -1)
+                bits |= np.packbits(np.cumsum(step[:-1]) > 0, bitorder="little")
+
+        def smallest(bits):
+            at = np.flatnonzero(np.unpackbits(bits, bitorder="little"))
+            first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            size = 2 * len(at) if len(at) <= sparse else nbytes
+            if 4 * len(first) + 1 < size:
+                ends = np.stack([at[first], at[np.r_[first[1:], len(at)] - 1]], axis=1)
+                return b"\0" + ends.astype(">u2").tobytes(), len(at)
+            return (at.astype(">u2").tobytes() if len(at) <= sparse else bits.tobytes()), len(at)
+
+        current, state, kind = None, None, None
+        for batch in batches:
+            keys = list(zip(*(batch.column(k).to_pylist() for k in key_columns)))
+            kind = kind or [batch.schema.field(k).type for k in key_columns]
+            done = []
+            for key, raw in zip(keys, batch.column(bitmap_col)):
+                if state is None or key != current:
+                    if state is not None:
+                        done.append((*current, *smallest(state)))
+                    current, state = key, np.zeros(nbytes, np.uint8)
+                add(state, raw.as_py())
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), [*kind, pa.binary(), pa.int64()])],
+                                                 names=[*key_columns, bitmap_col, "users"])
+        if state is not None:
+            row = (*current, *smallest(state))
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, [*kind, pa.binary(), pa.int64()])],
+                                             names=[*key_columns, bitmap_col, "users"])
+
+    return run
+
+
+def merged(bitmaps: DataFrame, keys: list[str], bitmap_col: str = "us") -> DataFrame:
+    """``keys + [us, users]``: the union of all states of a key, form to form, never decoded to users.
+
+    ``keys`` hold the bucket.  A task holds one 4 KB state; a key's rows are as many
+    as the days that are merged.
+    """
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (bitmaps.schema[k] for k in keys))
+    rows = bitmaps.select(*keys, bitmap_col).repartition(*keys).sortWithinPartitions(*keys)
+    return rows.mapInArrow(_or_states(list(keys), bitmap_col), f"{out}, `{bitmap_col}` binary, users bigint")
+
+
 # Uids of one output batch of decode; one bitmap adds at most 32768 more.
 _DECODE_ROWS = 1 << 18
 
@@ -108,8 +208,12 @@ def decode(bitmaps: DataFrame, keys: list[str], bucket_col: str = "bucket",
                 raw = bytes(raw)
                 if len(raw) == nbytes:
                     pos = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little"))
-                else:
+                elif len(raw) % 2 == 0:
                     pos = np.frombuffer(raw, ">u2")
+                else:
+                    ends = np.frombuffer(raw, ">u2", offset=1).reshape(-1, 2).astype(np.int64)
+                    size = ends[:, 1] - ends[:, 0] + 1
+                    pos = np.repeat(ends[:, 0] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                 pos = pos.astype(np.int64)
                 rows.append(np.full(len(pos), i))
                 uids.append(pos if b == 0 else (b - 1) * nbits + pos + 1)

@@ -3,8 +3,10 @@
 Unpivot the wide table to ``(uid, tag_code, tag_value)``, drop empty cells,
 then aggregate per ``(tag_code, tag_value, bucket)``.  A bucket covers 32768
 uids, so a value held by a third of all users spreads over ``users / 32768``
-independent groups; a group of few users is stored as its positions, a large
-one as a 4 KB bitmap (see :mod:`tagweave.functions.bitmap`).
+independent groups; a group is stored as its positions, its runs of consecutive
+positions or a 4 KB bitmap, whichever is smallest (see
+:mod:`tagweave.functions.bitmap`).  Bitmaps of several days are united state to
+state (:func:`merge_days`).
 Multi-valued cells (``'a,b'``) are one value, as in the wide table.
 
 Audience selection (AND / OR of several ``(tag_code, tag_value)`` pairs)
@@ -14,7 +16,7 @@ turns a result back into uid rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions import bitmap as bm
@@ -50,17 +52,34 @@ def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
     on uid) each would hold a handful of uids, for about 3x the CPU and 10x
     the task memory at the same compressed shuffle size (see README).  A key
     never has more than 32768 rows (one per uid of its bucket), so no
-    reducer group can grow with the data.
+    reducer group can grow with the data.  Users and runs are counted along the
+    sorted positions, so only the form that is stored is built: nothing is
+    collected for a group that becomes a bitmap.
     """
+    key = ["tag_code", "tag_value", "bucket"]
     uid = bm.checked_uid(F.col("uid"))
     keyed = (long.select("tag_code", "tag_value", uid.alias("_uid"))
-             .withColumn("bucket", bm.bucket(F.col("_uid")))
-             .repartition("tag_code", "tag_value", "bucket"))
-    out = (keyed.groupBy("tag_code", "tag_value", "bucket")
-           .agg(F.bitmap_construct_agg(bm.position(F.col("_uid"))).alias("_bitmap"),
-                F.sort_array(F.collect_set(bm.position(F.col("_uid")))).alias("_positions"))
-           .select("tag_code", "tag_value", "bucket", bm.stored(F.col("_bitmap"), F.col("_positions")).alias("us"),
-                   F.size("_positions").cast("long").alias("users")))
+             .select("tag_code", "tag_value", bm.bucket(F.col("_uid")).alias("bucket"), bm.position(F.col("_uid")).alias("_at"))
+             .repartition(*key))
+    # The position before tells repeated ones and where runs begin; the totals tell the smallest form.
+    before = F.lag("_at", 1, -2).over(Window.partitionBy(*key).orderBy("_at"))
+    marked = keyed.select(*key, "_at", before.alias("_before")).filter("_at <> _before").withColumn(
+        "_starts", F.col("_before") + 1 < F.col("_at"))
+    whole = Window.partitionBy(*key)
+    sized = marked.select("*", F.count(F.lit(1)).over(whole).alias("_users"),
+                          F.sum(F.col("_starts").cast("int")).over(whole).alias("_runs"))
+    which = bm.form(F.col("_users"), F.col("_runs"))
+    # A run's first row also gives the last position of the run before it; the last run ends at the highest position.
+    here, end_before = bm.two_bytes(F.col("_at")), bm.two_bytes(F.col("_before"))
+    cells = (F.when(which == bm.POSITIONS, F.array(here))
+             .when((which == bm.RUNS) & F.col("_starts"), F.when(F.col("_before") >= 0, F.array(end_before, here)).otherwise(F.array(here))))
+    digits = F.sort_array(F.flatten(F.collect_list("_cells")))
+    last = F.when(F.first("_form") == bm.RUNS, F.array(bm.two_bytes(F.max("_at")))).otherwise(F.array().cast("array<string>"))
+    out = (sized.select(*key, "_users", which.alias("_form"), cells.alias("_cells"), "_at")
+           .groupBy(*key).agg(F.first("_form").alias("_form"), F.first("_users").alias("users"),
+                              F.expr(f"bitmap_construct_agg(_at) FILTER (WHERE _form = '{bm.BITMAP}')").alias("_bitmap"),
+                              F.concat(digits, last).alias("_digits"))
+           .select(*key, bm.stored(F.col("_digits"), F.col("_form"), F.col("_bitmap")).alias("us"), "users"))
     if dt is not None:
         out = out.withColumn("dt", F.lit(date_token(dt)))
     return out
@@ -80,6 +99,17 @@ def bitmaps_by_type(wide: DataFrame, tags: list[TagDef], dt: str | None = None,
     return out
 
 
+STATE_KEY = ("tag_code", "tag_value", "bucket")
+
+
+def merge_days(bitmaps: DataFrame) -> DataFrame:
+    """``(tag_code, tag_value, bucket, us, users)``: the users that hold a value on any of the given days.
+
+    The stored states of a key are united as they are, without going back to users.
+    """
+    return bm.merged(bitmaps, list(STATE_KEY))
+
+
 def _one_day(df: DataFrame, value: Column) -> Column:
     """``value`` of a group, which must come from one day: bitmaps of several days would count a user twice."""
     if "dt" not in df.columns:

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.functions.values import TYPE_DATE
+from tagweave.functions.values import TYPE_DATE, spark_type
 
 
 def tag_as_text(values: DataFrame, tag_code: str, value_type: str | None = None) -> DataFrame:
@@ -41,13 +41,17 @@ def tag_as_text(values: DataFrame, tag_code: str, value_type: str | None = None)
                          F.lit(tag_code).alias("tag_name"))
 
 
+def value_as_text(value: Column, value_type: str) -> Column:
+    """A value in its tag's type as text (type 4 is text already)."""
+    return value.cast(spark_type(value_type)).cast("string")
+
+
 def union_long(frames: list[tuple[str, DataFrame]], value_types: dict[str, str] | None = None) -> DataFrame:
     """N-way ``UNION ALL`` of the text-rendered tag frames."""
     if not frames:
         raise ValueError("no tags to merge")
     value_types = value_types or {}
-    parts = [tag_as_text(df, code, value_types.get(code)) for code, df in frames]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [tag_as_text(df, code, value_types.get(code)) for code, df in frames])
 
 
 def _joined_values(entries: Column) -> Column:
@@ -117,8 +121,11 @@ PIVOT_TAG_LIMIT = 64
 def merge_tags(frames: list[tuple[str, DataFrame]], value_types: dict[str, str] | None = None,
                preaggregate: bool = False, method: str = "auto") -> DataFrame:
     """Tag frames (in tag order) -> wide table (``method``: auto, pivot or map)."""
-    long = union_long(frames, value_types)
-    codes = [code for code, _ in frames]
+    return merge_long(union_long(frames, value_types), [code for code, _ in frames], preaggregate, method)
+
+
+def merge_long(long: DataFrame, codes: list[str], preaggregate: bool = False, method: str = "auto") -> DataFrame:
+    """The long form (uid, tag_value, tag_name) of the tags ``codes`` -> wide table."""
     if method == "map" or (method == "auto" and len(codes) > PIVOT_TAG_LIMIT):
         return map_wide(long, codes, preaggregate)
     if method not in ("auto", "pivot"):

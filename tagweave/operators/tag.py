@@ -23,8 +23,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagweave.functions.values import check_date, rule_key, rule_value, spark_type, to_tag_type, value_key
 from tagweave.sources.catalog import Catalog, TagDef, active_tags_with_sql, check_active, task_rules, task_rules_for
@@ -63,19 +64,24 @@ def passthrough(source: DataFrame, value_type) -> DataFrame:
                          to_tag_type(F.col("query_value"), qtype, value_type).alias("tag_value"))
 
 
+def case_value(value: Column, qtype: T.DataType, rules: list[tuple[str, str]], value_type) -> Column:
+    """``CASE value WHEN q THEN v ... END`` in the tag's type; ``rules`` in priority order."""
+    key = value_key(value, qtype)
+    expr = None
+    for query_value, sub_value in rules:
+        cond = key == rule_key(query_value, qtype)
+        out = rule_value(F.lit(sub_value).cast("string"), value_type)
+        expr = F.when(cond, out) if expr is None else expr.when(cond, out)
+    return expr.cast(spark_type(value_type))
+
+
 def map_values_case(source: DataFrame, rules: list[tuple[str, str]], value_type) -> DataFrame:
     """``CASE query_value WHEN q THEN v ... END``; ``rules`` in priority order."""
     if not rules:
         return passthrough(source, value_type)
     qtype = source.schema["query_value"].dataType
-    qv = value_key(F.col("query_value"), qtype)
-    expr = None
-    for query_value, sub_value in rules:
-        cond = qv == rule_key(query_value, qtype)
-        out = rule_value(F.lit(sub_value).cast("string"), value_type)
-        expr = F.when(cond, out) if expr is None else expr.when(cond, out)
     return source.select(F.col("uid").cast("string").alias("uid"),
-                         expr.cast(spark_type(value_type)).alias("tag_value"))
+                         case_value(F.col("query_value"), qtype, rules, value_type).alias("tag_value"))
 
 
 def first_rule_per_value(rules: DataFrame, key=None) -> DataFrame:
@@ -120,6 +126,15 @@ class TaskPlan:
         return self.rule_count <= BROADCAST_RULE_LIMIT and self.rule_bytes <= BROADCAST_RULE_BYTES
 
 
+def value_column(plan: TaskPlan, value: Column, qtype: T.DataType) -> Column:
+    """The tag's value of a raw one, for tasks whose rules are none or fit a CASE."""
+    if plan.rule_count == 0:
+        return to_tag_type(value, qtype, plan.tag.tag_value_type)
+    if plan.rules is None:
+        raise ValueError(f"the rules of task {plan.task_id} need a join")
+    return case_value(value, qtype, plan.rules, plan.tag.tag_value_type)
+
+
 @dataclass
 class TagResult:
     tag: TagDef
@@ -218,9 +233,9 @@ def plan_active(catalog: Catalog) -> list[TaskPlan]:
 
 
 def build_tag(spark: SparkSession, catalog: Catalog, plan: TaskPlan, dt: str,
-              rules_method: str = "auto") -> TagResult:
-    """The tag's value plan from an already-read :class:`TaskPlan`."""
-    source = run_task_sql(spark, plan.task_sql, dt)
+              rules_method: str = "auto", source: DataFrame | None = None) -> TagResult:
+    """The tag's value plan from an already-read :class:`TaskPlan`, over the rows of its SQL (``source`` if given)."""
+    source = run_task_sql(spark, plan.task_sql, dt) if source is None else source
     value_type = plan.tag.tag_value_type
     if rules_method not in ("auto", "case", "join"):
         raise ValueError(f"unknown rules_method {rules_method!r}")

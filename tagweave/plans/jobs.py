@@ -9,15 +9,19 @@ from ``spark-submit``.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.functions.values import check_date
 from tagweave.operators import bitmap as bitmap_ops
-from tagweave.operators.merge import merge_tags
+from tagweave.operators.merge import merge_long, merge_tags, union_long
+from tagweave.operators.shared import shared_passes
 from tagweave.operators.tag import TagResult, TaskPlan, build_tag, compute_tag, plan_active
 from tagweave.sources.catalog import Catalog, TagDef, active_tag_list
-from tagweave.sources.tables import TagStore
+from tagweave.sources.tables import TagStore, delete_folder
 
 
 def tag_job(spark: SparkSession, catalog: Catalog, task_id: int, dt: str, store: TagStore,
@@ -29,6 +33,44 @@ def tag_job(spark: SparkSession, catalog: Catalog, task_id: int, dt: str, store:
     return result
 
 
+def tags_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore) -> list[TagDef]:
+    """Compute all active tags of the day and replace their days; tags of the same source rows share one pass.
+
+    The result of a pass is written to a hidden folder of the store (it cuts the
+    lineage: a source is read once, whatever becomes of executors) and dropped
+    after its tags are written.
+    """
+    check_date(dt)
+    plans = plan_active(catalog)
+    passes, single = shared_passes(spark, plans, dt)
+    for shared in passes:
+        folder = f"{store.root}/_pass-{uuid.uuid4().hex[:12]}"
+        try:
+            shared.frame(spark).write.parquet(folder)
+            frame = spark.read.parquet(folder)
+            for plan, _ in shared.members:
+                tag, values = plan.tag, build_tag(spark, catalog, plan, dt, source=shared.source(frame, plan)).values
+                store.write_tag_day(tag.tag_code, tag.tag_value_type, values, dt, tag.tag_name)
+        finally:
+            delete_folder(spark, folder)
+    for plan in single:
+        tag = plan.tag
+        store.write_tag_day(tag.tag_code, tag.tag_value_type, build_tag(spark, catalog, plan, dt).values, dt, tag.tag_name)
+    return [p.tag for p in plans]
+
+
+def shared_long(spark: SparkSession, catalog: Catalog, plans: list[TaskPlan], dt: str) -> DataFrame:
+    """``(uid, tag_value, tag_name)`` of all tags, each source read once; large rule sets are joined one by one."""
+    joined = [p for p in plans if p.rule_count and p.rules is None]
+    passes, single = shared_passes(spark, [p for p in plans if p not in joined], dt)
+    parts = [p.long(p.frame(spark)) for p in passes]
+    alone = [p for p in plans if p in single or p in joined]
+    if alone:
+        parts.append(union_long([(p.tag.tag_code, build_tag(spark, catalog, p, dt).values) for p in alone],
+                                {p.tag.tag_code: p.tag.tag_value_type for p in alone}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def active_tag_frames(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore | None = None,
                       plans: list[TaskPlan] | None = None
                       ) -> tuple[list[TagDef], list[tuple[str, DataFrame]]]:
@@ -45,6 +87,12 @@ def wide_frame(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore |
                preaggregate: bool = False, plans: list[TaskPlan] | None = None,
                method: str = "auto") -> tuple[list[TagDef], DataFrame]:
     """The day's wide table as a plan (not written): active tags, their values, merged."""
+    if store is None:
+        plans = plans if plans is not None else plan_active(catalog)
+        if not plans:
+            raise ValueError("no tags to merge")
+        codes = [p.tag.tag_code for p in plans]
+        return [p.tag for p in plans], merge_long(shared_long(spark, catalog, plans, dt), codes, preaggregate, method)
     tags, frames = active_tag_frames(spark, catalog, dt, store, plans)
     types = {t.tag_code: t.tag_value_type for t in tags}
     return tags, merge_tags(frames, types, preaggregate, method)

@@ -41,13 +41,22 @@ def order_count(dt: str = DT) -> str:
   FROM orders WHERE o_orderdate < TIMESTAMP '{dt}' GROUP BY o_custkey"""
 
 
-ORDER_AMOUNT = f"""SELECT CAST(o_custkey AS VARCHAR) AS uid,
+def order_amount(dt: str = DT) -> str:
+    return f"""SELECT CAST(o_custkey AS VARCHAR) AS uid,
   CAST(sum(CAST(o_totalprice AS DECIMAL(16,2))) AS DECIMAL(16,2)) AS tag_value
-  FROM orders WHERE o_orderdate < TIMESTAMP '{DT}' GROUP BY o_custkey"""
-LAST_ORDER = f"""SELECT CAST(o_custkey AS VARCHAR) AS uid, strftime(max(o_orderdate), '%Y-%m-%d') AS tag_value
-  FROM orders WHERE o_orderdate < TIMESTAMP '{DT}' GROUP BY o_custkey"""
-PRIORITY = f"""SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS uid, o_orderpriority AS tag_value
-  FROM orders WHERE o_orderdate < TIMESTAMP '{DT}'"""
+  FROM orders WHERE o_orderdate < TIMESTAMP '{dt}' GROUP BY o_custkey"""
+
+
+def last_order(dt: str = DT) -> str:
+    return f"""SELECT CAST(o_custkey AS VARCHAR) AS uid, strftime(max(o_orderdate), '%Y-%m-%d') AS tag_value
+  FROM orders WHERE o_orderdate < TIMESTAMP '{dt}' GROUP BY o_custkey"""
+
+
+def priority(dt: str = DT) -> str:
+    return f"""SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS uid, o_orderpriority AS tag_value
+  FROM orders WHERE o_orderdate < TIMESTAMP '{dt}'"""
+
+
 NATION = """SELECT CAST(c_custkey AS VARCHAR) AS uid,
   CAST(CASE c_nationkey WHEN 0 THEN 10 WHEN 1 THEN 11 WHEN 2 THEN 12 END AS BIGINT) AS tag_value
   FROM customer"""
@@ -56,29 +65,39 @@ EVENT_COUNT = """SELECT CAST(user_id AS VARCHAR) AS uid, CAST(count(*) AS BIGINT
   FROM events GROUP BY user_id"""
 EVENT_TYPES = "SELECT DISTINCT CAST(user_id AS VARCHAR) AS uid, event_type AS tag_value FROM events"
 
-ACTIVE = [("TAG_BASE_SEGMENT", SEGMENT), ("TAG_ORDER_COUNT", order_count()),
-          ("TAG_ORDER_AMOUNT", ORDER_AMOUNT), ("TAG_LAST_ORDER", LAST_ORDER),
-          ("TAG_PRIORITY", PRIORITY), ("TAG_NATION_GROUP", NATION),
-          ("TAG_EVENT_COUNT", EVENT_COUNT), ("TAG_EVENT_TYPES", EVENT_TYPES)]
+def active(dt: str = DT) -> list[tuple[str, str]]:
+    return [("TAG_BASE_SEGMENT", SEGMENT), ("TAG_ORDER_COUNT", order_count(dt)),
+            ("TAG_ORDER_AMOUNT", order_amount(dt)), ("TAG_LAST_ORDER", last_order(dt)),
+            ("TAG_PRIORITY", priority(dt)), ("TAG_NATION_GROUP", NATION),
+            ("TAG_EVENT_COUNT", EVENT_COUNT), ("TAG_EVENT_TYPES", EVENT_TYPES)]
+
+
+ACTIVE = active()
 TYPES = {"TAG_BASE_SEGMENT": "3", "TAG_ORDER_COUNT": "1", "TAG_ORDER_AMOUNT": "2",
          "TAG_LAST_ORDER": "4", "TAG_PRIORITY": "3", "TAG_NATION_GROUP": "1",
          "TAG_EVENT_COUNT": "1", "TAG_EVENT_TYPES": "3"}
 
-LONG = "\nUNION ALL\n".join(
-    f"SELECT uid, CAST(tag_value AS VARCHAR) AS tag_value, '{code}' AS tag_name FROM ({sql})"
-    for code, sql in ACTIVE)
+def long(dt: str = DT) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT uid, CAST(tag_value AS VARCHAR) AS tag_value, '{code}' AS tag_name FROM ({sql})"
+        for code, sql in active(dt))
+
+
+def wide(dt: str = DT) -> str:
+    return "SELECT uid,\n" + ",\n".join(
+        f"  coalesce(string_agg(tag_value, ',' ORDER BY tag_value) FILTER (WHERE tag_name = '{code}'), '') "
+        f"AS {code.lower()}" for code, _ in ACTIVE) + f"\nFROM ({long(dt)}) GROUP BY uid"
+
 
-WIDE = "SELECT uid,\n" + ",\n".join(
-    f"  coalesce(string_agg(tag_value, ',' ORDER BY tag_value) FILTER (WHERE tag_name = '{code}'), '') "
-    f"AS {code.lower()}" for code, _ in ACTIVE) + f"\nFROM ({LONG}) GROUP BY uid"
+LONG, WIDE = long(), wide()
 
 
-def cells(codes=None) -> str:
+def cells(codes=None, dt: str = DT) -> str:
     """Non-empty wide cells ``(uid, tag_code, tag_value)``."""
     codes = codes or [c for c, _ in ACTIVE]
     parts = "\nUNION ALL\n".join(
         f"SELECT uid, '{c.lower()}' AS tag_code, {c.lower()} AS tag_value FROM wide" for c in codes)
-    return f"WITH wide AS ({WIDE}) SELECT * FROM ({parts}) WHERE tag_value <> ''"
+    return f"WITH wide AS ({wide(dt)}) SELECT * FROM ({parts}) WHERE tag_value <> ''"
 
 
 BUCKET = "CASE WHEN CAST(uid AS BIGINT) > 0 THEN (CAST(uid AS BIGINT) - 1) // 32768 + 1 ELSE 0 END"
@@ -170,9 +189,9 @@ def _sql() -> dict[str, str]:
     q["tag_passthrough"] = order_count()
     q["tag_rule_case"] = SEGMENT
     q["tag_rule_join"] = SEGMENT
-    q["tag_typed_values"] = ORDER_AMOUNT
+    q["tag_typed_values"] = order_amount()
     q["tag_multi_value"] = (f"SELECT uid, coalesce(string_agg(tag_value, ',' ORDER BY tag_value), '') AS tag_value "
-                            f"FROM ({PRIORITY}) GROUP BY uid")
+                            f"FROM ({priority()}) GROUP BY uid")
     q["tag_compute"] = NATION
     q["tag_write_partition"] = (f"SELECT *, '1999-01-01' AS dt FROM ({order_count('1999-01-01')}) UNION ALL "
                                 f"SELECT *, '{DT}' AS dt FROM ({order_count()})")
@@ -195,6 +214,10 @@ def _sql() -> dict[str, str]:
       GROUP BY ALL"""
     q["bitmap_cardinality"] = (f"SELECT tag_code, tag_value, CAST(count(DISTINCT uid) AS BIGINT) AS users "
                                f"FROM ({cells()}) GROUP BY ALL")
+    window = " UNION ALL ".join(f"SELECT * FROM ({cells([c for c, t in TYPES.items() if t in ('1', '3')], d)})"
+                                for d in ("1996-01-01", "1998-01-01", DT))
+    q["audience_window"] = (f"SELECT tag_code, tag_value, CAST(count(DISTINCT uid) AS BIGINT) AS users "
+                            f"FROM ({window}) GROUP BY ALL")
     q["audience_and"] = audience("and")
     q["audience_or"] = audience("or")
     # export

@@ -256,8 +256,7 @@ def wide_map(spark, sf):
 def wide_write(spark, sf):
     catalog = _setup(spark, sf)
     store = TagStore(spark, work_dir(spark, "profile"))
-    for tag in cat.active_tag_list(catalog):
-        jobs.tag_job(spark, catalog, tag.tag_task_id, DT, store)
+    jobs.tags_job(spark, catalog, DT, store)
     return jobs.merge_job(spark, catalog, DT, store)
 
 
@@ -317,6 +316,23 @@ def bitmap_cardinality(spark, sf):
     return bitmap_ops.cardinality(_bitmaps(spark, sf))
 
 
+WINDOW_DAYS = ("1996-01-01", "1998-01-01", DT)
+
+
+@query
+def audience_window(spark, sf):
+    """Users that held an event count, order count or priority list on any of three stored days."""
+    catalog = _setup(spark, sf)
+    store = TagStore(spark, work_dir(spark, "window"))
+    for day in ("1994-01-01", *WINDOW_DAYS):  # the first day lies outside the range
+        tags, wide = jobs.wide_frame(spark, catalog, day)
+        store.write_wide(wide, day)
+        jobs.bitmap_job(spark, catalog, day, store, tags=tags)
+    days = [store.read_bitmap_days(code, WINDOW_DAYS[0], WINDOW_DAYS[-1]) for code in ("1", "3")]
+    merged = bitmap_ops.merge_days(days[0].unionByName(days[1]))
+    return bitmap_ops.cardinality(merged)
+
+
 @query
 def audience_and(spark, sf):
     return bitmap_ops.audience_uids(_bitmaps(spark, sf), AUDIENCE, "and")

@@ -70,6 +70,12 @@ BITMAP_SCHEMA = T.StructType([
 ])
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package wrote, if it is there."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(to_path(path), True)
+
+
 def replace_folder(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Write ``df`` as Parquet and put it in the place of folder ``path`` once it is complete."""
     spark = df.sparkSession
@@ -223,6 +229,11 @@ class TagStore:
     def read_bitmap_day(self, value_type, dt: str) -> DataFrame:
         return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA, date_token(check_date(dt)))
 
+    def read_bitmap_days(self, value_type, first: str, last: str) -> DataFrame:
+        """Bitmaps of the days ``first`` to ``last``; other days are pruned by their folder."""
+        a, b = date_token(check_date(first)), date_token(check_date(last))
+        return self.read_bitmap_table(value_type).filter(F.col("dt").between(a, b))
+
     # SQL access -------------------------------------------------------------
     def register_views(self, tags, dts=(), value_types=()) -> list[str]:
         """Temp views named like the tables, for SQL over stored results:

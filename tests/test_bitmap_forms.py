@@ -21,7 +21,7 @@ def test_forms_decode_count_and_combine_alike(spark):
     stored = ops.build_bitmaps(cells, "2000-01-01").cache()
     sizes = stored.select("tag_value", F.octet_length("us").alias("n"), "users", bm.users_in("us").alias("counted")).collect()
     assert all(r["users"] == r["counted"] for r in sizes)
-    assert {r["n"] for r in sizes if r["tag_value"] == "big"} == {4096}
+    assert {r["n"] for r in sizes if r["tag_value"] == "big"} == {5}  # consecutive users are one run
     assert all(r["n"] == 2 for r in sizes if r["tag_value"].startswith("v"))
     back = bm.decode(stored, ["tag_code", "tag_value"])
     want = cells.selectExpr("tag_code", "tag_value", "cast(uid as bigint) uid")
@@ -58,3 +58,52 @@ def test_one_exchange_and_equal_forms(spark, tags):
         below = plan[plan.index("Exchange hashpartitioning"):]
         assert "Aggregate" not in below and "Sort" not in below
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def _states(spark, sets):
+    """Stored bitmaps of value v0, v1 ... from sets of uids, one day each."""
+    rows = [(str(u), "t", f"v{i}", d) for i, days in enumerate(sets) for d, uids in enumerate(days) for u in uids]
+    long = spark.createDataFrame(rows, "uid string, tag_code string, tag_value string, d int")
+    parts = [ops.build_bitmaps(long.where(f"d = {d}").drop("d"), f"2000-01-0{d + 1}") for d in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def test_runs_are_stored_as_runs_and_forms_unite(spark):
+    full, odd, few = range(1, 32769), range(1, 32769, 2), [5, 9, 10, 11]
+    sets = [
+        [full, few, []],                                   # one run; positions inside it
+        [odd, range(2, 32769, 2), []],                     # two bitmaps that unite to one run
+        [few, [5, 5, 12, 70_000], [0]],                    # repeated users, other buckets
+        [range(100, 3000), range(2990, 9000), [9000]],     # runs that join
+        [range(1, 2100, 2), range(50_000, 50_010), []],
+    ]
+    stored = _states(spark, sets).cache()
+    one = {(r["tag_value"], r["bucket"], r["dt"]): len(bytes(r["us"])) for r in stored.collect()}
+    assert one[("v0", 1, "20000101")] == 5 and one[("v1", 1, "20000101")] == 4096 and one[("v3", 1, "20000101")] == 5
+    assert one[("v2", 1, "20000101")] == 8 and all(n < 100 for (v, *_), n in one.items() if v in ("v0", "v3"))
+    sizes = stored.select("users", bm.users_in("us").alias("n")).collect()
+    assert all(r["users"] == r["n"] for r in sizes)
+    back = {}
+    for r in bm.decode(stored, ["tag_value", "dt"]).collect():
+        back.setdefault((r["tag_value"], r["dt"]), set()).add(r["uid"])
+    assert back == {(f"v{i}", f"2000010{d + 1}"): set(u) for i, days in enumerate(sets) for d, u in enumerate(days) if len(u)}
+    merged = ops.merge_days(stored).cache()
+    whole = {}
+    for r in bm.decode(merged, ["tag_value"]).collect():
+        whole.setdefault(r["tag_value"], set()).add(r["uid"])
+    assert whole == {f"v{i}": set().union(*days) for i, days in enumerate(sets)}
+    assert {r["tag_value"]: r["users"] for r in ops.cardinality(merged).collect()} == {k: len(v) for k, v in whole.items()}
+    assert [len(bytes(r["us"])) for r in merged.where("tag_value = 'v1'").collect()] == [5]
+    # The form of a united state is the form that its users would get at once.
+    again = ops.build_bitmaps(bm.decode(merged, ["tag_code", "tag_value"]).withColumn("uid", F.col("uid").cast("string")))
+    assert sorted(map(tuple, again.select(*ops.STATE_KEY, "us", "users").collect())) == sorted(
+        map(tuple, merged.select(*ops.STATE_KEY, "us", "users").collect()))
+    dense = bm.dense(stored.where("dt = '20000101'"), list(ops.STATE_KEY))
+    assert dense.agg(F.sum(F.bitmap_count("us"))).first()[0] == stored.where("dt = '20000101'").agg(F.sum("users")).first()[0]
+    stored.unpersist()
+    merged.unpersist()
+
+
+def test_empty_days_unite_to_nothing(spark):
+    none = spark.createDataFrame([], "uid string, tag_code string, tag_value string")
+    assert ops.merge_days(ops.build_bitmaps(none, "2000-01-01")).count() == 0
