@@ -18,6 +18,13 @@ rows) and cannot shrink the hot user's output cell, which repeats every
 duplicate; it pays off only for tag SQL that emits heavy duplicates spread
 over many map tasks, where it shrinks the shuffle to one row per distinct
 value and task.
+
+**Heavy users** (a bot, a default account, the NULL uid) would put their whole
+history into one task of that exchange.  :func:`heavy_users` measures them on a
+sample; :func:`split_wide` leaves everyone else on the one exchange and builds
+heavy cells in pieces: equal values are counted (combined in the map tasks), the
+distinct ones are dealt by range, so each task sorts and joins a stretch of a
+cell, and the cell is those stretches in order.
 """
 
 from __future__ import annotations
@@ -114,6 +121,69 @@ def map_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = False)
                                    for code, col in zip(tag_codes, columns)])
 
 
+# A user is heavy with at least this share of the rows: about half of what one of 200 tasks gets.
+HEAVY_SHARE = 1 / 400
+HEAVY_SAMPLE = 0.01
+
+
+def heavy_users(long: DataFrame, share: float = HEAVY_SHARE, sample: float = HEAVY_SAMPLE, seed: int = 42) -> list[str | None]:
+    """Uids (None: the NULL uid) with at least ``share`` of the rows, measured on a sample.
+
+    The answer has at most ``1 / share`` entries.  It only decides how rows
+    are dealt, never what the result is: a user that the sample misses is merged
+    like any other.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share must be in (0, 1]")
+    rows = long.select("uid") if sample >= 1 else long.select("uid").sample(False, sample, seed)
+    counts = rows.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    return [r.uid for r in counts.filter(F.col("n") >= share * total).orderBy(F.desc("n")).limit(int(1 / share)).collect()]
+
+
+def _is_heavy(heavy: list[str | None]) -> Column:
+    known = [u for u in heavy if u is not None]
+    listed = F.coalesce(F.col("uid").isin(known), F.lit(False)) if known else F.lit(False)
+    return listed | F.col("uid").isNull() if None in heavy else listed
+
+
+def heavy_stretches(long: DataFrame) -> DataFrame:
+    """``(uid, tag_name, part, stretch)``: the sorted, joined values of a cell in pieces, in the order of ``part``.
+
+    A stretch without values (all NULL) is NULL.
+    """
+    keys = ["uid", "tag_name", "tag_value"]
+    counted = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    dealt = counted.repartitionByRange(*keys).withColumn("part", F.spark_partition_id())
+    entries = F.collect_list(F.when(F.col("tag_value").isNotNull(), F.struct(F.col("tag_value").alias("v"), "n")))
+    return (dealt.groupBy("uid", "tag_name", "part").agg(entries.alias("entries"))
+            .select("uid", "tag_name", "part",
+                    F.when(F.size("entries") > 0, _joined_values(F.col("entries"))).alias("stretch")))
+
+
+def heavy_wide(long: DataFrame, tag_codes: list[str]) -> DataFrame:
+    """The rows of :func:`pivot_wide` for few users with very many values."""
+    columns = _columns(tag_codes)
+    ordered = F.array_sort(F.collect_list(F.struct("part", "stretch")))
+    cells = heavy_stretches(long).groupBy("uid", "tag_name").agg(
+        F.concat_ws(",", F.transform(ordered, lambda s: s["stretch"])).alias("cell"))
+    pivoted = cells.groupBy("uid").pivot("tag_name", list(tag_codes)).agg(F.first("cell"))
+    return pivoted.select("uid", *[F.coalesce(F.col(f"`{code}`"), F.lit("")).alias(col)
+                                   for code, col in zip(tag_codes, columns)])
+
+
+def split_wide(long: DataFrame, tag_codes: list[str], heavy: list[str | None], preaggregate: bool = False,
+               method: str = "auto") -> DataFrame:
+    """The wide table with the users of ``heavy`` merged in pieces, all others as in :func:`merge_long`."""
+    if not heavy:
+        return merge_long(long, tag_codes, preaggregate, method)
+    is_heavy = _is_heavy(heavy)
+    light = merge_long(long.filter(~is_heavy), tag_codes, preaggregate, method)
+    return light.unionByName(heavy_wide(long.filter(is_heavy), tag_codes))
+
+
 # Above this many tags the map form replaces the pivot (see :func:`map_wide`).
 PIVOT_TAG_LIMIT = 64
 

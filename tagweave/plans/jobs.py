@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.values import check_date
 from tagweave.operators import bitmap as bitmap_ops
-from tagweave.operators.merge import merge_long, merge_tags, union_long
+from tagweave.operators.merge import HEAVY_SAMPLE, HEAVY_SHARE, heavy_users, merge_long, merge_tags, split_wide, union_long
 from tagweave.operators.shared import shared_passes
 from tagweave.operators.tag import TagResult, TaskPlan, build_tag, compute_tag, plan_active
 from tagweave.sources.catalog import Catalog, TagDef, active_tag_list
@@ -98,10 +98,17 @@ def wide_frame(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore |
     return tags, merge_tags(frames, types, preaggregate, method)
 
 
-def merge_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore) -> DataFrame:
-    """Wide table of the day from the tag tables; the day's table is replaced."""
+def merge_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore, heavy_share: float = HEAVY_SHARE,
+              heavy_sample: float = HEAVY_SAMPLE) -> DataFrame:
+    """Wide table of the day from the tag tables; the day's table is replaced.
+
+    Users with at least ``heavy_share`` of the day's rows, measured on a sample
+    of the stored uids, are merged in pieces.
+    """
     check_date(dt)
-    tags, wide = wide_frame(spark, catalog, dt, store)
+    tags, frames = active_tag_frames(spark, catalog, dt, store)
+    long, codes = union_long(frames, {t.tag_code: t.tag_value_type for t in tags}), [t.tag_code for t in tags]
+    wide = split_wide(long, codes, heavy_users(long, heavy_share, heavy_sample))
     store.write_wide(wide, dt, {t.column: t.tag_name for t in tags})
     return store.read_wide(dt)
 

@@ -203,6 +203,7 @@ def _sql() -> dict[str, str]:
     q["wide_pivot_preagg"] = WIDE
     q["wide_map"] = WIDE
     q["wide_write"] = WIDE
+    q["wide_heavy_users"] = WIDE
     # bitmaps
     q["bitmap_unpivot"] = cells()
     q["bitmap_explode"] = cells()

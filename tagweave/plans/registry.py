@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tagweave.operators import bitmap as bitmap_ops
 from tagweave.operators import ml
 from tagweave.operators.export import read_sorted, write_sorted
-from tagweave.operators.merge import collect_values, union_long
+from tagweave.operators.merge import collect_values, split_wide, union_long
 from tagweave.operators.tag import build_tag, plan_tasks, run_task_sql
 from tagweave.functions import bitmap as bm
 from tagweave.functions.values import date_token_col, epoch_millis
@@ -260,6 +260,19 @@ def wide_write(spark, sf):
     return jobs.merge_job(spark, catalog, DT, store)
 
 
+@query
+def wide_heavy_users(spark, sf):
+    """The stored day merged with its busiest users (by event count) dealt in pieces, all others on one exchange."""
+    catalog = _setup(spark, sf)
+    store = TagStore(spark, work_dir(spark, "profile"))
+    tags = jobs.tags_job(spark, catalog, DT, store)
+    _, frames = jobs.active_tag_frames(spark, catalog, DT, store)
+    long = union_long(frames, {t.tag_code: t.tag_value_type for t in tags})
+    busiest = [r.uid for r in read_table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("uid"))
+               .count().orderBy(F.desc("count"), "uid").limit(20).collect()]
+    return split_wide(long, [t.tag_code for t in tags], busiest)
+
+
 # --- bitmaps ------------------------------------------------------------------------------
 def _cells(spark, sf, use_explode=False):
     _, tags, wide = _wide(spark, sf)
