@@ -15,10 +15,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagweave.sources.tables import replace_folder
+
 # Column names of predictions.
 LABEL_INDEX = "label_index"
 FEATURES_ASSEMBLED = "features_assemble"
@@ -141,6 +143,21 @@ class TagClassifier:
         return self
 
 
+def score(clf: TagClassifier, df: DataFrame, path: str, columns: list[str] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """Predictions of ``df`` (its ``columns``; default all and the predicted label) put in place at ``path``, and how many rows came in, were scored and were skipped.
+
+    Rows with a category that training never saw are skipped; the counts are
+    observed by the same job that writes the predictions.
+    """
+    came, scored = Observation(), Observation()
+    rows = df.observe(came, F.count(F.lit(1)).alias("n"))
+    predicted = clf.label_back(clf.predict(rows)).observe(scored, F.count(F.lit(1)).alias("n"))
+    replace_folder(predicted.select(columns or [*df.columns, PREDICTION_ORIGIN]), path)
+    # A plan whose rows are all pruned observes nothing.
+    n_in, n_out = (o.get.get("n", 0) for o in (came, scored))
+    return df.sparkSession.read.parquet(path), {"rows_in": n_in, "rows_scored": n_out, "rows_skipped": n_in - n_out}
+
+
 # evaluation ------------------------------------------------------------------
 def confusion(predicted: DataFrame) -> DataFrame:
     """``(label_index, prediction, n)`` pair counts."""
@@ -185,3 +202,26 @@ def importances_frame(spark: SparkSession, clf: TagClassifier) -> DataFrame:
 def tree_frame(spark: SparkSession, clf: TagClassifier) -> DataFrame:
     schema = T.StructType([T.StructField("tree", T.StringType())])
     return spark.createDataFrame([(clf.tree_text(),)], schema)
+
+
+def tree_nodes(spark: SparkSession, clf: TagClassifier, model_path: str) -> DataFrame:
+    """The nodes of a saved tree: feature and threshold of the split (leaf: no feature), rows, impurity, gain, label.
+
+    ``threshold`` is NULL for a categorical feature.  Impurity and gain are rounded to six places.
+    """
+    split = F.col("split.featureIndex")
+    names = F.array(*[F.lit(c) for c in clf.feature_cols])
+    labels = F.array(*[F.lit(x) for x in clf.labels()])
+    continuous = F.col("split.numCategories") == -1
+    # A leaf's own impurity is not kept, but its label counts are.
+    shares = F.transform("impurityStats", lambda n: n / F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b))
+    if clf.impurity == "gini":
+        impurity = 1 - F.aggregate(shares, F.lit(0.0), lambda a, p: a + p * p)
+    else:
+        impurity = F.aggregate(shares, F.lit(0.0), lambda a, p: a - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
+    return spark.read.parquet(f"{model_path}/stages/3_*/data").select(
+        F.when(split >= 0, F.get(names, split)).otherwise("leaf").alias("feature"),
+        F.when((split >= 0) & continuous, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
+        F.col("rawCount").alias("n_rows"), F.round(impurity, 6).alias("impurity"),
+        F.round(F.when(split >= 0, F.col("gain")).otherwise(0.0), 6).alias("gain"),
+        F.get(labels, F.col("prediction").cast("int")).alias("prediction_origin"))

@@ -1,6 +1,7 @@
 """Run the daily jobs from ``spark-submit``.
 
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py tag    <task_id> <yyyy-MM-dd> --catalog-dir DIR | --catalog-jdbc URL
+    spark-submit --py-files tagweave.zip tagweave/plans/cli.py tags   <yyyy-MM-dd> ...      (all active tags, one pass a source)
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py merge  <yyyy-MM-dd> ...
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py bitmap <yyyy-MM-dd> ...
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py export <yyyy-MM-dd> --serving-jdbc URL ...
@@ -13,9 +14,10 @@ The catalog comes from a JDBC database (``--catalog-jdbc``, credentials via
 Tables go under ``--store`` (default: ``<spark.checkpoint.dir>/profile``).
 Tag SQL sees the tables of the session's catalog (unqualified names resolve in
 ``--input-database``), plus any Parquet tables named with ``--input name=path``.
-``train`` fits on the hash-split training part, prints the held-out accuracy
-and saves the model; ``predict`` writes the rows of ``--data`` with their
-predicted label.
+``train`` fits on the hash-split training part with the tree's parameters
+(``--max-depth``, ``--max-bins`` ...), prints the held-out accuracy and saves the
+model; ``predict`` writes the rows of ``--data`` with their predicted label,
+published when complete, and prints how many rows were scored and skipped.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ from tagweave.functions.values import wide_table_name
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tagweave")
-    p.add_argument("job", choices=["tag", "merge", "bitmap", "export", "train", "predict"])
-    p.add_argument("args", nargs="+", help="tag: <task_id> <date>; merge, bitmap, export: <date>; train, predict: <model_dir>")
+    p.add_argument("job", choices=["tag", "tags", "merge", "bitmap", "export", "train", "predict"])
+    p.add_argument("args", nargs="+", help="tag: <task_id> <date>; tags, merge, bitmap, export: <date>; train, predict: <model_dir>")
     src = p.add_mutually_exclusive_group()
     src.add_argument("--catalog-dir")
     src.add_argument("--catalog-jdbc")
@@ -63,6 +65,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--label")
     p.add_argument("--features", help="comma-separated numeric columns")
     p.add_argument("--output")
+    defaults = ml.TagClassifier("label", ["feature"])
+    for name in ("max_categories", "max_bins", "max_depth", "min_instances_per_node"):
+        p.add_argument(f"--{name.replace('_', '-')}", type=int, default=getattr(defaults, name))
+    p.add_argument("--min-info-gain", type=float, default=defaults.min_info_gain)
+    p.add_argument("--impurity", choices=["gini", "entropy"], default=defaults.impurity)
+    p.add_argument("--seed", type=int)
     return p
 
 
@@ -95,7 +103,8 @@ def _need(ns, *names: str) -> None:
 def _model_job(spark: SparkSession, ns) -> None:
     _need(ns, "data", "label", "features")
     data = spark.read.parquet(ns.data)
-    clf = ml.TagClassifier(ns.label, ns.features.split(","))
+    clf = ml.TagClassifier(ns.label, ns.features.split(","), ns.max_categories, ns.max_bins, ns.max_depth,
+                           ns.min_instances_per_node, ns.min_info_gain, ns.impurity, ns.seed)
     if ns.job == "train":
         _need(ns, "key")
         rows = ml.split(data, ns.key)
@@ -104,8 +113,8 @@ def _model_job(spark: SparkSession, ns) -> None:
         print(f"held-out accuracy: {held_out}")
     else:
         _need(ns, "output")
-        predicted = clf.load(ns.args[0]).predict(data)
-        clf.label_back(predicted).select(*data.columns, ml.PREDICTION_ORIGIN).write.mode("overwrite").parquet(ns.output)
+        _, counts = ml.score(clf.load(ns.args[0]), data, ns.output, [*data.columns, ml.PREDICTION_ORIGIN])
+        print(", ".join(f"{k}: {n}" for k, n in counts.items()))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -130,6 +139,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     dt = ns.args[-1]
     if ns.job == "tag":
         jobs.tag_job(spark, catalog, int(ns.args[0]), dt, store)
+    elif ns.job == "tags":
+        jobs.tags_job(spark, catalog, dt, store)
     elif ns.job == "merge":
         jobs.merge_job(spark, catalog, dt, store)
     elif ns.job == "bitmap":

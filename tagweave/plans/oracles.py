@@ -3,7 +3,7 @@
 Written from the semantics, not generated from the Spark plans: tags are
 plain GROUP BY / CASE queries, the wide table is ``string_agg ... FILTER``,
 bitmaps are ``count(DISTINCT uid)`` per bucket, ML results are the majority
-votes of a one-level tree.  The catalog of :mod:`tagweave.plans.profile` appears as
+votes of the regions that the label is made of.  The catalog of :mod:`tagweave.plans.profile` appears as
 ``VALUES`` lists.
 """
 
@@ -126,8 +126,10 @@ ML_FRAME = """SELECT o_orderkey, o_totalprice, month(o_orderdate) AS order_month
     WHEN '4-NOT SPECIFIED' THEN 14 WHEN '5-LOW' THEN 15 END AS priority_code,
   CASE o_orderstatus WHEN 'F' THEN 21 WHEN 'O' THEN 22 WHEN 'P' THEN 23 END AS status_code
   FROM orders"""
-LABELLED = f"""SELECT *, CASE WHEN (status_code = 21) <> (substr(md5('noise:' || o_orderkey), 1, 1) IN ('0', '1'))
-    THEN 'closed' ELSE 'open' END AS order_state,
+LABELLED = f"""SELECT *,
+  CASE WHEN status_code <> 21 THEN 'a' WHEN order_month <= 4 THEN 'b' WHEN priority_code = 15 THEN 'c' ELSE 'd' END AS region,
+  (['open', 'closed', 'late'])[(CASE WHEN status_code <> 21 THEN 0 WHEN order_month <= 4 OR priority_code = 15 THEN 1 ELSE 2 END
+    + CASE WHEN substr(md5('noise:' || o_orderkey), 1, 1) = '0' THEN 1 ELSE 0 END) % 3 + 1] AS order_state,
   CASE WHEN CAST('0x' || substr(md5('42:' || o_orderkey), 1, 8) AS BIGINT) / 4294967296.0 < 0.7
     THEN 'train' ELSE 'test' END AS part
   FROM ({ML_FRAME})"""
@@ -140,13 +142,34 @@ def indexed(rows: str) -> str:
   SELECT f.*, r.label_index FROM f JOIN r USING (order_state)"""
 
 
-# a one-level tree splits on the status and predicts the training majority of each side
-PREDICTED = f"""WITH x AS ({indexed("WHERE part = 'train'")}),
-  v AS (SELECT status_code = 21 AS side, order_state, label_index, count(*) AS n FROM x WHERE part = 'train' GROUP BY ALL),
-  best AS (SELECT side, arg_max(label_index, n) AS prediction, arg_max(order_state, n) AS prediction_origin
-    FROM v GROUP BY side)
-  SELECT x.*, best.prediction, best.prediction_origin FROM x JOIN best ON (x.status_code = 21) = best.side
-  WHERE x.part = 'test'"""
+def predicted(region: str = "region") -> str:
+    """Held-out rows with the training majority of their region: the leaf of a tree that splits on what makes the regions."""
+    return f"""WITH x AS (SELECT *, {region} AS leaf FROM ({indexed("WHERE part = 'train'")})),
+  v AS (SELECT leaf, order_state, label_index, count(*) AS n FROM x WHERE part = 'train' GROUP BY ALL),
+  best AS (SELECT leaf, arg_max(label_index, n) AS prediction, arg_max(order_state, n) AS prediction_origin
+    FROM v GROUP BY leaf)
+  SELECT x.*, best.prediction, best.prediction_origin FROM x JOIN best USING (leaf) WHERE x.part = 'test'"""
+
+
+PREDICTED = predicted()
+MONTHS = "CASE WHEN status_code <> 21 THEN 'a' WHEN order_month <= {0} THEN 'b' ELSE 'c' END"
+SETTINGS = {"depth 1": "status_code <> 21", "depth 2": MONTHS.format(4), "min instances": MONTHS.format(4),
+            "min gain": "0", "bins 4": MONTHS.format(3)}
+
+# The tree's nodes as sets of regions; impurity (gini) and gain from the training counts alone.
+NODES = f"""WITH x AS ({indexed("WHERE part = 'train'")}),
+  node(feature, below, smaller, larger) AS (VALUES
+    ('status_code', 'abcd', 'a', 'bcd'), ('order_month', 'bcd', 'b', 'cd'), ('priority_code', 'cd', 'c', 'd'),
+    ('leaf', 'a', NULL, NULL), ('leaf', 'b', NULL, NULL), ('leaf', 'c', NULL, NULL), ('leaf', 'd', NULL, NULL)),
+  counted AS (SELECT below, order_state, count(*) AS n FROM node JOIN x ON contains(below, region) WHERE part = 'train' GROUP BY ALL),
+  sized AS (SELECT below, sum(n) AS n_rows, arg_max(order_state, n) AS prediction_origin,
+      1 - sum(n * n) / (sum(n) * sum(n)) AS impurity FROM counted GROUP BY below),
+  gained AS (SELECT node.feature, s.*, CASE WHEN node.smaller IS NULL THEN 0.0
+      ELSE s.impurity - (l.n_rows * l.impurity + r.n_rows * r.impurity) / s.n_rows END AS gain
+    FROM node JOIN sized s USING (below) LEFT JOIN sized l ON l.below = node.smaller LEFT JOIN sized r ON r.below = node.larger)
+  SELECT feature, CASE WHEN feature = 'order_month' THEN (SELECT (max(order_month) FILTER (WHERE region = 'b')
+        + min(order_month) FILTER (WHERE region IN ('c', 'd'))) / 2.0 FROM x WHERE part = 'train')::DOUBLE END AS threshold,
+    CAST(n_rows AS BIGINT) AS n_rows, impurity::DOUBLE AS impurity, gain::DOUBLE AS gain, prediction_origin FROM gained"""
 
 
 def _sql() -> dict[str, str]:
@@ -238,11 +261,16 @@ def _sql() -> dict[str, str]:
     q["dt_train_predict"] = f"SELECT o_orderkey, prediction FROM ({PREDICTED})"
     q["label_back"] = f"SELECT o_orderkey, prediction_origin FROM ({PREDICTED})"
     q["ml_split"] = f"SELECT o_orderkey, order_state, part FROM ({LABELLED})"
-    q["feature_importance"] = """SELECT * FROM (VALUES ('o_totalprice', 0.0::DOUBLE), ('order_month', 0.0::DOUBLE),
-      ('priority_code', 0.0::DOUBLE), ('status_code', 1.0::DOUBLE)) AS t(feature, importance)"""
-    q["ml_hyper_parameters"] = f"""WITH f AS ({LABELLED})
-      SELECT o_orderkey, (SELECT order_state FROM f WHERE part = 'train' GROUP BY 1 ORDER BY count(*) DESC LIMIT 1)
-        AS prediction_origin FROM f WHERE part = 'test'"""
+    q["tree_nodes"] = f"""SELECT feature, threshold, n_rows, round(impurity, 6) AS impurity, round(gain, 6) AS gain,
+      prediction_origin FROM ({NODES})"""
+    q["feature_importance"] = f"""SELECT f.feature, round(coalesce(gain * n_rows / (SELECT sum(gain * n_rows) FROM ({NODES})), 0.0), 6)
+        AS importance
+      FROM (VALUES ('o_totalprice'), ('order_month'), ('priority_code'), ('status_code')) AS f(feature)
+      LEFT JOIN ({NODES}) n USING (feature)"""
+    q["ml_hyper_parameters"] = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS setting, o_orderkey, prediction_origin FROM ({predicted(region)})" for name, region in SETTINGS.items())
+    q["ml_skipped_rows"] = f"""SELECT count(*) AS rows_in, count(*) FILTER (WHERE priority_code <> 15) AS rows_scored,
+      count(*) FILTER (WHERE priority_code = 15) AS rows_skipped FROM ({LABELLED}) WHERE part = 'test'"""
     q["eval_accuracy"] = (f"SELECT avg(CASE WHEN prediction = label_index THEN 1.0 ELSE 0.0 END)::DOUBLE "
                           f"AS accuracy FROM ({PREDICTED})")
     q["eval_confusion"] = (f"SELECT label_index, prediction, CAST(count(*) AS BIGINT) AS n FROM ({PREDICTED}) "

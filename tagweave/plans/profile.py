@@ -80,8 +80,9 @@ def demo_catalog(spark: SparkSession) -> Catalog:
     return catalog_from_rows(spark, TASKS, TAGS, RULES)
 
 
-# ML frame over orders: text categories -> integer codes, label from status.
+# ML frame over orders: text categories -> integer codes, label from status, month and priority.
 PRIORITY_CODES = {"1-URGENT": 11, "2-HIGH": 12, "3-MEDIUM": 13, "4-NOT SPECIFIED": 14, "5-LOW": 15}
 STATUS_CODES = {"F": 21, "O": 22, "P": 23}
 FEATURES = ["o_totalprice", "order_month", "priority_code", "status_code"]
 LABEL = "order_state"
+LABELS = ["open", "closed", "late"]
