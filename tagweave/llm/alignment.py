@@ -47,16 +47,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.llm.bpe import _narrow, _pack, _unpack
-from tagweave.llm.chat import _byte_letters
 from tagweave.llm.common import small_batches, written
 from tagweave.llm.pretoken import SPACE, _classes, code_points, numbered
 from tagweave.llm.tokenfile import WordEncoder
+from tagweave.llm.vocabulary import BLANK_MARK, Table, byte_level_tokens, piece_tokens
 
 CHUNK_CHARS = 8 << 20
 PART_CHARS = 1 << 20
 KNOWN_UNITS = 300_000  # a worker's memory of aligned units starts anew beyond this number (about 120 MB)
 EXPANSION = 1 << 22    # products formed at once
-BLANK_MARK = "▁"   # fixed value: how the pieces of B write a blank
 
 
 # --- sparse matrices -------------------------------------------------------------------------
@@ -153,30 +152,6 @@ def align_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> Alignment:
 # --- units -----------------------------------------------------------------------------------
 
 
-class Table:
-    """Bytes of each id of a vocabulary, laid end to end."""
-
-    def __init__(self, tokens: list[bytes]):
-        self.size = np.array([len(t) for t in tokens], dtype=np.int64)
-        self.begin = np.cumsum(self.size) - self.size
-        self.data = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-
-    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
-        n = self.size[ids]
-        return self.data[np.repeat(self.begin[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-
-
-def _table_a(tokenizer) -> Table:
-    letters = _byte_letters()
-    tokens = [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
-    return Table([bytes(map(letters.__getitem__, t)) if all(c in letters for c in t) else t.encode() for t in tokens])
-
-
-def _table_b(pieces) -> Table:
-    return Table([bytes([int(pieces.id_to_piece(i)[3:5], 16)]) if pieces.is_byte(i)
-                  else pieces.id_to_piece(i).replace(BLANK_MARK, " ").encode() for i in range(pieces.get_piece_size())])
-
-
 def unit_starts(text: str, text_starts: np.ndarray) -> np.ndarray:
     """Where units start: at each text, and at each blank behind a sign that is no white space."""
     cp = code_points(text)
@@ -215,7 +190,7 @@ class Aligner:
             piece = self.b.id_to_piece(i)
             if BLANK_MARK in piece.lstrip(BLANK_MARK):
                 raise ValueError(f"piece {i} has a blank behind another sign: texts cannot be cut there")
-        self.table_a, self.table_b = _table_a(self.a.tokenizer), _table_b(self.b)
+        self.table_a, self.table_b = Table(byte_level_tokens(self.a.tokenizer)), Table(piece_tokens(self.b))
         self.forget()
 
     def forget(self) -> None:

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from tagweave.llm.common import small_batches, written
 from tagweave.llm.tokenfile import WordEncoder
+from tagweave.llm.vocabulary import Table, byte_level_tokens
 
 # The template's control strings; the place in this list makes the reserved id.
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[OUT]", "[ROLE]", "[/ROLE]", "[END]"]
@@ -85,25 +86,15 @@ class Codec:
         tokenizer = self.encoder.tokenizer
         if tokenizer.get_vocab_size() > first_reserved:
             raise ValueError(f"reserved ids must lie beyond the vocabulary of {tokenizer.get_vocab_size()} ids")
-        byte_of = _byte_letters()
-        self.bytes = [bytes(map(byte_of.__getitem__, tokenizer.id_to_token(i))) if all(
-            ch in byte_of for ch in tokenizer.id_to_token(i)) else tokenizer.id_to_token(i).encode()
-            for i in range(tokenizer.get_vocab_size())]
+        gap = [b""] * (first_reserved - tokenizer.get_vocab_size())
+        self.table = Table([*byte_level_tokens(tokenizer), *gap, *(c.encode() for c in CONTROLS)])
 
     def reserved(self, names: list[str]) -> list[int]:
         return [self.first + NUMBER[n] for n in names]
 
-    def text(self, ids: list[int]) -> str:
+    def text(self, ids) -> str:
         """Plain form of ``ids``: reserved ids as control strings, texts still escaped."""
-        known, first = self.bytes, self.first
-        return b"".join([known[i] if i < first else CONTROLS[i - first].encode() for i in ids]).decode("utf-8", "replace")
-
-
-def _byte_letters() -> dict[str, int]:
-    """Byte of each letter of a byte-level vocabulary: printable bytes stand for themselves, others follow from 256 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in printable]
-    return {**{chr(b): b for b in printable}, **{chr(256 + i): b for i, b in enumerate(rest)}}
+        return self.table.bytes_of(np.asarray(ids, dtype=np.int64)).tobytes().decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=2)
@@ -208,39 +199,44 @@ def format_conversations(turns: DataFrame, form: Format, piece_ids: int = PIECE_
 # --- reading back ----------------------------------------------------------------------------
 
 
-def turns_of(codec: Codec, ids: list[int], loss: list[int]) -> Iterator[tuple[str, str, str, int]]:
+def turns_of(codec: Codec, ids: np.ndarray, loss: np.ndarray) -> Iterator[tuple[str, str, str, int]]:
     """(role, text, text under the mask, characters of the plain form) of each turn, from ids and mask alone."""
     first, head_role = codec.first, {codec.reserved(h)[-1]: r for r, h in HEADS.items()}
     open_name, close_name = codec.reserved([OPEN_NAME])[0], codec.reserved([CLOSE_NAME])[0]
-    marks = [i for i, x in enumerate(ids) if x >= first]
+    raw = codec.table.bytes_of(ids).tobytes()
+    at = np.r_[0, np.cumsum(codec.table.size[ids])].tolist()   # where the bytes of each id begin
+    under_mask = np.r_[0, np.cumsum(loss)].tolist()
     role, begin, turn = None, 0, 0
-    for i in marks:
-        mark = ids[i]
+
+    def plain_form(a: int, b: int) -> str:
+        return raw[at[a]:at[b]].decode("utf-8", "replace")
+
+    marks = np.flatnonzero(ids >= first)
+    for i, mark in zip(marks.tolist(), ids[marks].tolist()):
         if mark in head_role:
             role, begin = head_role[mark], i + 1
         elif mark == open_name:
             begin = i + 1
         elif mark == close_name:
-            role, begin = unescape(codec.text(ids[begin:i])), i + 1
+            role, begin = unescape(plain_form(begin, i)), i + 1
         elif role is not None:  # the tail
-            text = codec.text(ids[begin:i])
+            text = plain_form(begin, i)
             plain = unescape(text)
-            trained = loss[turn:i + 1]
-            if not any(trained):
+            trained = under_mask[i + 1] - under_mask[turn]
+            if not trained:
                 under = ""
-            elif sum(trained) == i - begin and all(loss[begin:i]):
+            elif trained == i - begin == under_mask[i] - under_mask[begin]:
                 under = plain
             else:
-                under = unescape(codec.text([x for x, m in zip(ids[turn:i + 1], trained) if m]))
-            size = len(codec.text(ids[turn:begin])) + len(text) + len(codec.text([mark]))
-            yield role, plain, under, size
+                under = unescape(codec.text(ids[turn:i + 1][loss[turn:i + 1] > 0]))
+            yield role, plain, under, len(plain_form(turn, begin)) + len(text) + len(plain_form(i, i + 1))
             role, turn = None, i + 1
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
     conv, ids, loss = (batch.column(c) for c in ("conv_id", "ids", "loss"))
     for i in range(batch.num_rows):
-        yield conv[i].as_py(), ids[i].as_py(), loss[i].as_py()
+        yield conv[i].as_py(), *(x[i].values.to_numpy(zero_copy_only=False) for x in (ids, loss))
 
 
 def _read(form: Format):

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tagweave.llm import alignment as al
+from tagweave.llm.vocabulary import byte_letters
 from tagweave.llm.queries import FILE_TOKENIZER, PIECE_MODEL, queries, tokenizer_path
 
 A, B = tokenizer_path(FILE_TOKENIZER), tokenizer_path(PIECE_MODEL)
@@ -65,7 +66,7 @@ def brute(texts):
     tok = Tokenizer.from_file(A)
     tok.encode_special_tokens = True
     sp = sentencepiece.SentencePieceProcessor(model_file=B)
-    letters = al._byte_letters()
+    letters = byte_letters()
     rows, count = [], Counter()
     for t in texts:
         row = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_shared": 0, "links": [], "sha": ""}

@@ -30,7 +30,7 @@ def test_turns_come_back_from_ids_and_mask(turns):
     codec = chat._codec(FORM.tokenizer_path, FORM.first_reserved)
     ids, loss, sizes = chat.assemble(codec, [r for r, _ in turns], [t for _, t in turns], FORM.loss_roles)
     assert len(ids) == len(loss) == sizes.sum()
-    got = list(chat.turns_of(codec, ids.tolist(), loss.tolist()))
+    got = list(chat.turns_of(codec, ids, loss))
     assert [(r, t, u) for r, t, u, _ in got] == [(r, t, t if r == "assistant" else "") for r, t in turns]
     plain = codec.text(ids.tolist())
     assert sum(n for *_, n in got) == len(plain)
