@@ -38,6 +38,8 @@ class Part:
     pattern: str
     keep: str = "true"   # SQL over ``hit``, the matched text
     needs: str = "true"  # SQL over ``near``, the roles close by; for weak parts
+    linear: str = ""     # the same matches for a backtracking matcher, in linear time and bounded stack
+    before: str = ""     # what ``linear`` matches in front of the part itself
 
 
 # Fixed value: the keywords of an assigned secret.
@@ -45,6 +47,12 @@ _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 _WEAK = r"""((?i:pwd|passphrase|credential|pin))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _NAME = r"""((?i:username|user|login|client_?id|account|access_?key_?id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]+)"""
 _HOST = r"""((?i:host|endpoint|server|base_?url))["']?\x20*[:=]\x20*["']?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?)"""
+# A matcher recurses for each repeat of a group that it may give up again; nothing behind these could use that.
+_HOST_LINEAR = _HOST.replace(r"(?:\.[A-Za-z0-9-]+)+", r"(?:\.[A-Za-z0-9-]++)++")
+_URL = r"""[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+"""
+# A run of scheme signs is tried once, from its start; a match never ends inside one, as its own signs include them.
+_URL_BEFORE = r"[0-9+.-]*+"
+_URL_LINEAR = r"(?<![a-z0-9+.-])" + _URL_BEFORE + _URL.replace("[a-z0-9+.-]*:", "[a-z0-9+.-]*+:")
 
 
 def _group2(pattern: str) -> str:
@@ -62,9 +70,9 @@ PARTS = [
     Part("random", SECRET, False, r"[A-Za-z0-9+/]{32,}={0,2}",
          "hit rlike '[A-Z]' and hit rlike '[a-z]' and hit rlike '[0-9]'", f"(near & {IDENTIFIER | ENDPOINT}) <> 0"),
     Part("name", IDENTIFIER, False, _NAME, f"length({_group2(_NAME)}) >= 3", f"(near & {SECRET}) <> 0"),
-    Part("url", ENDPOINT, False, r"""[a-z][a-z0-9+.-]*://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+""", "true",
-         f"(near & {IDENTIFIER | SECRET}) = {IDENTIFIER | SECRET}"),
-    Part("host", ENDPOINT, False, _HOST, "true", f"(near & {IDENTIFIER | SECRET}) = {IDENTIFIER | SECRET}"),
+    Part("url", ENDPOINT, False, _URL, "true", f"(near & {IDENTIFIER | SECRET}) = {IDENTIFIER | SECRET}",
+         _URL_LINEAR, _URL_BEFORE),
+    Part("host", ENDPOINT, False, _HOST, "true", f"(near & {IDENTIFIER | SECRET}) = {IDENTIFIER | SECRET}", _HOST_LINEAR),
 ]
 KINDS = [p.kind for p in PARTS]
 # A text without any of these has no part.
@@ -76,14 +84,19 @@ def parts(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, kind number, start, end) of every part; equal rows of ``docs`` count once."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").where(
         F.col("text").rlike(GATE))
-    found = F.array(*[F.struct(F.lit(i).alias("kind"), F.split("text", p.pattern, -1).alias("gaps"),
-                               F.regexp_extract_all("text", F.lit(p.pattern), F.lit(0)).alias("hits"))
+    found = F.array(*[F.struct(F.lit(i).alias("kind"),
+                               F.regexp_extract_all("text", F.lit(p.linear or p.pattern), F.lit(0)).alias("hits"))
                       for i, p in enumerate(PARTS)])
-    each = rows.select("doc_id", "text_hash", F.explode(F.filter(found, lambda x: F.size(x["hits"]) > 0)).alias("f"))
+    each = rows.select("doc_id", "text_hash", "text", F.explode(F.filter(found, lambda x: F.size(x["hits"]) > 0)).alias("f"))
+    gaps, before = F.lit(None).cast("array<string>"), F.lit("")
+    for i, p in enumerate(PARTS):  # only kinds that were found are searched again
+        gaps = F.when(F.col("f.kind") == i, F.split("text", p.linear or p.pattern, -1)).otherwise(gaps)
+        if p.before:
+            before = F.when(F.col("kind") == i, F.regexp_extract("g.hit", "^" + p.before, 0)).otherwise(before)
     laid = each.select("doc_id", "text_hash", F.col("f.kind").alias("kind"),
-                       F.posexplode(F.arrays_zip(F.col("f.gaps").alias("gap"), F.col("f.hits").alias("hit"))).alias("i", "g"))
-    laid = laid.where("g.hit is not null").groupBy("doc_id", "text_hash", "kind", "i").agg(
-        F.first(F.length("g.gap")).alias("gap"), F.first("g.hit").alias("hit"))
+                       F.posexplode(F.arrays_zip(gaps.alias("gap"), F.col("f.hits").alias("hit"))).alias("i", "g"))
+    laid = laid.where("g.hit is not null").withColumn("before", F.length(before)).groupBy("doc_id", "text_hash", "kind", "i").agg(
+        F.first(F.length("g.gap") + F.col("before")).alias("gap"), F.first(F.expr("substr(g.hit, before + 1)")).alias("hit"))
     so_far = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("i")
     ends = F.sum(F.col("gap") + F.length("hit")).over(so_far).alias("end")
     keep = F.lit(False)

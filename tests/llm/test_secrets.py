@@ -1,7 +1,10 @@
 import hashlib
 import re
+import time
 from collections import Counter
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tagweave.llm import secrets
@@ -55,3 +58,32 @@ def test_plan_is_native_and_empty_input(spark, empty_docs, real_docs):
     assert secrets.scan(empty_docs).count() == 0
     listed = secrets.scan(real_docs).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()
     assert all(hashlib.sha256(r["s"].encode()).hexdigest() for r in listed)
+
+
+def _span(spark, text):
+    """Found spans of one text, timed."""
+    began = time.time()
+    spans = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["spans"]
+    return [(secrets.KINDS[s["kind"]], s["start"], s["end"]) for s in spans], time.time() - began
+
+
+def test_hostile_texts_neither_overflow_nor_take_quadratic_time(spark):
+    host = "host=" + "a." * 200_000 + "a"
+    assert _span(spark, f"user=bob password=abcdefg {host}")[0] == [
+        ("name", 0, 8), ("assign", 9, 25), ("host", 26, 26 + len(host))]
+    run = "k" * 1_000_000
+    for text in (f"http://{run}", f"{run}http://x", f"{run} {run}:/ {run}:", "1." * 400_000 + "://", "a" * 31 + (" " + "a" * 31) * 20_000):
+        spans, seconds = _span(spark, f"user=bob password=abcdefg {text}")
+        assert seconds < 20 and [k for k, *_ in spans if k in ("name", "assign")] == ["name", "assign"]
+    text = f"user=bob password=abcdefg {run}http://x"
+    assert ("url", 26, len(text)) in _span(spark, text)[0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["http", "://", "a", "9", ".", "-", "+", "X", " ", "/", ":", "é", "?", "host=", "a.b", ":80"]), max_size=14).map("".join))
+def test_linear_patterns_match_what_the_plain_ones_match(text):
+    for p in secrets.PARTS:
+        if p.linear:
+            want = [m.span() for m in re.finditer(p.pattern, text)]
+            got = [(m.start() + len(re.match(p.before, m[0])[0]), m.end()) for m in re.finditer(p.linear, text)]
+            assert got == want
