@@ -62,6 +62,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(row, row_id, row_hash): every row as one struct beside its id and the hash of its text.
+
+    Whatever the columns of ``docs`` are called, they clash with nothing that is joined.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("row_id"), F.xxhash64("text").alias("row_hash"))
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the decimal id, mod 4; a null id counts as the empty string.  Fold 2 is held out."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4

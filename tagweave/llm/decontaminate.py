@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import small_batches, written
+from tagweave.llm.common import small_batches, whole_rows, written
 
 LEAST = 5               # words of a seed and of the shortest tile
 COVERAGE = 0.5          # share of an item's words that makes a document contaminated
@@ -235,7 +235,7 @@ def clean(docs: DataFrame, found: DataFrame) -> DataFrame:
     The names are written first: with their size known, the planner need not
     shuffle the texts of all documents to drop a few.
     """
-    bad = written(found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(),
-                  "contaminated")
-    same = docs["doc_id"].eqNullSafe(bad["__id"]) & (F.xxhash64(docs["text"]) == bad["__hash"])
-    return docs.join(bad, same, "left_anti")
+    bad = written(found.select("doc_id", "text_hash").distinct(), "contaminated")
+    rows = whole_rows(docs)
+    same = rows["row_id"].eqNullSafe(bad["doc_id"]) & (rows["row_hash"] == bad["text_hash"])
+    return rows.join(bad, same, "left_anti").select("row.*")

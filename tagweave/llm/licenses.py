@@ -4,14 +4,17 @@ One automaton holds every word run of every template.  A text streams through
 it once: each word moves to the longest run of template words that ends there
 (the matching statistics).  Runs that cannot grow further and are long enough
 name their places in the templates, and runs of one template that lie in order
-and close together chain into a span.  A template is found when a chain covers
-enough of its words, so reflowed, cut or slightly edited notices are found.
+and close together chain into a span: every run takes the best of all chains that
+it can go on from, so a stray run in between breaks none.  A template is found
+when a chain covers enough of its words, so reflowed, cut or slightly edited
+notices are found.
 
 The base phrases are templates too; a phrase stands wherever the current run
 ends with it, which the automaton's suffix links tell.
 
 The automaton depends on the templates alone (bounded, broadcast); texts are
-never shuffled.  Work is linear in the text: chains are extended in one pass.
+never shuffled.  Work is linear in the text for given templates: a run looks back
+over its own length and the gap.
 
 Defined results: words are runs of 0-9, a-z (A-Z lower-cased) and anything
 above ASCII; null and empty texts have no words, no labels and score 0; repeated
@@ -44,7 +47,7 @@ BASE_PHRASES = {
     "mit license": "mit",
 }
 
-# Public license notices and the usual one-line references to them: (label, text).
+# Public license notices and texts, and the usual one-line references to them: (label, text).
 TEMPLATES = [
     ("gpl-3.0", "licensed under the GNU General Public License, version 3"),
     ("gpl-2.0", "licensed under the GNU General Public License, version 2"),
@@ -76,6 +79,43 @@ TEMPLATES = [
     ("cc-by-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc0-1.0", "has waived all copyright and related or neighboring rights to this work"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice
+        and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("bsd-2-clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+        that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this
+        list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+        IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED."""),
+    ("bsd-3-clause", """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+        OF MERCHANTABILITY AND FITNESS."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. Permission is granted to anyone to use this software
+        for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the
+        following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote
+        the original software. If you use this software in a product, an acknowledgment in the product documentation would be
+        appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be
+        misrepresented as being the original software. 3. This notice may not be removed or altered from any source
+        distribution."""),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+        compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless
+        required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+        "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+        specific language governing permissions and limitations under the License."""),
+    ("unlicense", """Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
+        code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
 ]
 
 
@@ -196,36 +236,46 @@ class Scanner:
         return words, base, self._chains(runs)
 
     def _chains(self, runs):
-        """Chains of runs per template, in one pass over the runs in text order."""
-        done, chain = [], {}
-
-        def close(t):
-            start, end, first, last, covered = chain.pop(t)
-            if covered >= MIN_COVER * len(self.sequences[t]):
-                done.append((t, start, end, covered))
-
+        """Spans (template, start, end, covered words) of the chains that cover enough, none overlapping in one template."""
+        matches: dict[int, list[tuple[int, int, int, int, int]]] = {}
         for end, length, state in runs:
-            start = end - length
-            offered: dict[int, list[int]] = {}
             for t, t_end in self.sam.places[state]:
                 if t >= self.n_phrases and t_end >= length:
-                    offered.setdefault(t, []).append(t_end)
-            for t, t_ends in offered.items():
-                if t in chain:
-                    c_start, c_end, first, last, covered = chain[t]
-                    # The next place in the template that goes on from the chain, close by in both.
-                    on = [e for e in t_ends if e > last and e - length - last <= MAX_GAP]
-                    if on and start - c_end <= MAX_GAP and end > c_end:
-                        gained = min(on[0] - last, end - c_end, length)
-                        chain[t] = (c_start, end, first, on[0], covered + gained)
-                        continue
-                    close(t)
-                chain[t] = (start, end, t_ends[0] - length, t_ends[0], length)
-        for t in list(chain):
-            close(t)
+                    matches.setdefault(t, []).append((end - length, end, t_end - length, t_end, length))
+        done = []
+        for t, found in matches.items():
+            taken: list[tuple[int, int]] = []
+            for covered, start, end in sorted(best_chains(found), key=lambda c: (-c[0], c[1], c[2])):
+                if covered < MIN_COVER * len(self.sequences[t]):
+                    break
+                if all(end <= a or start >= b for a, b in taken):
+                    taken.append((start, end))
+                    done.append((t, start, end, covered))
         return sorted(done, key=lambda x: (x[1], x[2], x[0]))
 
 
+def best_chains(matches: list[tuple[int, int, int, int, int]], max_gap: int = MAX_GAP) -> list[tuple[int, int, int]]:
+    """(covered words, start, end) of the best chain that ends with each match.
+
+    Matches are (start, end, start in the template, end there, length), sorted by
+    end.  A match goes on from one that ends before it in both sequences, with at
+    most ``max_gap`` words skipped in each; it adds the words by which it goes on.
+    """
+    best: list[tuple[int, int, int]] = []
+    for start, end, t_start, t_end, length in matches:
+        chain = (length, start, end)
+        for i in range(len(best) - 1, -1, -1):
+            _, e, _, t, _ = matches[i]
+            if start - e > max_gap:
+                break
+            if e < end and t < t_end and t_start - t <= max_gap:
+                covered = best[i][0] + min(t_end - t, end - e, length)
+                if covered > chain[0]:
+                    chain = (covered, best[i][1], end)
+        best.append(chain)
+    return best
+
+
 _SCHEMA = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
            ("last_word", pa.int64()), ("base_labels", pa.list_(pa.string())), ("labels", pa.list_(pa.string())),
            ("score", pa.float64()),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import cut, small_batches, written
+from tagweave.llm.common import cut, small_batches, whole_rows, written
 
 KINDS = ["email", "ip", "card", "phone"]
 ROUNDS = 3
@@ -211,8 +211,7 @@ def listed(array: Column) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every strict and found span of ``text`` replaced by ``[KIND]``; all columns stay."""
     extra = written(bootstrap(scan(docs)).groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("kind", "start", "end")).alias("__found")).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__found"), "pii-found")
+        F.collect_list(F.struct("kind", "start", "end")).alias("found")), "pii-found")
 
     @F.pandas_udf("string")
     def masked(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -233,6 +232,7 @@ def redact(docs: DataFrame) -> DataFrame:
             out.append("".join([*parts, text[at:]]))
         return pd.Series(out, dtype=object)
 
-    same = docs["doc_id"].eqNullSafe(extra["__id"]) & (F.xxhash64(docs["text"]) == extra["__hash"])
-    joined = docs.join(extra, same, "left")
-    return joined.withColumn("text", masked(joined["text"], joined["__found"])).select(*docs.columns)
+    rows = whole_rows(docs)
+    same = rows["row_id"].eqNullSafe(extra["doc_id"]) & (rows["row_hash"] == extra["text_hash"])
+    return rows.join(extra, same, "left").select(
+        F.col("row").withField("text", masked(F.col("row.text"), F.col("found"))).alias("row")).select("row.*")

@@ -162,6 +162,15 @@ def apply_policy(rows: DataFrame, p: Policy, out: str = "kept") -> DataFrame:
     return rows.withColumn(out, accepted(p, F.col("fail_bits")))
 
 
+def rescue_bits(p: Policy, bits: Column) -> Column:
+    """Of a rejected row, the rules any one of which would keep it if it were dropped from the policy; else 0."""
+    total = F.lit(0).cast("long")
+    for r in (*p.hard, *p.soft):
+        saved = F.when(~accepted(p, bits) & accepted(p, bits, BIT[r]), F.lit(BIT[r])).otherwise(F.lit(0))
+        total = total.bitwiseOR(saved.cast("long"))
+    return total
+
+
 def keep(docs: DataFrame, p: Policy) -> DataFrame:
     """The rows of ``docs`` that pass the policy, with all their columns."""
     wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), measure(F.col("text")).alias("__m"))

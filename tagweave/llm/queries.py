@@ -26,7 +26,7 @@ from tagweave.llm import (
     tokenfile,
     toxicity,
 )
-from tagweave.llm.common import documents, workers_can_import
+from tagweave.llm.common import documents, workers_can_import, written
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 FILE_TOKENIZER = "byte_bpe_50k.json"
@@ -45,10 +45,14 @@ def _spans_of(array: str, kind: int) -> Column:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality.apply_policy(quality.ledger(documents(spark, sf_dir)), quality.policy("production"))
+    newest, first = quality.policy("production"), quality.policy("production", 1)
+    # Every rule is evaluated once; the policies and the ablation read the stored bits.
+    rows = written(quality.ledger(documents(spark, sf_dir)), "quality-ledger")
+    rows = quality.apply_policy(quality.apply_policy(rows, newest), first, "kept_version_1")
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       base.alias("base_failed"), "kept", "fail_bits")
+                       base.alias("base_failed"), "kept", "fail_bits", "kept_version_1",
+                       quality.rescue_bits(newest, F.col("fail_bits")).alias("rescue_bits"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +194,11 @@ b AS (
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 + r1 > 0 AS base_failed,
   r0 + r1 + r2 = 0 AND r3 + r4 + r5 + r6 + r7 <= 1 AS kept,
-  r0 + 2 * r1 + 4 * r2 + 8 * r3 + 16 * r4 + 32 * r5 + 64 * r6 + 128 * r7 AS fail_bits
+  r0 + 2 * r1 + 4 * r2 + 8 * r3 + 16 * r4 + 32 * r5 + 64 * r6 + 128 * r7 AS fail_bits,
+  r0 + r1 + r2 = 0 AS kept_version_1,
+  CASE WHEN r0 + r1 + r2 = 1 AND r3 + r4 + r5 + r6 + r7 <= 1 THEN r0 + 2 * r1 + 4 * r2
+    WHEN r0 + r1 + r2 = 0 AND r3 + r4 + r5 + r6 + r7 = 2 THEN 8 * r3 + 16 * r4 + 32 * r5 + 64 * r6 + 128 * r7
+    ELSE 0 END AS rescue_bits
 FROM b
 """
 

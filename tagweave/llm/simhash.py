@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import written
+from tagweave.llm.common import whole_rows, written
 from tagweave.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -263,17 +263,17 @@ def one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: i
     # Few rows fall out, so the join carries the losers, not the survivors.
     same = (members["doc_id"].eqNullSafe(first["doc_id"])) & (members["text_hash"] == first["text_hash"])
     losers = written(members.join(first, (members["root"] == first["root"]) & same, "left_anti").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "simhash-losers")
+        "doc_id", "text_hash").distinct(), "simhash-losers")
     twins = written(members.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "simhash-twins")
+        "doc_id", "text_hash"), "simhash-twins")
+    rows = whole_rows(docs)
 
     def here(other: DataFrame):
-        return docs["doc_id"].eqNullSafe(other["__id"]) & (F.xxhash64(docs["text"]) == other["__hash"])
-
-    kept = docs.join(losers, here(losers), "left_anti")
-    if twins.isEmpty():
-        return kept
-    # Rows that repeat an id and its text: the group keeps one of them.
-    repeated = kept.join(twins, here(twins), "left_semi").withColumn("__hash", F.xxhash64("text"))
-    return kept.join(twins, here(twins), "left_anti").unionByName(
-        repeated.dropDuplicates(["doc_id", "__hash"]).drop("__hash"))
+        return rows["row_id"].eqNullSafe(other["doc_id"]) & (rows["row_hash"] == other["text_hash"])
+
+    kept = rows.join(losers, here(losers), "left_anti")
+    if not twins.isEmpty():
+        # Rows that repeat an id and its text: the group keeps one of them.
+        repeated = kept.join(twins, here(twins), "left_semi").dropDuplicates(["row_id", "row_hash"])
+        kept = kept.join(twins, here(twins), "left_anti").unionByName(repeated)
+    return kept.select("row.*")

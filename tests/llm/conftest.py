@@ -12,7 +12,8 @@ TEXTS = [
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use for their own columns.
 EXTRA = ["ids", "score", "kept", "fail_bits", "n_words", "start", "spans", "fp", "root", "component_id", "role",
-         "word", "words", "kind", "bucket", "chunk", "text_hash", "held_out"]
+         "word", "words", "kind", "bucket", "chunk", "text_hash", "held_out", "__found", "__hash", "__id", "__doc", "__m",
+         "row", "row_id", "row_hash", "found"]
 
 
 @pytest.fixture(autouse=True)

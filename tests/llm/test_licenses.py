@@ -73,3 +73,52 @@ def test_cut_and_edited_notice(spark):
     row = lic.scan_text(s, "some text before " + edited + " after")
     assert row[5] == ["mit"] and row[1] == 0 and 0.75 <= row[6] < 1
     assert lic.scan_text(s, "permission to use the software for a copy of the files")[5] == []
+
+
+def test_stray_run_does_not_break_a_chain():
+    s = lic.Scanner({}, [("t", "a b c d e f g h i j k l m n o p")])
+    for text in ("a b c d e f g h b c d i j k l m n o p", "b c d a b c d e f g h n o p i j k l m n o p"):
+        (found,) = s.scan(text)[2]
+        assert found[3] == 16 and text.split()[found[1]:found[2]][-1] == "p" and text.split()[found[1]] == "a"
+
+
+def every_chain(matches, gap):
+    """Most words that any chain of the matches covers, by trying all chains."""
+    def go(last, covered):
+        yield covered
+        for j in range(last + 1, len(matches)):
+            s, e, a, b, n = matches[j]
+            _, pe, _, pb, _ = matches[last]
+            if e > pe and b > pb and s - pe <= gap and a - pb <= gap:
+                yield from go(j, covered + min(b - pb, e - pe, n))
+
+    return max((c for i, m in enumerate(matches) for c in go(i, m[4])), default=0)
+
+
+def test_best_chains_equal_exhaustive_search():
+    rnd = random.Random(8)
+    seen = 0
+    for _ in range(250):
+        words = [rnd.choice("abcdefgh") for _ in range(rnd.randint(6, 14))]
+        pieces = []
+        for _ in range(rnd.randint(1, 4)):  # cut, repeated, reordered and stray stretches of the template
+            a = rnd.randrange(len(words) - 2)
+            pieces += words[a:a + rnd.randint(2, 7)] + [rnd.choice("abz") for _ in range(rnd.randint(0, 3))]
+        s = lic.Scanner({}, [("t", " ".join(words))])
+        captured = []
+        s._chains = lambda runs: captured.append(runs) or []
+        s.scan(" ".join(pieces))
+        matches = [(end - n, end, t - n, t, n) for end, n, state in captured[0] for _, t in s.sam.places[state] if t >= n]
+        best = max((c for c, *_ in lic.best_chains(matches)), default=0)
+        assert best == every_chain(matches, lic.MAX_GAP)
+        seen += best > 5
+        spans = lic.Scanner({}, [("t", " ".join(words))]).scan(" ".join(pieces))[2]
+        assert bool(spans) == (best >= lic.MIN_COVER * len(words))
+        assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
+    assert seen > 50
+
+
+def test_whole_license_texts(spark):
+    mit = next(t for label, t in lic.TEMPLATES if label == "mit" and len(t) > 800)
+    row = lic.scan_text(lic.Scanner(), "Copyright (c) 2020 somebody\n" + mit.replace("AUTHORS OR COPYRIGHT", "AUTHORS, OWNERS OR COPYRIGHT"))
+    assert "mit" in row[5] and any(s["end"] - s["start"] > 150 for s in row[7])

@@ -58,3 +58,17 @@ def test_edges(spark, edge_docs, empty_docs):
     good = Counter(r["doc_id"] for r in edge_docs.collect()
                    if brute(r["text"])[0] >= 50 and 2 * brute(r["text"])[4] <= brute(r["text"])[0])
     assert Counter(r["doc_id"] for r in kept.collect()) == good
+
+
+def test_rescue_bits_name_the_rules_whose_removal_keeps_a_row(spark):
+    p = q.policy("production")
+    rows = spark.range(1 << len(q.RULES)).withColumnRenamed("id", "fail_bits")
+    kept = {r["fail_bits"]: r["kept"] for r in q.apply_policy(rows, p).collect()}
+    for r in rows.select("fail_bits", q.rescue_bits(p, rows["fail_bits"]).alias("rescue")).collect():
+        want = 0
+        if not kept[r["fail_bits"]]:
+            for name in (*p.hard, *p.soft):
+                bits = r["fail_bits"] & ~q.BIT[name]
+                # Dropping a rule is passing it, for a policy that counts failures.
+                want |= q.BIT[name] if r["fail_bits"] & q.BIT[name] and kept[bits] else 0
+        assert r["rescue"] == want
