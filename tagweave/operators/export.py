@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tagweave.sources.jdbc import EXPORT_BATCH_SIZE, EXPORT_ISOLATION, EXPORT_PARTITIONS, export_jdbc
 
 
-EXPORT_TEXT_TYPE = "VARCHAR(32672)"
+EXPORT_TEXT_TYPE = "TEXT"  # no length: a cell may hold all values of a user
 
 
 def serving_frame(wide: DataFrame) -> DataFrame:
@@ -49,8 +49,7 @@ def export_wide_jdbc(wide: DataFrame, url: str, table: str, table_options: str |
                      text_type: str = EXPORT_TEXT_TYPE) -> None:
     """Replace ``table`` with the wide table: ``uid BIGINT`` + one ``text_type`` column per tag.
 
-    The default is the longest VARCHAR of common databases; a serving store
-    with an unbounded text type should name it.
+    A database without a type of that name needs its own unbounded text type named.
     """
     frame = serving_frame(wide)
     tag_cols = [c for c in frame.columns if c != "uid"]

@@ -2,6 +2,7 @@
 
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py tag    <task_id> <yyyy-MM-dd> --catalog-dir DIR | --catalog-jdbc URL
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py tags   <yyyy-MM-dd> ...      (all active tags, one pass a source)
+    spark-submit --py-files tagweave.zip tagweave/plans/cli.py backfill <task_id> <first day> <last day> ...
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py merge  <yyyy-MM-dd> ...
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py bitmap <yyyy-MM-dd> ...
     spark-submit --py-files tagweave.zip tagweave/plans/cli.py export <yyyy-MM-dd> --serving-jdbc URL ...
@@ -38,8 +39,8 @@ from tagweave.functions.values import wide_table_name
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tagweave")
-    p.add_argument("job", choices=["tag", "tags", "merge", "bitmap", "export", "train", "predict"])
-    p.add_argument("args", nargs="+", help="tag: <task_id> <date>; tags, merge, bitmap, export: <date>; train, predict: <model_dir>")
+    p.add_argument("job", choices=["tag", "tags", "backfill", "merge", "bitmap", "export", "train", "predict"])
+    p.add_argument("args", nargs="+", help="tag: <task_id> <date>; backfill: <task_id> <first> <last>; tags, merge, bitmap, export: <date>; train, predict: <model_dir>")
     src = p.add_mutually_exclusive_group()
     src.add_argument("--catalog-dir")
     src.add_argument("--catalog-jdbc")
@@ -119,9 +120,9 @@ def _model_job(spark: SparkSession, ns) -> None:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     ns = _parser().parse_args(argv)
-    wanted = 2 if ns.job == "tag" else 1
-    if len(ns.args) != wanted:
-        raise SystemExit(f"{ns.job} takes {'<task_id> <date>' if wanted == 2 else 'one argument'}")
+    names = {"tag": "<task_id> <date>", "backfill": "<task_id> <first> <last>"}.get(ns.job, "<argument>")
+    if len(ns.args) != len(names.split()):
+        raise SystemExit(f"{ns.job} takes {names}")
     spark = spark or SparkSession.builder.appName(f"tagweave-{ns.job}").getOrCreate()
     if ns.job in ("train", "predict"):
         _model_job(spark, ns)
@@ -139,6 +140,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     dt = ns.args[-1]
     if ns.job == "tag":
         jobs.tag_job(spark, catalog, int(ns.args[0]), dt, store)
+    elif ns.job == "backfill":
+        jobs.backfill_job(spark, catalog, int(ns.args[0]), jobs.days_between(*ns.args[1:]), store)
     elif ns.job == "tags":
         jobs.tags_job(spark, catalog, dt, store)
     elif ns.job == "merge":

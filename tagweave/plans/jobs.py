@@ -10,6 +10,7 @@ from ``spark-submit``.
 from __future__ import annotations
 
 import uuid
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from tagweave.functions.values import check_date
 from tagweave.operators import bitmap as bitmap_ops
 from tagweave.operators.merge import HEAVY_SAMPLE, HEAVY_SHARE, heavy_users, merge_long, merge_tags, split_wide, union_long
 from tagweave.operators.shared import shared_passes
-from tagweave.operators.tag import TagResult, TaskPlan, build_tag, compute_tag, plan_active
+from tagweave.operators.tag import TagResult, TaskPlan, build_tag, compute_tag, plan_active, plan_tasks
 from tagweave.sources.catalog import Catalog, TagDef, active_tag_list
 from tagweave.sources.tables import TagStore, delete_folder
 
@@ -59,6 +60,30 @@ def tags_job(spark: SparkSession, catalog: Catalog, dt: str, store: TagStore) ->
     return [p.tag for p in plans]
 
 
+def days_between(first: str, last: str) -> list[str]:
+    """The days from ``first`` to ``last``, both included."""
+    a, b = (date.fromisoformat(check_date(d)) for d in (first, last))
+    if a > b:
+        raise ValueError(f"{first} is after {last}")
+    return [(a + timedelta(days=i)).isoformat() for i in range((b - a).days + 1)]
+
+
+def backfill_job(spark: SparkSession, catalog: Catalog, task_id: int, days: list[str], store: TagStore) -> TagDef:
+    """Compute one tag for many days in one job and replace exactly those days; days without rows are cleared.
+
+    The catalog is read and the tag planned once; the days' queries are the
+    branches of one plan, so their scans and shuffles run side by side.
+    """
+    days = [check_date(d) for d in dict.fromkeys(days)]
+    if not days:
+        raise ValueError("no days to fill")
+    plan = plan_tasks(catalog, [task_id])[task_id]
+    parts = [build_tag(spark, catalog, plan, d).values.withColumn("dt", F.lit(d)) for d in days]
+    tag = plan.tag
+    store.write_tag_days(tag.tag_code, tag.tag_value_type, reduce(DataFrame.unionByName, parts), days, tag.tag_name)
+    return tag
+
+
 def shared_long(spark: SparkSession, catalog: Catalog, plans: list[TaskPlan], dt: str) -> DataFrame:
     """``(uid, tag_value, tag_name)`` of all tags, each source read once; large rule sets are joined one by one."""
     joined = [p for p in plans if p.rule_count and p.rules is None]

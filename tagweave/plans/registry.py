@@ -217,6 +217,22 @@ def tag_write_partition(spark, sf):
     return store.read_tag_table("TAG_ORDER_COUNT", "1")
 
 
+BACKFILL_DAYS = ("1990-01-01", "1994-03-01", "1994-03-02", "1994-03-03", "1997-07-01")
+
+
+@query
+def tag_backfill(spark, sf):
+    """Five days of a tag replaced by one job; one of them has no orders, a sixth day stays as it was."""
+    catalog = _setup(spark, sf)
+    store = TagStore(spark, work_dir(spark, "backfill"))
+    old = spark.createDataFrame([("0", 0)], "uid string, tag_value bigint")
+    for day in ("1990-01-01", "1994-03-02"):
+        store.write_tag_day("TAG_ORDER_COUNT", "1", old, day)
+    jobs.tag_job(spark, catalog, 2, DT, store)
+    jobs.backfill_job(spark, catalog, 2, list(BACKFILL_DAYS), store)
+    return store.read_tag_table("TAG_ORDER_COUNT", "1")
+
+
 @query
 def date_token(spark, sf):
     orders = read_table(spark, sf, "orders")

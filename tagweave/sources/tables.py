@@ -7,11 +7,16 @@ Tables are Parquet folders under one root (see :mod:`tagweave.session`).
 * bitmap tables ``<root>/user_tag_value_<type>/dt=<yyyyMMdd>/``
 
 A day is replaced in two steps: the result is written to a new hidden folder
-beside the table's days, and only when that job has succeeded does it take the
-place of the ``dt=`` folder (two renames in the file system).  A failed rerun
-leaves the old day as it was; other days are never touched and an empty result
-still clears the day it targets.  Reads of one day list that day's folder only
-and pass the schema, so ``dt`` stays a string.
+beside the table's days, and only when that job has succeeded does it become the
+day.  In a plain store it takes the place of the ``dt=`` folder (two renames in
+the file system); in a store with catalog tables the day's partition is pointed at
+it, one metastore step, so a reader sees the old day or the new one and never
+none.  A failed rerun leaves the old day as it was; other days are never touched
+and an empty result still clears the day it targets.  Reads of one day list that
+day's folder only and pass the schema, so ``dt`` stays a string.
+
+Several days are replaced by one job (:meth:`TagStore.write_tag_days`), with
+dynamic partition overwrite in a plain store.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import re
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,9 +139,10 @@ class TagStore:
 
     With ``catalog_tables=True`` every tag table is also a table of the
     session catalog (``CREATE TABLE IF NOT EXISTS ... USING parquet
-    PARTITIONED BY (dt) LOCATION ...``, in ``database`` if given) whose
-    partitions are recovered after each write, so SQL can read it by name
-    and a metastore-backed cluster keeps it across sessions.
+    PARTITIONED BY (dt) LOCATION ...``, in ``database`` if given), so SQL can
+    read it by name and a metastore-backed cluster keeps it across sessions.
+    Its days then are partitions with folders of their own; a day that is
+    replaced gets a new folder, and the old one is removed after the swap.
     """
 
     def __init__(self, spark: SparkSession, root: str, catalog_tables: bool = False,
@@ -155,13 +161,69 @@ class TagStore:
         target, dt = spark_type(value_type), check_date(dt)
         out = values.select(F.col("uid").cast("string").alias("uid"),
                             F.col("tag_value").cast(target).alias("tag_value"))
-        replace_folder(out, f"{self.tag_path(tag_code)}/dt={dt}")
         if self.catalog_tables:
-            self._add_day(self.create_tag_table(tag_code, value_type, comment), dt)
-
-    def _add_day(self, name: str, day: str) -> None:
-        self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (dt = '{day}')")
+            self._publish_day(self.create_tag_table(tag_code, value_type, comment), out, self.tag_path(tag_code), dt)
+        else:
+            replace_folder(out, f"{self.tag_path(tag_code)}/dt={dt}")
+
+    def write_tag_days(self, tag_code: str, value_type, values: DataFrame, days: list[str], comment: str | None = None) -> None:
+        """Replace ``days`` of a tag table with ``values(uid, tag_value, dt)`` in one job; days without rows are cleared."""
+        target, days = spark_type(value_type), [check_date(d) for d in dict.fromkeys(days)]
+        known = F.when(F.col("dt").isin(days), F.col("dt")).otherwise(F.raise_error(F.concat(F.lit("not a day to replace: "), "dt")))
+        rows = values.select(F.col("uid").cast("string").alias("uid"), F.col("tag_value").cast(target).alias("tag_value"),
+                             known.alias("dt"))
+        path, found = self.tag_path(tag_code), Observation()
+        rows = rows.observe(found, *[F.count_if(F.col("dt") == d).alias(d) for d in days])
+        writer = rows.write.partitionBy("dt")
+        if self.catalog_tables:
+            folder = f"{path}/_days-{uuid.uuid4().hex[:12]}"
+            writer.parquet(folder)
+            name = self.create_tag_table(tag_code, value_type, comment)
+            for d in days:
+                if found.get.get(d):
+                    self._swap_in(name, d, f"{folder}/dt={d}")
+        else:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        empty = self.spark.createDataFrame([], tag_table_schema(value_type)).drop("dt")
+        for d in days:
+            if not found.get.get(d):
+                self.write_tag_day(tag_code, value_type, empty, d, comment)
+
+    def _publish_day(self, name: str, rows: DataFrame, path: str, day: str, compression: str | None = None) -> None:
+        """Write ``rows`` to a new folder of a catalog table and make it the day's partition."""
+        folder = f"{path}/_day-{day}-{uuid.uuid4().hex[:12]}"
+        try:
+            (rows.write.option("compression", compression) if compression else rows.write).parquet(folder)
+        except Exception:
+            delete_folder(self.spark, folder)
+            raise
+        self._swap_in(name, day, folder)
+
+    def _swap_in(self, name: str, day: str, folder: str) -> None:
+        """Point a day's partition at ``folder`` (one step of the metastore), then remove what it was."""
+        old = self._day_folder(name, day)
+        if old is None:
+            self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (dt = '{day}') LOCATION '{_literal(folder)}'")
+        else:
+            self.spark.sql(f"ALTER TABLE {name} PARTITION (dt = '{day}') SET LOCATION '{_literal(folder)}'")
         self.spark.sql(f"REFRESH TABLE {name}")
+        if old is not None:
+            delete_folder(self.spark, old)
+
+    def _day_folder(self, name: str, day: str) -> str | None:
+        if not self.spark.sql(f"SHOW PARTITIONS {name} PARTITION (dt = '{day}')").take(1):
+            return None
+        said = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (dt = '{day}')").collect()
+        return next(r["data_type"] for r in said if r["col_name"] == "Location")
+
+    def _read(self, table: str, path: str, schema: T.StructType, day: str | None = None) -> DataFrame:
+        if not self.catalog_tables:
+            return _read_partitioned(self.spark, path, schema, day)
+        name = self._qualified(table)
+        if not self.spark.catalog.tableExists(name.replace("`", "")):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.table(name).select(*schema.fieldNames())
+        return rows if day is None else rows.filter(F.col("dt") == day)
 
     def _qualified(self, table: str) -> str:
         # Always with its database: a temp view of the same name must not stand in for the table.
@@ -180,11 +242,11 @@ class TagStore:
         return name
 
     def read_tag_table(self, tag_code: str, value_type) -> DataFrame:
-        return _read_partitioned(self.spark, self.tag_path(tag_code), tag_table_schema(value_type))
+        return self._read(tag_code.lower(), self.tag_path(tag_code), tag_table_schema(value_type))
 
     def read_tag_day(self, tag_code: str, value_type, dt: str) -> DataFrame:
-        return _read_partitioned(self.spark, self.tag_path(tag_code), tag_table_schema(value_type),
-                                 check_date(dt)).select("uid", "tag_value")
+        return self._read(tag_code.lower(), self.tag_path(tag_code), tag_table_schema(value_type),
+                          check_date(dt)).select("uid", "tag_value")
 
     # wide tables ----------------------------------------------------------
     def wide_path(self, dt: str) -> str:
@@ -215,19 +277,20 @@ class TagStore:
         users = F.col("users") if "users" in bitmaps.columns else users_in("us")
         out = bitmaps.select("tag_code", "tag_value", "bucket", "us", users.cast("long").alias("users"))
         day = date_token(check_date(dt))
-        replace_folder(out, f"{self.bitmap_path(value_type)}/dt={day}", compression="zstd")
-        if self.catalog_tables:
-            name = self._qualified(bitmap_table_name(value_type))
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (tag_code STRING, tag_value STRING, "
-                           f"bucket BIGINT, us BINARY, users BIGINT, dt STRING) USING parquet "
-                           f"PARTITIONED BY (dt) LOCATION '{_literal(self.bitmap_path(value_type))}'")
-            self._add_day(name, day)
+        if not self.catalog_tables:
+            replace_folder(out, f"{self.bitmap_path(value_type)}/dt={day}", compression="zstd")
+            return
+        name = self._qualified(bitmap_table_name(value_type))
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (tag_code STRING, tag_value STRING, "
+                       f"bucket BIGINT, us BINARY, users BIGINT, dt STRING) USING parquet "
+                       f"PARTITIONED BY (dt) LOCATION '{_literal(self.bitmap_path(value_type))}'")
+        self._publish_day(name, out, self.bitmap_path(value_type), day, compression="zstd")
 
     def read_bitmap_table(self, value_type) -> DataFrame:
-        return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA)
+        return self._read(bitmap_table_name(value_type), self.bitmap_path(value_type), BITMAP_SCHEMA)
 
     def read_bitmap_day(self, value_type, dt: str) -> DataFrame:
-        return _read_partitioned(self.spark, self.bitmap_path(value_type), BITMAP_SCHEMA, date_token(check_date(dt)))
+        return self._read(bitmap_table_name(value_type), self.bitmap_path(value_type), BITMAP_SCHEMA, date_token(check_date(dt)))
 
     def read_bitmap_days(self, value_type, first: str, last: str) -> DataFrame:
         """Bitmaps of the days ``first`` to ``last``; other days are pruned by their folder."""

@@ -5,6 +5,9 @@ pick the codec from the file extension.  A backslash, tab, line feed or
 carriage return inside a value is written as ``\\\\``, ``\\t``, ``\\n`` or
 ``\\r``, so every text (blanks at its ends, line breaks, a literal ``\\N``)
 survives a round trip, and a line is always one row.
+
+A gzip file is read by one task, so a write closes a file at ``MAX_ROWS`` rows;
+bzip2 files are split by the reader at any size.
 """
 
 from __future__ import annotations
@@ -34,9 +37,14 @@ def _unescaped(col: Column) -> Column:
     return F.array_join(F.transform(F.split(col, r"\\\\", -1), part), "\\")
 
 
-def write_tsv(df: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite") -> None:
+MAX_ROWS = 2_000_000  # rows of one file; about 100 MB of a tag table as text
+
+
+def write_tsv(df: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite", max_rows: int = MAX_ROWS) -> None:
+    """Write ``df`` as text; no file has more than ``max_rows`` rows."""
     cells = [F.coalesce(_escaped(F.col(f"`{c}`").cast("string")), F.lit(NULL)) for c in df.columns]
-    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode(mode).option("compression", compression).text(path)
+    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode(mode).option(
+        "compression", compression).option("maxRecordsPerFile", max_rows).text(path)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

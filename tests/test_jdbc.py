@@ -57,7 +57,7 @@ def test_export_wide_column_types(spark, monkeypatch):
     monkeypatch.setattr(export, "export_jdbc", lambda frame, url, table, **kw: seen.update(frame=frame, **kw))
     wide = spark.createDataFrame([("12", "a", "")], "uid string, tag_x string, tag_y string")
     export.export_wide_jdbc(wide, "jdbc:x://h/db", "up_tag_merge_20000101")
-    assert seen["column_types"] == "uid BIGINT, tag_x VARCHAR(32672), tag_y VARCHAR(32672)"
+    assert seen["column_types"] == "uid BIGINT, tag_x TEXT, tag_y TEXT"
     assert seen["frame"].schema["uid"].dataType.simpleString() == "bigint"
     assert (seen["batch_size"], seen["isolation"], seen["num_partitions"]) == (100, "NONE", 4)
 

@@ -94,3 +94,69 @@ def test_text_round_trip_keeps_every_value(spark, tmp_root):
     write_tsv(spark.createDataFrame([("x",)], "v string"), f"{tmp_root}/bad", "gzip")
     with pytest.raises(Exception, match="cells"):
         read_tsv(spark, f"{tmp_root}/bad", df.schema).collect()
+
+
+def test_a_reader_between_write_and_swap_sees_the_old_day(spark, tmp_root, monkeypatch):
+    store = TagStore(spark, tmp_root, catalog_tables=True)
+    seen, swap = [], TagStore._swap_in
+
+    def watched(self, name, day, folder):
+        seen.append(spark.table(name).where(F.col("dt") == day).count())  # the new folder is complete already
+        swap(self, name, day, folder)
+
+    monkeypatch.setattr(TagStore, "_swap_in", watched)
+    try:
+        store.write_tag_day("T_SWAP", "1", _values(spark, 5), DT)
+        store.write_tag_day("T_SWAP", "1", _values(spark, 3), DT)
+        assert seen == [0, 5] and spark.table("t_swap").count() == 3
+        with pytest.raises(Exception, match="broken source"):
+            store.write_tag_day("T_SWAP", "1", _failing(spark), DT)
+        assert store.read_tag_day("T_SWAP", "1", DT).count() == 3 and len(seen) == 2
+        kept = [f.name for f in __import__("pathlib").Path(f"{tmp_root}/t_swap").iterdir() if f.is_dir()]
+        assert len(kept) == 1  # replaced and failed folders are gone
+        bits = bitmap_ops.build_bitmaps(_values(spark, 4).selectExpr("uid", "'t' tag_code", "'v' tag_value"))
+        for _ in range(2):
+            store.write_bitmap_day("1", bits, DT)
+        assert store.read_bitmap_day("1", DT).count() == bits.count()
+        assert store.read_bitmap_days("1", "1999-12-31", DT).count() == bits.count()
+    finally:
+        spark.sql("drop table if exists t_swap")
+        spark.sql("drop table if exists user_tag_value_long")
+
+
+@pytest.mark.parametrize("catalog_tables", [False, True])
+def test_many_days_in_one_job(spark, tmp_root, catalog_tables):
+    store = TagStore(spark, tmp_root, catalog_tables=catalog_tables)
+    days = jobs.days_between("1999-12-30", "2000-01-02")
+    assert days == ["1999-12-30", "1999-12-31", DT, "2000-01-02"]
+    try:
+        for d in ("1999-12-29", "1999-12-31", DT):
+            store.write_tag_day("T_DAYS", "1", _values(spark, 9), d)
+        rows = spark.createDataFrame([("1", 1, DT), ("2", 2, DT), ("1", 3, "2000-01-02")], "uid string, tag_value bigint, dt string")
+        store.write_tag_days("T_DAYS", "1", rows, days)
+        got = {r["dt"]: r["count"] for r in store.read_tag_table("T_DAYS", "1").groupBy("dt").count().collect()}
+        assert got == {"1999-12-29": 9, DT: 2, "2000-01-02": 1}  # days without rows are cleared, others stay
+        store.write_tag_days("T_DAYS", "1", rows.limit(0), days)
+        assert {r["dt"] for r in store.read_tag_table("T_DAYS", "1").collect()} == {"1999-12-29"}
+        with pytest.raises(Exception, match="not a day to replace"):
+            store.write_tag_days("T_DAYS", "1", rows, ["1999-12-29", DT])
+        assert store.read_tag_day("T_DAYS", "1", "1999-12-29").count() == 9
+    finally:
+        spark.sql("drop table if exists t_days")
+    with pytest.raises(ValueError):
+        jobs.days_between(DT, "1999-12-31")
+
+
+def test_one_large_text_table_is_read_by_many_tasks(spark, tmp_root):
+    df = spark.range(50_000).selectExpr("cast(id as string) uid", "sha2(cast(id as string), 256) tag_value").coalesce(1)
+    write_tsv(df, f"{tmp_root}/gzip", "gzip", max_rows=5000)
+    write_tsv(df, f"{tmp_root}/bzip2", "bzip2")
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        for kind, files in (("gzip", 10), ("bzip2", 1)):
+            back = read_tsv(spark, f"{tmp_root}/{kind}", df.schema)
+            assert len(back.inputFiles()) == files and back.rdd.getNumPartitions() > 1
+            assert back.exceptAll(df).count() == 0 and back.count() == 50_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
