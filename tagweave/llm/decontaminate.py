@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,81 +46,85 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def window_hashes(ids: np.ndarray, length: int) -> np.ndarray:
-    """Karp-Rabin hashes of all windows of ``length`` ids (modulo 2**64)."""
+    """Karp-Rabin hashes of all windows of ``length`` ids (modulo 2**64).
+
+    With s the running sum of ``ids[i] / R**i``, a window's hash is the difference
+    of two sums, shifted to the window's last place.
+    """
     n = len(ids) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        if length <= 8:
-            for k in range(length):
-                h = h * _R + ids[k:k + n]
-            return h
-        value = np.uint64(0)
-        lead = pow(int(_R), length, 1 << 64)
-        out, mask, r = [], (1 << 64) - 1, int(_R)
-        seq = ids.tolist()
-        value = 0
-        for i, x in enumerate(seq):  # the running form: drop the first id, take in the next
-            value = (value * r + x) & mask
-            if i >= length:
-                value = (value - seq[i - length] * lead) & mask
-            if i >= length - 1:
-                out.append(value)
-    return np.array(out, dtype=np.uint64)
+        back = np.full(len(ids), pow(int(_R), -1, 1 << 64), dtype=np.uint64)
+        forth = np.full(len(ids), _R, dtype=np.uint64)
+        back[0] = forth[0] = 1
+        back, forth = np.cumprod(back), np.cumprod(forth)
+        sums = np.r_[np.zeros(1, np.uint64), np.cumsum(ids.astype(np.uint64) * back)]
+        return (sums[length:] - sums[:n]) * forth[length - 1:]
+
+
+def _match_lengths(p: np.ndarray, t: np.ndarray, used_p, used_t, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many free words from pattern places ``i`` and text places ``j`` on are equal."""
+    size, open_ = np.zeros(len(i), dtype=np.int64), np.arange(len(i))
+    while len(open_):
+        a, b = i[open_] + size[open_], j[open_] + size[open_]
+        inside = (a < len(p)) & (b < len(t))
+        open_, a, b = open_[inside], a[inside], b[inside]
+        open_ = open_[(p[a] == t[b]) & ~used_p[a] & ~used_t[b]]
+        size[open_] += 1
+    return size
 
 
 def greedy_tiles(pattern: list[int], text: list[int], least: int = LEAST) -> list[tuple[int, int, int]]:
     """Tiles (pattern start, text start, length): longest first, none overlapping in either sequence."""
-    used_p, used_t = [False] * len(pattern), [False] * len(text)
+    p, t = np.array(pattern, dtype=np.int64), np.array(text, dtype=np.int64)
+    used_p, used_t = np.zeros(len(p), dtype=bool), np.zeros(len(t), dtype=bool)
     tiles: list[tuple[int, int, int]] = []
-    p_ids, t_ids = np.array(pattern, dtype=np.uint64), np.array(text, dtype=np.uint64)
-    search = max(least, min(len(pattern), len(text)) // 2)
-    while True:
-        where = defaultdict(list)
-        for j, h in enumerate(window_hashes(t_ids, search).tolist()):
-            where[h].append(j)
-        found, longest = defaultdict(list), 0
-        for i, h in enumerate(window_hashes(p_ids, search).tolist()):
-            for j in where.get(h, ()):
+    search = max(least, min(len(p), len(t)) // 2)
+    while np.count_nonzero(~used_p) >= least:
+        h = window_hashes(t, search)
+        order = np.argsort(h, kind="stable")
+        wanted = window_hashes(p, search)
+        low, high = (np.searchsorted(h[order], wanted, side=s) for s in ("left", "right"))
+        starts_i, starts_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(high > low).tolist():
+            j = order[low[i]:high[i]]
+            if i and not used_p[i - 1]:
                 # Only the start of a run: a run that began one word earlier is already in.
-                if i and j and not used_p[i - 1] and not used_t[j - 1] and pattern[i - 1] == text[j - 1]:
-                    continue
-                k = 0
-                while (i + k < len(pattern) and j + k < len(text) and pattern[i + k] == text[j + k]
-                       and not used_p[i + k] and not used_t[j + k]):
-                    k += 1
-                if k >= search:
-                    found[k].append((i, j))
-                    longest = max(longest, k)
+                j = j[(j == 0) | used_t[j - 1] | (t[j - 1] != p[i - 1])]
+            starts_i.append(np.full(len(j), i))
+            starts_j.append(j)
+        i, j = np.concatenate(starts_i), np.concatenate(starts_j)
+        size = _match_lengths(p, t, used_p, used_t, i, j)
+        longest = int(size.max()) if len(size) else 0
         if longest > 2 * search:
             search = longest
             continue
+        found = defaultdict(list)
+        for a, b, n in zip(i.tolist(), j.tolist(), size.tolist()):
+            if n >= search:
+                found[n].append((a, b))
         length = longest
         while length >= search:
-            for i, j in sorted(found.pop(length, ())):
+            for a, b in sorted(found.pop(length, ())):
                 # Parts may have been marked since: what is left free may still be a match.
-                start = None
-                free = [not used_p[i + k] and not used_t[j + k] for k in range(length)]
-                if all(free):
-                    tiles.append((i, j, length))
-                    for k in range(length):
-                        used_p[i + k] = used_t[j + k] = True
-                    continue
-                for k, ok in enumerate([*free, False]):
-                    if ok and start is None:
-                        start = k
-                    elif not ok and start is not None:
-                        if k - start >= search:
-                            found[k - start].append((i + start, j + start))
-                        start = None
+                free = ~(used_p[a:a + length] | used_t[b:b + length])
+                if free.all():
+                    tiles.append((a, b, length))
+                    used_p[a:a + length] = used_t[b:b + length] = True
+                elif free.any():
+                    edges = np.flatnonzero(np.diff(np.r_[0, free.astype(np.int8), 0])).tolist()
+                    for x, y in zip(edges[::2], edges[1::2]):
+                        if y - x >= search:
+                            found[y - x].append((a + x, b + x))
             length -= 1
         if search > 2 * least:
             search //= 2
         elif search > least:
             search = least
         else:
-            return tiles
+            break
+    return tiles
 
 
 class SeedIndex:
@@ -211,16 +216,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, block_ch
     items = benchmark.select(F.col("item_id").cast("long"), "text").dropDuplicates()
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(chars) // block_chars))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    if blocks == 1:
+        index = SeedIndex([tuple(r) for r in items.collect()], least)
+        return rows.mapInArrow(_tile(spark.sparkContext.broadcast(index)), _RESULT)
+    # One block at a time: its pairs are written and its index let go before the next.
+    items = written(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "benchmark-blocks")
     parts = []
     for b in range(blocks):
-        index = SeedIndex([tuple(r) for r in items.where(block == b).collect()], least)
-        parts.append(rows.mapInArrow(_tile(spark.sparkContext.broadcast(index)), _RESULT))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        index = spark.sparkContext.broadcast(SeedIndex(
+            [tuple(r) for r in items.where(F.col("block") == b).select("item_id", "text").collect()], least))
+        parts.append(written(rows.mapInArrow(_tile(index), _RESULT), "overlaps"))
+        index.unpersist()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE,

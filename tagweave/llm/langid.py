@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import fold_of, small_batches, written
@@ -120,14 +120,15 @@ def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np
         begin, length = begins[lanes], lengths[lanes]
         top = int(length[0])
         alive = np.searchsorted(-length, -np.arange(top), side="left")  # lanes longer than t, a prefix
-        alpha = np.empty((top, len(lanes), e.shape[1]))
+        row = np.r_[0, np.cumsum(alive)]  # step i has a row for each living lane: as many rows as words
+        alpha = np.empty((int(row[-1]), e.shape[1]))
         a = e[begin]
-        alpha[0] = a = a / a.sum(axis=1, keepdims=True)
+        alpha[:len(lanes)] = a = a / a.sum(axis=1, keepdims=True)
         for i in range(1, top):
             n = alive[i]
             a = (a[:n] @ t) * e[begin[:n] + i]
             a /= a.sum(axis=1, keepdims=True)
-            alpha[i, :n] = a
+            alpha[row[i]:row[i + 1]] = a
         beta = np.ones((len(lanes), e.shape[1]))
         for i in range(top - 1, -1, -1):
             n = alive[i]
@@ -135,11 +136,11 @@ def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np
                 m = alive[i + 1]
                 eb = e[begin[:m] + i + 1] * beta[:m]
                 if pairs:
-                    joint = alpha[i, :m, :, None] * t[None] * eb[:, None, :]
+                    joint = alpha[row[i]:row[i] + m, :, None] * t[None] * eb[:, None, :]
                     both += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
                 b = eb @ t.T
                 beta[:m] = b / b.sum(axis=1, keepdims=True)
-            g = alpha[i, :n] * beta[:n]
+            g = alpha[row[i]:row[i + 1]] * beta[:n]
             out[begin[:n] + i] = g / g.sum(axis=1, keepdims=True)
     return (out, both) if pairs else out
 
@@ -213,22 +214,15 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, segments_per_lang:
     """A model from the training fold of ``docs`` (doc_id, text, lang); None if it has nothing to learn from."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(
         (fold_of(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    segments: list[tuple[str, list[str]]] = []
-    order = F.xxhash64("doc_id")
-    ids = None
-    for lang in langs:
-        some = rows.where(F.col("lang") == lang).select("doc_id").orderBy(order, "doc_id").limit(docs_per_lang)
-        ids = some if ids is None else ids.unionByName(some)
-    if ids is None:
-        return None
-    ids = F.broadcast(written(ids, "lang-ids"))  # at most docs_per_lang ids a language
+    # Both rankings take all languages at once; the first is cut to its ranks in the map tasks.
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = rows.select("lang", "doc_id").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= docs_per_lang)
+    ids = F.broadcast(written(ids.select("doc_id"), "lang-ids"))  # at most docs_per_lang ids a language
     sample = written(rows.join(ids, "doc_id").select("lang", "text").mapInArrow(
         _segments, "lang string, words array<string>"), "lang-segments")
-    shuffled = F.xxhash64("words")
-    for lang in langs:
-        part = sample.where(F.col("lang") == lang).orderBy(shuffled, "words").limit(segments_per_lang)
-        segments += [(lang, r["words"]) for r in part.collect()]
+    shuffled = Window.partitionBy("lang").orderBy(F.xxhash64("words"), "words")
+    some = sample.withColumn("rank", F.row_number().over(shuffled)).where(F.col("rank") <= segments_per_lang)
+    segments = [(r["lang"], r["words"]) for r in some.orderBy("lang", "rank").collect()]
     return train(segments) if segments else None
 
 

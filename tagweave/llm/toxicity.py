@@ -12,7 +12,7 @@ than all training text does, counted over every training document and every
 distinct confirmed toxic training text.
 
 Bounds of the fit, all parameters: ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
-sampled training documents (smallest id hashes) and ``MAX_FEATURES`` words.
+sampled training documents (smallest id hashes); the words are all that stand out.
 Counts cover all rows and scoring covers every row and whole texts.
 
 Defined results: null and empty texts get the score of a text without any
@@ -37,7 +37,6 @@ from tagweave.llm.common import fold_of, small_batches, written
 
 MAX_POSITIVE = 4000
 MAX_UNLABELLED = 12000
-MAX_FEATURES = 5000
 MIN_TOXIC_TEXTS = 5   # confirmed toxic texts that hold a feature word
 MIN_Z = 4.0           # how far above the training corpus its share must lie
 HELD_OUT = 2
@@ -63,27 +62,32 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(f, -40, 40)))) if self.bias > -np.inf else 0.0
 
 
+def slopes(f: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """The part of the risk that negatives would have, and the step direction by each row's score ``f``.
+
+    The risk is prior * mean l(+) of positives plus that part, mean l(-) of unlabelled
+    rows less prior * mean l(-) of positives.  Where the part is negative, which no
+    true risk is, the step takes it back up instead.
+    """
+    n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
+    s = 1.0 / (1.0 + np.exp(-f))
+    # Logistic loss: l(+) = softplus(-f), slope s - 1; l(-) = softplus(f), slope s.
+    inner = np.logaddexp(0.0, f[~positive]).sum() / n_u - prior * np.logaddexp(0.0, f[positive]).sum() / n_p
+    up = np.where(positive, prior * (s - 1) / n_p, 0.0)
+    down = np.where(positive, -prior * s / n_p, s / n_u)
+    return float(inner), (up + down if inner >= 0 else -down)
+
+
 def train(rows: list[tuple[bool, list[int]]], n_features: int, prior: float,
           rounds: int = ROUNDS, l2: float = L2) -> tuple[np.ndarray, float]:
     """Weights and bias from (is confirmed toxic, feature numbers) rows."""
     positive = np.array([p for p, _ in rows], dtype=bool)
     row = np.repeat(np.arange(len(rows)), [len(x) for _, x in rows])
     col = np.array([i for _, x in rows for i in x], dtype=np.int64)
-    n_p, n_u = max(1, positive.sum()), max(1, (~positive).sum())
     w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
-
-    def softplus(x):
-        return np.logaddexp(0.0, x)
-
     for t in range(1, rounds + 1):
-        f = b + np.bincount(row, w[col], len(rows))
-        s = 1.0 / (1.0 + np.exp(-f))
-        # Logistic loss: l(+) = softplus(-f), slope s - 1; l(-) = softplus(f), slope s.
-        inner = softplus(f[~positive]).sum() / n_u - prior * softplus(f[positive]).sum() / n_p
-        up = np.where(positive, prior * (s - 1) / n_p, 0.0)
-        down = np.where(positive, -prior * s / n_p, s / n_u)
-        g = up + down if inner >= 0 else -down
+        _, g = slopes(b + np.bincount(row, w[col], len(rows)), positive, prior)
         grad = np.r_[np.bincount(col, g[row], n_features) + l2 * w, g.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         step = 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -125,8 +129,21 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("text").mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias(name))
 
 
+def feature_words(toxic: DataFrame, rows: DataFrame) -> DataFrame:
+    """(word, z): every word whose share of the ``toxic`` texts lies far enough above its share of all ``rows``.
+
+    Words in few toxic texts, or of like shares, never get this far: what comes back
+    is the toxic vocabulary, which is also what the model holds.
+    """
+    n_toxic, n_rows = toxic.count(), rows.count()
+    in_toxic = _counted(toxic, "p").where(F.col("p") >= MIN_TOXIC_TEXTS)
+    share = (F.col("p") + F.col("u")) / (n_toxic + n_rows)
+    z = (F.col("p") / n_toxic - F.col("u") / n_rows) / F.sqrt(share * (1 - share) * (1.0 / n_toxic + 1.0 / n_rows))
+    return in_toxic.join(_counted(rows, "u"), "word").select("word", z.alias("z")).where(F.col("z") >= MIN_Z)
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
-        max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES) -> Model:
+        max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """A model from all rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) outside the held-out fold."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text").where(fold_of(F.col("doc_id")) != HELD_OUT)
@@ -143,17 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     toxic_ids = written(known.where("toxic = 1").select("doc_id"), "tox-known")
     toxic = written(rows.join(toxic_ids, "doc_id", "left_semi").groupBy(F.xxhash64("text").alias("text_hash")).agg(
         F.min(order).alias("place"), F.first("text").alias("text")), "tox-texts")
-    n_toxic = toxic.count()
-    n_rows = rows.count()
-    if not n_toxic:
+    if toxic.isEmpty():
         return Model({}, float("-inf"))
-    in_toxic = _counted(toxic, "p").where(F.col("p") >= MIN_TOXIC_TEXTS)
-    in_all = _counted(rows, "u")
-    share = (F.col("p") + F.col("u")) / (n_toxic + n_rows)
-    z = (F.col("p") / n_toxic - F.col("u") / n_rows) / F.sqrt(share * (1 - share) * (1.0 / n_toxic + 1.0 / n_rows))
-    chosen = in_toxic.join(in_all, "word").select("word", z.alias("z")).where(F.col("z") >= MIN_Z).orderBy(
-        F.desc("z"), "word").limit(max_features)
-    words = [r["word"] for r in chosen.collect()]
+    words = [r["word"] for r in feature_words(toxic, rows).orderBy(F.desc("z"), "word").collect()]
     features = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, i int")
 
     # The rows of the fit: bounded broadcasts of ids and hashes.  Repeated rows are one document.

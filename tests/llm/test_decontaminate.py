@@ -87,3 +87,20 @@ def test_edges(spark, edge_docs, empty_docs):
     kept = d.clean(edge_docs, d.contaminated_pairs(edge_docs, none))
     assert kept.count() == edge_docs.count() and kept.columns == edge_docs.columns
     assert d.contaminated_pairs(edge_docs, items).count() == 0
+
+
+def test_repeated_words_take_no_pair_of_places_at_a_time():
+    import time
+    began = time.time()
+    tiles = d.greedy_tiles([1] * 100, [1] * 32_000)
+    assert tiles == [(0, 0, 100)]
+    tiles = d.greedy_tiles([1, 2] * 50, ([1, 2] * 30 + [3]) * 500)
+    assert sum(x[2] for x in tiles) == 100
+    assert time.time() - began < 5
+
+
+def test_many_blocks_give_the_rows_of_one(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    one = sorted(map(str, d.overlaps(docs, items).collect()))
+    assert one and sorted(map(str, d.overlaps(docs, items, block_chars=20_000).collect())) == one

@@ -67,3 +67,31 @@ def test_edges(spark, edge_docs, empty_docs):
     assert {0, 1, 2, 5, 8} <= und
     assert lang.fit(empty_docs) is None and lang.predict(empty_docs, None).count() == 0
     assert {r["lang_pred"] for r in lang.predict(edge_docs, None).collect()} == {"und"}
+
+
+def test_one_long_text_beside_short_ones_takes_the_space_of_its_words():
+    import tracemalloc
+    lengths = np.array([20_000] + [3] * 120)
+    e = np.random.default_rng(2).normal(size=(int(lengths.sum()), 4))
+    t = np.eye(4)
+    tracemalloc.start()
+    got = lang.forward_backward(e, lengths, t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * e.nbytes  # laid out by lanes it would take 120 times the words
+    assert np.allclose(got[-3:], lang.forward_backward(e[-3:], np.array([3]), t))
+
+
+def test_jobs_of_a_fit_do_not_grow_with_the_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    many = docs.selectExpr("doc_id", "text", "concat(lang, doc_id % 10) lang")
+    sc = spark.sparkContext
+
+    def jobs_of(df, name):
+        sc.setJobGroup(name, name)
+        lang.fit(df)
+        n = len(sc.statusTracker().getJobIdsForGroup(name))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return n
+
+    assert jobs_of(many, "many") <= jobs_of(docs, "few") + 2

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -76,3 +77,62 @@ def test_edges(spark, edge_docs, empty_docs):
     out = tox.scores(edge_docs, model)
     assert out.count() == edge_docs.count() and out.where("score is null or score < 0 or score > 1").count() == 0
     assert tox.scores(empty_docs, model).count() == 0 and tox.fit(empty_docs, none).bias == float("-inf")
+
+
+def test_step_is_the_gradient_of_the_corrected_risk():
+    """Finite differences of the risk where the negative part is one, of minus that part where it is below zero."""
+    rng = np.random.default_rng(3)
+    positive = rng.random(40) < 0.4
+    seen = set()
+    for shift, prior in ((0.0, 0.2), (-6.0, 0.6), (4.0, 0.5), (-3.0, 0.9)):
+        f = rng.normal(size=40) + np.where(positive, -shift, shift)
+
+        def parts(x):
+            lo = np.logaddexp(0, x)
+            hi = np.logaddexp(0, -x)
+            inner = lo[~positive].mean() - prior * lo[positive].mean()
+            return prior * hi[positive].mean(), inner
+
+        inner, step = tox.slopes(f, positive, prior)
+        assert np.isclose(inner, parts(f)[1])
+        seen.add(inner >= 0)
+        for i in range(40):
+            d = np.zeros(40)
+            d[i] = 1e-5
+            up, down = parts(f + d), parts(f - d)
+            want = (sum(up) - sum(down)) if inner >= 0 else (down[1] - up[1])
+            assert np.isclose(step[i], want / 2e-5, atol=1e-6)
+    assert seen == {True, False}
+
+
+def test_feature_words_equal_plain_counts(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocabulary[:40], 12)) for _ in range(400)] + [" ".join(rng.choice(vocabulary[20:], 6)) for _ in range(90)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    toxic = spark.createDataFrame([(t,) for t in sorted(set(texts[400:]))], "text string")
+    p, u = Counter(), Counter()
+    for t in set(texts[400:]):
+        p.update(tox.words_of(t))
+    for t in texts:
+        u.update(tox.words_of(t))
+    n_p, n_u = len(set(texts[400:])), len(texts)
+    want = {}
+    for w in p:
+        share = (p[w] + u[w]) / (n_p + n_u)
+        z = (p[w] / n_p - u[w] / n_u) / (share * (1 - share) * (1 / n_p + 1 / n_u)) ** 0.5
+        if p[w] >= tox.MIN_TOXIC_TEXTS and z >= tox.MIN_Z:
+            want[w] = z
+    got = {r["word"]: r["z"] for r in tox.feature_words(toxic, rows).collect()}
+    assert got.keys() == want.keys() and len(want) > 5
+    assert all(np.isclose(got[w], want[w]) for w in want)
+
+
+def test_no_word_that_stands_out_is_left_out(spark):
+    """Far more toxic words than any fixed number of places."""
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != tox.HELD_OUT]
+    many = " ".join(f"slur{k}" for k in range(7000))
+    docs = spark.createDataFrame([(i, many if n % 2 else f"plain{n}") for n, i in enumerate(train)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "if(text like 'slur%', concat(text, ' t', doc_id), text) text")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(train)], "doc_id long, toxic int")
+    assert len(tox.fit(docs, labels).weights) == 7000
