@@ -57,24 +57,87 @@ def checked_uid(col) -> Column:
 
 
 SPARSE_LIMIT = 1024
-POSITIONS, RUNS, BITMAP = "positions", "runs", "bitmap"
 
 
-def form(users: Column, runs: Column) -> Column:
-    """The form of a group with so many set bits in so many runs."""
-    small = F.when(users <= SPARSE_LIMIT, users * 2).otherwise(BYTES_PER_BITMAP)
-    return F.when(runs * 4 + 1 < small, RUNS).when(users <= SPARSE_LIMIT, POSITIONS).otherwise(BITMAP)
+def build_states(key_columns: list[str], at_column: str):
+    """Task function over rows sorted by key and position: each key's stored state and its users.
 
+    A batch of rows is cut into groups with arrays.  Groups of few users, nearly
+    all of them, are packed together; only groups stored as runs or as a bitmap
+    are made one by one.  The last group of a batch waits for the next one.
+    """
+    nbytes, nbits, sparse = BYTES_PER_BITMAP, BITS_PER_BUCKET, SPARSE_LIMIT
 
-def two_bytes(position_col: Column) -> Column:
-    """A position as four hexadecimal digits."""
-    return F.lpad(F.hex(position_col), 4, "0")
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def states(table):
+            at = table.column(at_column).to_numpy(zero_copy_only=False).astype(np.int64)
+            new = np.ones(len(at), bool)   # first row of a group
+            new[1:] = False
+            for k in key_columns:
+                column = table.column(k)
+                differs = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+                null = pc.is_null(column).to_numpy(zero_copy_only=False)
+                new[1:] |= pc.fill_null(differs, False).to_numpy(zero_copy_only=False) | (null[1:] != null[:-1])
+            keep = new.copy()
+            keep[1:] |= at[1:] != at[:-1]  # a repeated position counts once
+            first = np.flatnonzero(new)
+            keys = [table.column(k).take(pa.array(first)) for k in key_columns]
+            at, new = at[keep], new[keep]
+            start = np.flatnonzero(new)
+            users = np.diff(np.r_[start, len(at)])
+            begins = new.copy()
+            begins[1:] |= at[1:] != at[:-1] + 1
+            runs = np.add.reduceat(begins.astype(np.int64), start)
+            small = np.where(users <= sparse, 2 * users, nbytes)
+            as_runs = 4 * runs + 1 < small
+            large = np.flatnonzero(as_runs | (users > sparse))
+            size = small.copy()
+            size[as_runs] = 4 * runs[as_runs] + 1
+            ends = np.r_[0, np.cumsum(size)].astype(np.int32)
+            raw = np.zeros(int(ends[-1]), np.uint8)
+            few = np.ones(len(users), bool)
+            few[large] = False
+            which = np.repeat(few, users)
+            place = (np.repeat(ends[:-1], users) + 2 * (np.arange(len(at)) - np.repeat(start, users)))[which]
+            raw[place], raw[place + 1] = at[which] >> 8, at[which] & 255
+            for g in large.tolist():
+                own = at[start[g]:start[g] + users[g]]
+                out = raw[ends[g]:ends[g + 1]]
+                if as_runs[g]:
+                    head = np.flatnonzero(begins[start[g]:start[g] + users[g]])
+                    pairs = np.stack([own[head], own[np.r_[head[1:], len(own)] - 1]], axis=1)
+                    out[1:] = pairs.astype(">u2").reshape(-1).view(np.uint8)
+                else:
+                    bits = np.zeros(nbits, np.uint8)
+                    bits[own] = 1
+                    out[:] = np.packbits(bits, bitorder="little")
+            us = pa.Array.from_buffers(pa.binary(), len(users), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+            return pa.RecordBatch.from_arrays([*keys, us, pa.array(users, pa.int64())], names=[*key_columns, "us", "users"])
 
+        held = None
+        for batch in batches:
+            table = batch if held is None else pa.concat_batches([held, batch])
+            last = {k: table.column(k)[-1] for k in key_columns}
+            same = np.ones(len(table), bool)
+            for k, value in last.items():
+                column = table.column(k)
+                equal = pc.is_null(column) if not value.is_valid else pc.fill_null(pc.equal(column, value), False)
+                same &= equal.to_numpy(zero_copy_only=False)
+            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0  # rows are sorted: the last group is a tail
+            if cut:
+                yield states(table.slice(0, cut))
+            held = table.slice(cut)
+            if len(held) > 2 * nbits:  # more rows than positions: repeated ones go
+                at = held.column(at_column).to_numpy(zero_copy_only=False)
+                held = held.take(pa.array(np.flatnonzero(np.r_[True, at[1:] != at[:-1]])))
+        if held is not None and len(held):
+            yield states(held)
 
-def stored(digits: Column, which: Column, bitmap: Column) -> Column:
-    """The stored form of a group: ``digits`` holds its positions, or the ends of its runs, sorted (:func:`two_bytes`)."""
-    packed = F.unhex(F.concat(F.when(which == RUNS, "00").otherwise(""), F.array_join(digits, "")))
-    return F.when(which == BITMAP, bitmap).otherwise(packed)
+    return run
 
 
 def _number(us: Column, at: Column) -> Column:

@@ -16,7 +16,7 @@ turns a result back into uid rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions import bitmap as bm
@@ -24,6 +24,9 @@ from tagweave.functions.values import BITMAP_TABLE_SUFFIX, date_token
 from tagweave.sources.catalog import TagDef
 
 
+STATE_KEY = ("tag_code", "tag_value", "bucket")
+
+
 def unpivot_wide(wide: DataFrame, columns: list[str]) -> DataFrame:
     """``(uid, tag_code, tag_value)`` for every non-empty cell (``unpivot``)."""
     long = wide.unpivot("uid", [c.lower() for c in columns], "tag_code", "tag_value")
@@ -39,9 +42,21 @@ def explode_wide(wide: DataFrame, columns: list[str]) -> DataFrame:
             .filter(F.col("tag_value") != ""))
 
 
-def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
+def _matches(conditions: list[tuple[str, str]]) -> Column:
+    """Rows of any of the (tag_code, tag_value) pairs."""
+    wanted = F.lit(False)
+    for code, value in dict.fromkeys(conditions):
+        wanted |= (F.col("tag_code") == F.lit(code.lower())) & (F.col("tag_value") == F.lit(value))
+    return wanted
+
+
+def build_bitmaps(long: DataFrame, dt: str | None = None, only: list[tuple[str, str]] | None = None) -> DataFrame:
     """``(tag_code, tag_value, bucket, us, users[, dt])`` from ``(uid, tag_code, tag_value)``.
 
+    ``only`` names the (tag_code, tag_value) pairs that are wanted: a filter on
+    the result would come after all bitmaps are built, as the task function
+    that builds them hides its columns from the optimizer.
+
     ``users`` is the bitmap's cardinality, stored beside it so audience
     sizes read an 8-byte column instead of the 4 KB bitmaps.
 
@@ -52,34 +67,18 @@ def build_bitmaps(long: DataFrame, dt: str | None = None) -> DataFrame:
     on uid) each would hold a handful of uids, for about 3x the CPU and 10x
     the task memory at the same compressed shuffle size (see README).  A key
     never has more than 32768 rows (one per uid of its bucket), so no
-    reducer group can grow with the data.  Users and runs are counted along the
-    sorted positions, so only the form that is stored is built: nothing is
-    collected for a group that becomes a bitmap.
+    reducer group can grow with the data.  The sorted positions of many groups
+    become states at once with arrays (see :func:`tagweave.functions.bitmap.build_states`):
+    no set, list or 4 KB buffer is made for a group that does not store it.
     """
-    key = ["tag_code", "tag_value", "bucket"]
+    key = list(STATE_KEY)
+    long = long if only is None else long.filter(_matches(only))
     uid = bm.checked_uid(F.col("uid"))
     keyed = (long.select("tag_code", "tag_value", uid.alias("_uid"))
              .select("tag_code", "tag_value", bm.bucket(F.col("_uid")).alias("bucket"), bm.position(F.col("_uid")).alias("_at"))
              .repartition(*key))
-    # The position before tells repeated ones and where runs begin; the totals tell the smallest form.
-    before = F.lag("_at", 1, -2).over(Window.partitionBy(*key).orderBy("_at"))
-    marked = keyed.select(*key, "_at", before.alias("_before")).filter("_at <> _before").withColumn(
-        "_starts", F.col("_before") + 1 < F.col("_at"))
-    whole = Window.partitionBy(*key)
-    sized = marked.select("*", F.count(F.lit(1)).over(whole).alias("_users"),
-                          F.sum(F.col("_starts").cast("int")).over(whole).alias("_runs"))
-    which = bm.form(F.col("_users"), F.col("_runs"))
-    # A run's first row also gives the last position of the run before it; the last run ends at the highest position.
-    here, end_before = bm.two_bytes(F.col("_at")), bm.two_bytes(F.col("_before"))
-    cells = (F.when(which == bm.POSITIONS, F.array(here))
-             .when((which == bm.RUNS) & F.col("_starts"), F.when(F.col("_before") >= 0, F.array(end_before, here)).otherwise(F.array(here))))
-    digits = F.sort_array(F.flatten(F.collect_list("_cells")))
-    last = F.when(F.first("_form") == bm.RUNS, F.array(bm.two_bytes(F.max("_at")))).otherwise(F.array().cast("array<string>"))
-    out = (sized.select(*key, "_users", which.alias("_form"), cells.alias("_cells"), "_at")
-           .groupBy(*key).agg(F.first("_form").alias("_form"), F.first("_users").alias("users"),
-                              F.expr(f"bitmap_construct_agg(_at) FILTER (WHERE _form = '{bm.BITMAP}')").alias("_bitmap"),
-                              F.concat(digits, last).alias("_digits"))
-           .select(*key, bm.stored(F.col("_digits"), F.col("_form"), F.col("_bitmap")).alias("us"), "users"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in (keyed.schema[k] for k in key))
+    out = keyed.sortWithinPartitions(*key, "_at").mapInArrow(bm.build_states(key, "_at"), f"{kinds}, us binary, users bigint")
     if dt is not None:
         out = out.withColumn("dt", F.lit(date_token(dt)))
     return out
@@ -99,9 +98,6 @@ def bitmaps_by_type(wide: DataFrame, tags: list[TagDef], dt: str | None = None,
     return out
 
 
-STATE_KEY = ("tag_code", "tag_value", "bucket")
-
-
 def merge_days(bitmaps: DataFrame) -> DataFrame:
     """``(tag_code, tag_value, bucket, us, users)``: the users that hold a value on any of the given days.
 
@@ -138,12 +134,8 @@ def select_audience(bitmaps: DataFrame, conditions: list[tuple[str, str]], how:
     """
     if not conditions:
         raise ValueError("an audience needs at least one condition")
-    wanted = None
-    for code, value in dict.fromkeys(conditions):
-        cond = (F.col("tag_code") == F.lit(code.lower())) & (F.col("tag_value") == F.lit(value))
-        wanted = cond if wanted is None else (wanted | cond)
     days = ["dt"] if "dt" in bitmaps.columns else []
-    picked = bm.dense(bitmaps.filter(wanted), ["tag_code", "tag_value", "bucket", *days])
+    picked = bm.dense(bitmaps.filter(_matches(conditions)), ["tag_code", "tag_value", "bucket", *days])
     n = len(dict.fromkeys(conditions))
     if how == "and":
         per_bucket = (picked.groupBy("bucket")

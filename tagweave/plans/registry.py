@@ -307,9 +307,9 @@ def bitmap_explode(spark, sf):
     return _cells(spark, sf, use_explode=True)[0]
 
 
-def _bitmaps(spark, sf):
+def _bitmaps(spark, sf, only=None):
     cells = _cells(spark, sf)[0]
-    return bitmap_ops.build_bitmaps(cells, DT)
+    return bitmap_ops.build_bitmaps(cells, DT, only)
 
 
 @query
@@ -365,12 +365,12 @@ def audience_window(spark, sf):
 
 @query
 def audience_and(spark, sf):
-    return bitmap_ops.audience_uids(_bitmaps(spark, sf), AUDIENCE, "and")
+    return bitmap_ops.audience_uids(_bitmaps(spark, sf, AUDIENCE), AUDIENCE, "and")
 
 
 @query
 def audience_or(spark, sf):
-    return bitmap_ops.audience_uids(_bitmaps(spark, sf), AUDIENCE, "or")
+    return bitmap_ops.audience_uids(_bitmaps(spark, sf, AUDIENCE), AUDIENCE, "or")
 
 
 # --- export -------------------------------------------------------------------------------

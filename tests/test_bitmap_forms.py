@@ -107,3 +107,22 @@ def test_runs_are_stored_as_runs_and_forms_unite(spark):
 def test_empty_days_unite_to_nothing(spark):
     none = spark.createDataFrame([], "uid string, tag_code string, tag_value string")
     assert ops.merge_days(ops.build_bitmaps(none, "2000-01-01")).count() == 0
+
+
+def test_states_do_not_depend_on_batches(spark):
+    """Groups cut by batch borders, one group over many batches, null values and repeated rows."""
+    many = spark.range(1, 30_000).selectExpr("cast(id * 2 as string) uid", "'t' tag_code", "'big' tag_value")
+    few = spark.range(1, 500).selectExpr("cast(id as string) uid", "'t' tag_code", "concat('v', id % 90) tag_value")
+    null = spark.createDataFrame([("7", "t", None), ("8", None, None), ("9", None, "v1"), ("0", "t", "v1")], "uid string, tag_code string, tag_value string")
+    cells = many.unionByName(many.limit(9000)).unionByName(few).unionByName(few).unionByName(null)
+    want = sorted(map(str, ops.build_bitmaps(cells).collect()))
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        for rows in (1, 7, 1000):
+            spark.conf.set(conf, str(rows))
+            part = cells if rows > 1 else cells.where("tag_value is null or tag_value != 'big'")
+            got = sorted(map(str, ops.build_bitmaps(part).collect()))
+            assert got == (want if rows > 1 else [r for r in want if "'big'" not in r])
+    finally:
+        spark.conf.set(conf, before)
