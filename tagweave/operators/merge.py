@@ -124,10 +124,12 @@ def map_wide(long: DataFrame, tag_codes: list[str], preaggregate: bool = False)
 # A user is heavy with at least this share of the rows: about half of what one of 200 tasks gets.
 HEAVY_SHARE = 1 / 400
 HEAVY_SAMPLE = 0.01
+HEAVY_LEAST = 50  # rows of a user in the sample: fewer harm no task, whatever their share
 
 
-def heavy_users(long: DataFrame, share: float = HEAVY_SHARE, sample: float = HEAVY_SAMPLE, seed: int = 42) -> list[str | None]:
-    """Uids (None: the NULL uid) with at least ``share`` of the rows, measured on a sample.
+def heavy_users(long: DataFrame, share: float = HEAVY_SHARE, sample: float = HEAVY_SAMPLE, seed: int = 42,
+                least: int = HEAVY_LEAST) -> list[str | None]:
+    """Uids (None: the NULL uid) with at least ``share`` of the rows and ``least`` rows, measured on a sample.
 
     The answer has at most ``1 / share`` entries.  It only decides how rows
     are dealt, never what the result is: a user that the sample misses is merged
@@ -140,7 +142,7 @@ def heavy_users(long: DataFrame, share: float = HEAVY_SHARE, sample: float = HEA
     total = counts.agg(F.sum("n")).first()[0]
     if not total:
         return []
-    return [r.uid for r in counts.filter(F.col("n") >= share * total).orderBy(F.desc("n")).limit(int(1 / share)).collect()]
+    return [r.uid for r in counts.filter(F.col("n") >= max(share * total, least)).orderBy(F.desc("n")).limit(int(1 / share)).collect()]
 
 
 def _is_heavy(heavy: list[str | None]) -> Column:

@@ -219,7 +219,7 @@ def _sql() -> dict[str, str]:
     q["tag_write_partition"] = (f"SELECT *, '1999-01-01' AS dt FROM ({order_count('1999-01-01')}) UNION ALL "
                                 f"SELECT *, '{DT}' AS dt FROM ({order_count()})")
     q["tag_backfill"] = "\nUNION ALL\n".join(f"SELECT *, '{d}' AS dt FROM ({order_count(d)})" for d in (
-        "1990-01-01", "1994-03-01", "1994-03-02", "1994-03-03", "1997-07-01", DT))
+        "1990-01-01", "1996-03-01", "1996-03-02", "1996-03-03", "1997-07-01", DT))
     q["date_token"] = "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS dt_token FROM orders"
     q["date_to_epoch_ms"] = "SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) * 1000 AS epoch_ms FROM orders"
     # merge

@@ -217,7 +217,7 @@ def tag_write_partition(spark, sf):
     return store.read_tag_table("TAG_ORDER_COUNT", "1")
 
 
-BACKFILL_DAYS = ("1990-01-01", "1994-03-01", "1994-03-02", "1994-03-03", "1997-07-01")
+BACKFILL_DAYS = ("1990-01-01", "1996-03-01", "1996-03-02", "1996-03-03", "1997-07-01")
 
 
 @query
@@ -226,7 +226,7 @@ def tag_backfill(spark, sf):
     catalog = _setup(spark, sf)
     store = TagStore(spark, work_dir(spark, "backfill"))
     old = spark.createDataFrame([("0", 0)], "uid string, tag_value bigint")
-    for day in ("1990-01-01", "1994-03-02"):
+    for day in ("1990-01-01", "1996-03-02"):
         store.write_tag_day("TAG_ORDER_COUNT", "1", old, day)
     jobs.tag_job(spark, catalog, 2, DT, store)
     jobs.backfill_job(spark, catalog, 2, list(BACKFILL_DAYS), store)

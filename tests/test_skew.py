@@ -77,3 +77,4 @@ def test_heavy_cells_keep_empty_texts_nulls_and_duplicates(spark):
     want = sorted(map(str, merge.pivot_wide(long, ["A", "B"]).collect()))
     assert sorted(map(str, merge.split_wide(long, ["A", "B"], ["h", None]).collect())) == want
     assert merge.heavy_users(long.limit(0)) == []
+    assert merge.heavy_users(long, sample=1.0) == [] and merge.heavy_users(long, share=0.5, sample=1.0, least=1) == ["h"]
