@@ -106,16 +106,46 @@ def split_texts(texts: list[str]) -> tuple[list[str], np.ndarray]:
     return tokens, _per_text(starts, lengths, begins)
 
 
+_R = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]  # of 1 / R and of R, grown as needed
+
+
+def _hashes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of each piece of ``raw`` cut at ``at`` (modulo 2**64), from one running sum over all bytes."""
+    with np.errstate(over="ignore"):
+        if len(_powers[0]) < len(raw) + 1:
+            for k, base in enumerate((pow(_R, -1, 1 << 64), _R)):
+                steps = np.full(max(len(raw) + 1, 1 << 16), base, dtype=np.uint64)
+                steps[0] = 1
+                _powers[k] = np.cumprod(steps)
+        back, forth = _powers
+        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * back[:len(raw)], out=sums[1:])
+        return (sums[at[1:]] - sums[at[:-1]]) * forth[at[:-1]]
+
+
 def numbered(text: str, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct pieces (UTF-8) of ``text`` cut at ``starts``, and the number of the piece at each place."""
-    raw = text.encode("utf-8", "surrogatepass")
+    """The distinct pieces (UTF-8) of ``text`` cut at ``starts``, and the number of the piece at each place.
+
+    Pieces meet by hash and every one is compared with the first of its number.
+    """
+    data = text.encode("utf-8", "surrogatepass")
     at = np.r_[starts, len(text)].astype(np.int64)
-    if len(raw) > len(text):
+    if len(data) > len(text):
         cp = code_points(text)
         width = 1 + (cp >= 0x80).astype(np.int8) + (cp >= 0x800) + (cp >= 0x10000)
         at = np.r_[0, np.cumsum(width, dtype=np.int64)][at]
-    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(raw)])
-    coded = pieces.dictionary_encode()
+    if not len(starts):
+        return [], np.zeros(0, dtype=np.int32)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    number = pa.array(_hashes(raw, at)).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    first = np.empty(int(number.max()) + 1, dtype=np.int64)
+    first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
+    size, of = np.diff(at), first[number]
+    if (size == size[of]).all() and (raw == raw[np.repeat(at[of] - at[:-1], size) + np.arange(len(raw))]).all():
+        return [data[a:b] for a, b in zip(at[first].tolist(), at[first + 1].tolist())], number
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data)])
+    coded = pieces.dictionary_encode()  # two pieces share a hash
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
 
 

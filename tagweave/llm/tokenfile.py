@@ -44,9 +44,10 @@ BLOCK = 4096
 PERCENTILE = 95
 MAGIC = b"PFORIDS1"
 HEAD = np.dtype([("low", "<u4"), ("exceptions", "<u2"), ("width", "u1"), ("count", "<u2")])
-PART_CHARS = 1 << 20
-KNOWN_WORDS = 600_000    # a worker's word cache starts anew beyond this number (about 100 MB)
-WORDS_A_CALL = 100       # long inputs cost the tokenizer more for each word
+PART_CHARS = 2 << 20
+KNOWN_WORDS = 1_000_000  # a worker's word cache starts anew beyond this number (about 200 MB)
+WORDS_A_STRING = 100     # long strings cost the tokenizer more for each word
+WORDS_AT_ONCE = 5000
 RANGE_BYTES = 256 << 20  # text of one range partition, where there is more than the shuffle partitions hold
 FILE_IDS = 1 << 26       # a file is closed after the document that reaches this number of ids
 
@@ -188,7 +189,10 @@ class WordEncoder:
         self.used = 0
 
     def _one(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids  # without offsets
+        return self._each([text])[0].ids
+
+    def _each(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without offsets
 
     def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         n, k = len(self.known), len(words)
@@ -203,19 +207,28 @@ class WordEncoder:
         self.used += len(ids)
 
     def _learn(self, words: list[bytes]) -> None:
-        # A line break between words keeps them apart, so many are encoded in one call.
-        text = {w: w.decode("utf-8", "surrogatepass") for w in words}
-        plain = [w for w in words if b"\n" not in w and not text[w].isspace()] if len(self.newline) == 1 else []
-        for i in range(0, len(plain), WORDS_A_CALL):
-            some = plain[i:i + WORDS_A_CALL]
-            ids = np.array(self._one("\n".join([text[w] for w in some])), dtype=np.uint32)
-            cuts = np.flatnonzero(ids == self.newline[0])
-            if len(cuts) == len(some) - 1:
-                self._add(some, np.delete(ids, cuts), np.diff(np.r_[-1, cuts, len(ids)]) - 1)
+        # A line break behind each word keeps them apart, so many are encoded in one string.
+        plain, texts, rest = [], [], []
         for w in words:
-            if w not in self.known:
-                ids = np.array(self._one(text[w]), dtype=np.uint32)
-                self._add([w], ids, np.array([len(ids)]))
+            text = w.decode("utf-8", "surrogatepass")
+            if b"\n" in w or text.isspace() or len(self.newline) != 1:
+                rest.append(w)
+            else:
+                plain.append(w)
+                texts.append(text)
+        for i in range(0, len(plain), WORDS_AT_ONCE):
+            some, lines = plain[i:i + WORDS_AT_ONCE], texts[i:i + WORDS_AT_ONCE]
+            strings = ["\n".join(lines[k:k + WORDS_A_STRING]) + "\n" for k in range(0, len(lines), WORDS_A_STRING)]
+            ids = np.array([x for e in self._each(strings) for x in e.ids], dtype=np.uint32)
+            breaks = ids == self.newline[0]
+            cuts = np.flatnonzero(breaks)
+            if len(cuts) == len(some):
+                self._add(some, ids[~breaks], np.diff(cuts, prepend=-1) - 1)
+            else:
+                rest += some
+        for w in rest:
+            ids = np.array(self._one(w.decode("utf-8", "surrogatepass")), dtype=np.uint32)
+            self._add([w], ids, np.array([len(ids)]))
 
     def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts (each closed by ``end_id``) and the number of ids of each."""
@@ -224,10 +237,14 @@ class WordEncoder:
             self._forget()
         self._learn([w for w in words if w not in self.known])
         at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        begin, size = self.begin[at], self.size[at]
-        lengths = size[seq]
-        total = np.r_[0, np.cumsum(lengths)]
-        ids = self.flat[np.repeat(begin[seq] - total[:-1], lengths) + np.arange(int(total[-1]))]
+        place = np.int32 if self.used < 1 << 31 else np.int64
+        begin, lengths = self.begin[at].astype(place)[seq], self.size[at].astype(place)[seq]
+        total = np.zeros(len(seq) + 1, dtype=np.int64)
+        np.cumsum(lengths, out=total[1:])
+        if total[-1] >= 1 << 31:
+            place = np.int64
+        begin = begin - total[:-1].astype(place)
+        ids = self.flat[np.repeat(begin, lengths) + np.arange(int(total[-1]), dtype=place)]
         ends = total[np.cumsum(counts)]
         counts = np.diff(np.r_[0, ends])
         if end_id is None:

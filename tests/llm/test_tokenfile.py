@@ -66,3 +66,29 @@ def test_small_word_cache_changes_nothing(monkeypatch, real_texts):
     parts = [enc.encode([x], 2) for x in texts]
     assert np.array_equal(one[0], np.concatenate([p[0] for p in parts]))
     assert one[1].tolist() == [int(p[1][0]) for p in parts]
+
+
+def test_files_roll_and_ranges_follow_bytes(spark, real_docs):
+    docs = real_docs.limit(80)
+    one = {r["doc_id"]: (r["start"], list(r["ids"])) for r in t.read_ids(t.write_ids(docs, PATH, end_id=2)).collect()}
+    manifest = t.write_ids(docs, PATH, end_id=2, range_bytes=10_000, file_ids=2000)
+    files = manifest.collect()
+    assert len(files) > 20 and all(f["n_docs"] == 1 or f["n_ids"] < 2000 + 20_000 for f in files)
+    assert {r["doc_id"]: (r["start"], list(r["ids"])) for r in t.read_ids(manifest).collect()} == one
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(max_size=12), max_size=8))
+def test_numbered_pieces_are_the_pieces(texts):
+    from tagweave.llm import pretoken
+    words, seq, counts = pretoken.split_numbered(texts)
+    tokens, want = pretoken.split_texts(texts)
+    assert [words[i].decode("utf-8", "surrogatepass") for i in seq] == tokens
+    assert counts.tolist() == want.tolist() and len(set(words)) == len(words)
+
+
+def test_pieces_with_one_hash_stay_apart(monkeypatch):
+    from tagweave.llm import pretoken
+    monkeypatch.setattr(pretoken, "_hashes", lambda raw, at: np.zeros(len(at) - 1, np.uint64))
+    words, seq, _ = pretoken.split_numbered(["one two one three", " two"])
+    assert [words[i] for i in seq] == [b"one", b" two", b" one", b" three", b" two"]
