@@ -42,6 +42,7 @@ from tagweave.llm.common import shared_path, small_batches
 from tagweave.llm.pretoken import split_texts
 
 CHUNK_CHARS = 8 << 20   # characters of a chunk
+BUCKET_BYTES = 1 << 30   # text of one bucket, where there is more than the shuffle partitions hold
 PART_CHARS = 1 << 20     # characters that are split at once
 OUT_IDS = 1 << 20        # ids of one output batch
 # Fixed value: the split pattern of byte-level BPE vocabularies.
@@ -216,8 +217,10 @@ def _laid_out(docs: DataFrame, ranks: dict[bytes, int], buckets: int | None) ->
     """One row a chunk: the packed ids of its words beside its sequence of word positions."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # bounded by the vocabulary
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long"), "text")
+    if not buckets:  # a bucket is one task's work, whatever the size of the table
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     table = _bucketed(rows.mapInArrow(_chunks(pa.int64(), buckets), _CHUNK_SCHEMA), buckets)
     words = table.select("chunk", F.posexplode("words").alias("bucket", "payload")).where("payload is not null")
     words = words.repartition(buckets, "bucket")
