@@ -35,6 +35,9 @@ HEADLINE = [
     "tag_write_partition",   # the daily path: tag days written and replaced
     "wide_write",            # all tag days, then the stored wide table
     "bitmap_write_partition",  # stored bitmaps of the day, one table a value type
+    "wide_heavy_users",      # the stored day merged with its busiest users in pieces
+    "audience_window",       # bitmaps of four stored days, three of them united
+    "tag_backfill",          # five days of a tag replaced by one job
     "ml_end_to_end",         # encode, split, fit 4-stage pipeline, predict, label back
 ]
 
