@@ -120,6 +120,10 @@ class TagClassifier:
     def predict(self, df: DataFrame) -> DataFrame:
         return self._fitted().transform(df)
 
+    def stage(self, i: int):
+        """A fitted stage of the pipeline: label index, assembly, vector index, tree."""
+        return self._fitted().stages[i]
+
     def labels(self) -> list[str]:
         return list(self._fitted().stages[0].labels)
 
@@ -219,7 +223,8 @@ def tree_nodes(spark: SparkSession, clf: TagClassifier, model_path: str) -> Data
         impurity = 1 - F.aggregate(shares, F.lit(0.0), lambda a, p: a + p * p)
     else:
         impurity = F.aggregate(shares, F.lit(0.0), lambda a, p: a - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
-    return spark.read.parquet(f"{model_path}/stages/3_*/data").select(
+    tree = clf.stage(3)  # stages are saved under their number and name
+    return spark.read.parquet(f"{model_path}/stages/3_{tree.uid}/data").select(
         F.when(split >= 0, F.get(names, split)).otherwise("leaf").alias("feature"),
         F.when((split >= 0) & continuous, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
         F.col("rawCount").alias("n_rows"), F.round(impurity, 6).alias("impurity"),
