@@ -42,8 +42,9 @@ BUCKETS = 1 << 17     # hashed features
 GRAMS = (1, 2, 3, 4)
 EPOCHS = 3
 SWITCH = 0.3          # chance that the next training segment changes its language
-PART_CHARS = 1 << 20
-LANES = 128           # texts that forward-backward handles at once
+KNOWN_WORDS = 400_000  # a worker's word scores start anew beyond this number (about 60 MB)
+PART_CHARS = 4 << 20
+LANES = 1024          # texts that forward-backward handles at once
 _WORD = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,6 +94,26 @@ class Model:
     weights: np.ndarray = field(repr=False)      # features x languages
     transitions: np.ndarray = field(repr=False)  # languages x languages, log scale
 
+    def __post_init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.scores = np.empty((1 << 12, len(self.langs)))
+
+    def remembered(self, words: list[str]) -> np.ndarray:
+        """:meth:`emissions` of distinct words; a worker computes each word once while it remembers it."""
+        if len(self.known) > KNOWN_WORDS:
+            self.forget()
+        new = [w for w in words if w not in self.known]
+        if new:
+            n = len(self.known)
+            while n + len(new) > len(self.scores):
+                self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
+            self.scores[n:n + len(new)] = self.emissions(new)
+            self.known.update(zip(new, range(n, n + len(new))))
+        return self.scores[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
+
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log-scale scores, words x languages."""
         number, owner = features(words, self.lexicon)
@@ -234,7 +255,7 @@ def label_words(model: Model, texts: list[str | None]) -> list[tuple[list[str],
     lengths = np.array([len(ws) for ws in words], dtype=np.int64)
     if not len(seq):
         return [(ws, np.zeros((0, len(model.langs)))) for ws in words]
-    marginal = forward_backward(model.emissions(list(number))[seq], lengths, model.transitions)
+    marginal = forward_backward(model.remembered(list(number))[seq], lengths, model.transitions)
     ends = np.cumsum(lengths)
     return [(ws, marginal[e - n:e]) for ws, e, n in zip(words, ends.tolist(), lengths.tolist())]
 
